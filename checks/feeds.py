@@ -25,7 +25,7 @@ def land(spark: SparkSession, rows: DataFrame, stamp: Column, stem: str) -> str:
     """Write rows as dated snapshot files `YYYYMMDD_<stem>...txt` in a new folder; returns the folder."""
     raw, folder = work_folder(spark, "raw"), work_folder(spark, "landing")
     (
-        rows.withColumn("stamp", stamp).drop("data_date", "week", "stamp_text").repartition("stamp")
+        rows.withColumn("stamp", stamp).drop("data_date", "half", "stamp_text").repartition("stamp")
         .write.partitionBy("stamp")
         .options(sep="\t", header=True, quote='"', escape='"', encoding="ISO-8859-1", emptyValue="")
         .csv(raw)
@@ -94,11 +94,11 @@ def registration_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registration_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekly files (the last state of each week) handed to the recurring job twice; the second run does nothing."""
+    """Half-monthly files (the last state of each half) handed to the recurring job twice; the second run does nothing."""
     rows = _registrations(spark, sf_dir)
-    week = F.date_trunc("week", "data_date").cast("date")
-    newest = latest_per_key(rows.withColumn("week", week), ["ncid", "week"], "data_date")
-    folder = land(spark, newest, _stamp("week"), "people")
+    half = F.make_date(F.year("data_date"), F.month("data_date"), F.when(F.dayofmonth("data_date") <= 15, 1).otherwise(16))
+    newest = latest_per_key(rows.withColumn("half", half), ["ncid", "half"], "data_date")
+    folder = land(spark, newest, _stamp("half"), "people")
     base = work_folder(spark, "job")
     pipeline = Pipeline(
         landing=folder, registration_stem="people", participation_stem="turnout",

@@ -317,10 +317,10 @@ SQL = {
     "registration_rebuild_files": _with(USER_DAYS, PEOPLE) + _kept("party_cd, birth_year, last_name", False, "people"),
     "registration_stream": _with(USER_DAYS, PEOPLE) + _kept("party_cd, birth_year, last_name", True, "people"),
     "registration_incremental": _with(USER_DAYS, PEOPLE) + """,
-      weeks AS (SELECT * EXCLUDE (data_date, rn), week AS data_date
-                FROM (SELECT *, CAST(date_trunc('week', data_date) AS DATE) AS week,
-                             row_number() OVER (PARTITION BY ncid, date_trunc('week', data_date) ORDER BY data_date DESC) AS rn
-                      FROM people) WHERE rn = 1)""" + _kept("party_cd, birth_year, last_name", False, "weeks"),
+      halves AS (SELECT * EXCLUDE (data_date, rn, half), half AS data_date
+                 FROM (SELECT *, row_number() OVER (PARTITION BY ncid, half ORDER BY data_date DESC) AS rn
+                       FROM (SELECT *, make_date(year(data_date), month(data_date), CASE WHEN day(data_date) <= 15 THEN 1 ELSE 16 END) AS half
+                             FROM people)) WHERE rn = 1)""" + _kept("party_cd, birth_year, last_name", False, "halves"),
     "participation_rebuild_files": _with(TURNOUT) + """
       SELECT ncid, election_lbl, voting_method, voted_party_cd, data_date
       FROM (SELECT *, rank() OVER (PARTITION BY ncid, election_lbl, voting_method, voted_party_cd ORDER BY data_date) AS r FROM turnout)

@@ -8,18 +8,19 @@ from tidemark.functions.lenient import (
     to_date_strict,
     to_int_lenient,
 )
-from tidemark.functions.text import WHITESPACE_CLASS, squeeze_whitespace
+from tidemark.functions.text import quoted, squeeze_whitespace, squeezed_sql
 
 __all__ = [
-    "WHITESPACE_CLASS",
     "coercion_failed",
     "date_columns_of",
     "has_null",
     "http_date_to_stamp",
+    "quoted",
     "row_digest",
     "row_fingerprint",
     "spread",
     "squeeze_whitespace",
+    "squeezed_sql",
     "to_date_lenient",
     "to_date_strict",
     "to_int_lenient",

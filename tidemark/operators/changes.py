@@ -49,12 +49,13 @@ def changed_rows(
     that date count as latest, which makes a repeated run give the same rows again.
 
     Only (key, order_col, digest of the compared columns) of `master` is aggregated and joined;
-    name the `digest` column if the table stores it, and nothing else is read. The digest is
-    SHA-256 over an unambiguous encoding (`row_digest`), so equal digests mean equal columns.
+    name the `digest` column if the table stores it, and nothing else is read. `staged` may have
+    it too. The digest is SHA-256 over an unambiguous encoding (`row_digest`), so equal digests
+    mean equal columns.
     Joining on (key, digest) also spreads the rows of a key with very many staged rows.
     """
     _known(null_equality, ("sql", "null_safe"), "null_equality")
-    compared = compare_columns(staged, order_col)
+    compared = [c for c in compare_columns(staged, order_col) if c != digest]
     if as_of is not None:
         master = master.where(F.col(order_col) < (as_of if isinstance(as_of, Column) else F.lit(as_of).cast("date")))
     stored_digest = F.col(digest) if digest else row_digest(compared)
@@ -62,7 +63,7 @@ def changed_rows(
         master.select(key, order_col, *[t for t in ties if t != order_col], stored_digest.alias("_digest")),
         [key], order_col, ties,
     ).select(key, "_digest")
-    own_digest = row_digest(compared)
+    own_digest = F.col(digest) if digest and digest in staged.columns else row_digest(compared)
     if null_equality == "sql":
         # A NULL join key matches nothing, exactly like a NULL in one of the compared columns.
         own_digest = F.when(~has_null(compared), own_digest)
@@ -94,11 +95,9 @@ def keep_changes(
     values = [c for c in columns if c not in (key, order_col)]
 
     def packed(df: DataFrame, own: bool) -> DataFrame:
+        packed_values = F.struct(*values) if values else F.struct(F.lit(1).alias("_nothing"))
         return df.select(
-            F.col(key),
-            F.col(order_col),
-            F.struct(*[F.col(c) for c in values] or [F.lit(1)]).alias("_values"),
-            F.lit(own).alias("_own"),
+            key, order_col, packed_values.alias("_values"), has_null([key, *values]).alias("_has_null"), F.lit(own).alias("_own")
         )
 
     series = packed(rows, True)
@@ -108,13 +107,9 @@ def keep_changes(
     # Structs compare field by field with NULL equal to NULL.
     same = F.col("_values").eqNullSafe(F.col("_previous"))
     if null_equality == "sql":
-        same = same & F.col(key).isNotNull()
-        for c in values:
-            same = same & F.col("_values")[c].isNotNull()
-    kept = series.withColumn("_previous", previous).where(
-        F.col("_own") & (F.col("_previous").isNull() | ~same)
-    )
-    return kept.select(*[F.col(c) if c in (key, order_col) else F.col("_values")[c].alias(c) for c in columns])
+        same = same & ~F.col("_has_null")
+    kept = series.withColumn("_previous", previous).where(F.col("_own") & (F.col("_previous").isNull() | ~same))
+    return kept.select(key, order_col, "_values.*").select(*columns)
 
 
 def new_rows(

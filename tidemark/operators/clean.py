@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import squeeze_whitespace, to_date_lenient, to_date_strict, to_int_lenient
+from tidemark.functions import quoted, squeezed_sql, to_date_lenient, to_date_strict, to_int_lenient
 from tidemark.schemas import PREVIOUS_RENAMES, PREVIOUS_UNUSED, SNAPSHOT_DATE
 
 
 def normalize_whitespace(df: DataFrame) -> DataFrame:
     """Trim every string column and collapse inner runs of white space, in one projection."""
-    return df.select(*[
-        squeeze_whitespace(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+    return df.selectExpr(*[
+        f"{squeezed_sql(f.name)} AS {quoted(f.name)}" if isinstance(f.dataType, T.StringType) else quoted(f.name)
         for f in df.schema
     ])
 
@@ -37,14 +37,13 @@ def align_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Give `df` exactly the columns of `schema`, in its order: add missing ones as NULL, drop others."""
     have = {f.name: f.dataType for f in df.schema}
 
-    def aligned(field: T.StructField) -> Column:
+    def aligned(field: T.StructField) -> str:
+        name, kind = quoted(field.name), field.dataType.simpleString()
         if field.name not in have:
-            return F.lit(None).cast(field.dataType).alias(field.name)
-        if have[field.name] == field.dataType:
-            return F.col(field.name)
-        return F.col(field.name).cast(field.dataType).alias(field.name)
+            return f"cast(NULL AS {kind}) AS {name}"
+        return name if have[field.name] == field.dataType else f"cast({name} AS {kind}) AS {name}"
 
-    return df.select(*[aligned(f) for f in schema])
+    return df.selectExpr(*[aligned(f) for f in schema])
 
 
 def column_differences(df: DataFrame, schema: T.StructType) -> tuple[list[str], list[str]]:

@@ -130,9 +130,9 @@ def apply_registration(
         raise LateSnapshot(f"snapshot {day} is older than {newest}, which is already stored")
     staged, seen = _observed(prepare_registration(_staged(spark, source, stamp, **read_options)))
     stored = read_table(spark, table, schemas.REGISTRATION_TABLE, _DIGEST_FIELD)
+    staged = staged.withColumn(DIGEST, row_digest(_REGISTRATION_VALUES))
     changed = changed_rows(staged, stored, KEY, SNAPSHOT_DATE, null_equality, as_of=day, digest=DIGEST)
-    rows = changed.withColumn(DIGEST, row_digest(_REGISTRATION_VALUES))
-    written = publish_partition(spark, rows, table, day, check=lambda new: check_key(new, [KEY]))
+    written = publish_partition(spark, changed, table, day, check=lambda new: check_key(new, [KEY]))
     return _report(stamp, seen, written)
 
 
@@ -149,8 +149,8 @@ def apply_participation(
     staged, seen = _observed(prepare_participation(_staged(spark, source, stamp, **read_options)))
     stored = read_table(spark, table, schemas.PARTICIPATION_LOG, _FINGERPRINT_FIELD)
     others = stored.where(F.col(SNAPSHOT_DATE) != F.lit(day).cast("date"))
-    fresh = new_rows(staged, others, schemas.PARTICIPATION_COLUMNS, intra_batch, fingerprint=DIGEST)
-    written = publish_partition(spark, fresh.withColumn(DIGEST, participation_fingerprint()), table, day)
+    staged = staged.withColumn(DIGEST, participation_fingerprint())
+    written = publish_partition(spark, new_rows(staged, others, intra_batch=intra_batch, fingerprint=DIGEST), table, day)
     return _report(stamp, seen, written)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import to_date_strict
+from tidemark.functions import quoted, to_date_strict
 from tidemark.schemas import SNAPSHOT_DATE
 
 # FIXED VALUES: how snapshot files are written and named.
@@ -108,11 +108,11 @@ def read_snapshot(
     # A malformed row is kept as text; separators inside quoted fields do not count.
     bare = F.regexp_replace(F.col(_BAD), _QUOTED_FIELD, "$1")
     is_long = F.coalesce(F.length(bare) - F.length(F.replace(bare, F.lit(DELIMITER), F.lit(""))) >= len(columns), F.lit(False))
-    first = F.coalesce(F.col(columns[0]), F.lit(""))
+    texts = [F.expr(f"coalesce({quoted(c)}, '') AS {quoted(c)}") for c in columns]
     if long_rows == "raise":
         failure = F.raise_error(F.concat(F.lit("row with too many fields: "), F.substring(_BAD, 1, 200))).cast("string")
-        first = F.when(is_long, failure).otherwise(first)
-    selected = [first.alias(columns[0]), *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns[1:]]]
+        texts[0] = F.when(is_long, failure).otherwise(texts[0]).alias(columns[0])
+    selected = list(texts)
     if long_rows == "flag":
         selected.append(is_long.alias("_long_row"))
     if file_stamp:

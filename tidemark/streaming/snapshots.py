@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
-from tidemark.functions import to_date_strict
+from tidemark.functions import quoted, to_date_strict
 from tidemark.operators.changes import IntraBatch, NullEquality
 from tidemark.plans.feeds import (
     DIGEST,
@@ -47,7 +47,7 @@ def snapshot_stream(spark: SparkSession, folder: str, stem: str, columns: list[s
     )
     stamp = F.substring(F.col("_metadata.file_name"), 1, STAMP_LENGTH)
     return raw.select(
-        *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns], to_date_strict(stamp).alias(SNAPSHOT_DATE)
+        *[F.expr(f"coalesce({quoted(c)}, '') AS {quoted(c)}") for c in columns], to_date_strict(stamp).alias(SNAPSHOT_DATE)
     )
 
 
