@@ -33,18 +33,19 @@ history AS (
 SHIPPING_LOG = """
 shipping_log AS (
   SELECT l_returnflag, l_linestatus, CAST(l_quantity AS INTEGER) AS quantity,
-         CAST(round(l_discount * 100) AS INTEGER) AS discount,
+         CAST(round(l_discount * 100) AS INTEGER) AS discount, CAST(round(l_tax * 100) AS INTEGER) AS tax,
          CASE WHEN l_linenumber <= 2 THEN NULL WHEN l_linenumber <= 4 THEN '' ELSE 'late' END AS note,
          CAST(year(l_shipdate) AS INTEGER) AS batch
   FROM lineitem),
 printed AS (
   SELECT *, md5(coalesce(l_returnflag, '') || '||' || coalesce(l_linestatus, '') || '||' ||
                 coalesce(CAST(quantity AS VARCHAR), '') || '||' || coalesce(CAST(discount AS VARCHAR), '') || '||' ||
+                coalesce(CAST(tax AS VARCHAR), '') || '||' ||
                 coalesce(note, '')) AS fp
   FROM shipping_log)
 """
 
-LOG_ORDER = "l_returnflag, l_linestatus, quantity, discount, note NULLS FIRST"
+LOG_ORDER = "l_returnflag, l_linestatus, quantity, discount, tax, note NULLS FIRST"
 
 DATED_ORDERS = """
 dated_orders AS (
@@ -165,20 +166,20 @@ SQL = {
                  coalesce(o_orderpriority, '')) AS fingerprint
       FROM orders""",
     "history_new_rows": _with(SHIPPING_LOG) + """
-      SELECT l_returnflag, l_linestatus, quantity, discount, note, batch FROM printed s
+      SELECT l_returnflag, l_linestatus, quantity, discount, tax, note, batch FROM printed s
       WHERE batch = (SELECT max(batch) FROM printed)
         AND NOT EXISTS (SELECT 1 FROM printed h WHERE h.batch < (SELECT max(batch) FROM printed) AND h.fp = s.fp)""",
     "history_new_rows_dedupe": _with(SHIPPING_LOG) + f"""
-      SELECT l_returnflag, l_linestatus, quantity, discount, note, batch
+      SELECT l_returnflag, l_linestatus, quantity, discount, tax, note, batch
       FROM (SELECT *, row_number() OVER (PARTITION BY fp ORDER BY {LOG_ORDER}) AS rn
             FROM printed WHERE batch = (SELECT max(batch) FROM printed)) s
       WHERE rn = 1
         AND NOT EXISTS (SELECT 1 FROM printed h WHERE h.batch < (SELECT max(batch) FROM printed) AND h.fp = s.fp)""",
     "history_rebuild": _with(SHIPPING_LOG) + """
-      SELECT l_returnflag, l_linestatus, quantity, discount, note, batch
+      SELECT l_returnflag, l_linestatus, quantity, discount, tax, note, batch
       FROM (SELECT *, rank() OVER (PARTITION BY fp ORDER BY batch) AS r FROM printed) WHERE r = 1""",
     "history_rebuild_dedupe": _with(SHIPPING_LOG) + f"""
-      SELECT l_returnflag, l_linestatus, quantity, discount, note, batch
+      SELECT l_returnflag, l_linestatus, quantity, discount, tax, note, batch
       FROM (SELECT *, row_number() OVER (PARTITION BY fp ORDER BY batch, {LOG_ORDER}) AS r FROM printed) WHERE r = 1""",
     "whitespace_normalized": r"""
       SELECT doc_id,

@@ -51,12 +51,13 @@ def shipping_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linestatus",
         F.col("l_quantity").cast("int").alias("quantity"),
         F.round(F.col("l_discount") * 100).cast("int").alias("discount"),
+        F.round(F.col("l_tax") * 100).cast("int").alias("tax"),
         F.when(F.col("l_linenumber") <= 2, None).when(F.col("l_linenumber") <= 4, "").otherwise("late").alias("note"),
         F.year("l_shipdate").alias("batch"),
     )
 
 
-LOG_COLUMNS = ["l_returnflag", "l_linestatus", "quantity", "discount", "note"]
+LOG_COLUMNS = ["l_returnflag", "l_linestatus", "quantity", "discount", "tax", "note"]
 
 
 def dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

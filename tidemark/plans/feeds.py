@@ -7,7 +7,8 @@ that a later snapshot is compared with (key, date, digest) instead of with all c
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from tidemark.operators.keys import check_key, latest_per_key
 from tidemark.schemas import KEY, SNAPSHOT_DATE
 from tidemark.session import work_folder
 from tidemark.sinks.tables import NothingToRebuild, newest_partition, publish_partition, publish_series, replace_table
+from tidemark.sources.files import remove_folder
 from tidemark.sources.snapshots import list_snapshots, read_dated_snapshots, read_snapshot
 from tidemark.sources.tables import read_table
 
@@ -49,7 +51,6 @@ class Applied:
     staged: int
     inserted: int
     failed_values: int
-    details: dict = field(default_factory=dict)
 
 
 def _iso(stamp: str) -> str:
@@ -199,8 +200,10 @@ def apply_participations(
     return dates
 
 
-def _stage_series(spark: SparkSession, folder: str, stem: str, prepare, digest, **read_options) -> tuple[DataFrame, list[str]]:
-    """Read all dated snapshots of a feed once and keep them as a columnar work table."""
+def _stage_series(
+    spark: SparkSession, folder: str, stem: str, prepare: Callable[[DataFrame], DataFrame], digest: Column, **read_options
+) -> tuple[str, list[str]]:
+    """Parse all dated snapshots of a feed once into a columnar work table; returns its path and the dates."""
     listing = list_snapshots(spark, folder, stem).where(F.col("snapshot_date").isNotNull())
     dates = [r[0].isoformat() for r in listing.select("snapshot_date").distinct().orderBy("snapshot_date").collect()]
     if not dates:
@@ -208,7 +211,7 @@ def _stage_series(spark: SparkSession, folder: str, stem: str, prepare, digest,
     staging = work_folder(spark, "rebuild")
     rows = read_dated_snapshots(spark, listing, prepare, **read_options).drop(_FAILED)
     rows.withColumn(DIGEST, digest).write.parquet(staging)
-    return spark.read.parquet(staging), dates
+    return staging, dates
 
 
 def _publish_series(spark: SparkSession, kept: DataFrame, table: str, dates: list[str]) -> int:
@@ -231,12 +234,16 @@ def rebuild_registration(
     (key, date) fails the rebuild unless `ties` names columns whose greatest values win. The
     present table stays in place until the new one is complete.
     """
-    staged, dates = _stage_series(spark, folder, stem, prepare_registration, row_digest(_REGISTRATION_VALUES), **read_options)
-    if ties is None:
-        check_key(staged, [KEY, SNAPSHOT_DATE])
-    else:
-        staged = latest_per_key(staged, [KEY, SNAPSHOT_DATE], SNAPSHOT_DATE, ties)
-    return _publish_series(spark, keep_changes(staged, KEY, SNAPSHOT_DATE, null_equality), table, dates)
+    path, dates = _stage_series(spark, folder, stem, prepare_registration, row_digest(_REGISTRATION_VALUES), **read_options)
+    try:
+        staged = spark.read.parquet(path)
+        if ties is None:
+            check_key(staged, [KEY, SNAPSHOT_DATE])
+        else:
+            staged = latest_per_key(staged, [KEY, SNAPSHOT_DATE], SNAPSHOT_DATE, ties)
+        return _publish_series(spark, keep_changes(staged, KEY, SNAPSHOT_DATE, null_equality), table, dates)
+    finally:
+        remove_folder(spark, path)
 
 
 def rebuild_participation(
@@ -248,9 +255,12 @@ def rebuild_participation(
     **read_options,
 ) -> int:
     """Rebuild the participation log from all dated snapshots; returns the number of rows stored."""
-    staged, dates = _stage_series(spark, folder, stem, prepare_participation, participation_fingerprint(), **read_options)
-    kept = first_batch_rows(staged, SNAPSHOT_DATE, intra_batch=intra_batch, fingerprint=DIGEST)
-    return _publish_series(spark, kept, table, dates)
+    path, dates = _stage_series(spark, folder, stem, prepare_participation, participation_fingerprint(), **read_options)
+    try:
+        kept = first_batch_rows(spark.read.parquet(path), SNAPSHOT_DATE, intra_batch=intra_batch, fingerprint=DIGEST)
+        return _publish_series(spark, kept, table, dates)
+    finally:
+        remove_folder(spark, path)
 
 
 def rebuild(

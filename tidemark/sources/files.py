@@ -40,6 +40,20 @@ def replace_folder(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
+def first_line(spark: SparkSession, path: str, encoding: str) -> str | None:
+    """First line of a text file, unpacked if its name says it is compressed. Starts no job."""
+    jvm = spark.sparkContext._jvm
+    fs, hadoop_path = _fs(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration())
+        codec = codecs.getCodec(hadoop_path)
+        data = stream if codec is None else codec.createInputStream(stream)
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(data, encoding)).readLine()
+    finally:
+        stream.close()
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     """Create a folder if it does not exist."""
     fs, hadoop_path = _fs(spark, path)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import quoted, to_date_strict
 from tidemark.schemas import SNAPSHOT_DATE
+from tidemark.sources.files import first_line, part_files
 
 # FIXED VALUES: how snapshot files are written and named.
 FILE_ENCODING = "ISO-8859-1"
@@ -67,11 +68,12 @@ def http_date(time: Column) -> Column:
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Column names in the first line of a file."""
-    first = spark.read.option("encoding", FILE_ENCODING).text(path).first()
-    if first is None:
+    """Column names in the first line of a file, or of the first file of a folder."""
+    files = part_files(spark, path)
+    line = first_line(spark, files[0] if files else path, FILE_ENCODING)
+    if line is None:
         raise ValueError(f"no header line in {path}")
-    return [field.strip().strip('"') for field in first["value"].split(DELIMITER)]
+    return [field.strip().strip('"') for field in line.split(DELIMITER)]
 
 
 def read_snapshot(

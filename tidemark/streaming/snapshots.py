@@ -6,7 +6,8 @@ place of the ledger. A replayed micro-batch replaces the partitions it wrote bef
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import contextlib
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from tidemark.plans.feeds import (
 )
 from tidemark.schemas import SNAPSHOT_DATE
 from tidemark.session import work_folder
+from tidemark.sources.files import remove_folder
 from tidemark.sources.snapshots import DELIMITER, FILE_ENCODING, STAMP_LENGTH
 
 
@@ -51,6 +53,17 @@ def snapshot_stream(spark: SparkSession, folder: str, stem: str, columns: list[s
     )
 
 
+@contextlib.contextmanager
+def _parsed(rows: DataFrame) -> Iterator[DataFrame]:
+    """Keep the rows of a batch as a work table while they are read several times."""
+    spark, path = rows.sparkSession, work_folder(rows.sparkSession, "batch")
+    try:
+        rows.write.parquet(path)
+        yield spark.read.parquet(path)
+    finally:
+        remove_folder(spark, path)
+
+
 def _start(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame], None]) -> StreamingQuery:
     return (
         stream.writeStream.foreachBatch(lambda batch, _: handle(batch))
@@ -72,9 +85,8 @@ def stream_registrations(
     """Apply all registration files that have arrived since the last call, then stop."""
 
     def handle(batch: DataFrame) -> None:
-        staging = work_folder(batch.sparkSession, "batch")
-        prepare_registration(batch).write.parquet(staging)  # read twice below, parsed once
-        apply_registrations(batch.sparkSession, batch.sparkSession.read.parquet(staging), table, null_equality)
+        with _parsed(prepare_registration(batch)) as rows:
+            apply_registrations(batch.sparkSession, rows, table, null_equality)
 
     return _start(snapshot_stream(spark, folder, stem, columns), checkpoint, handle)
 
@@ -91,9 +103,7 @@ def stream_participations(
     """Apply all participation files that have arrived since the last call, then stop."""
 
     def handle(batch: DataFrame) -> None:
-        staging = work_folder(batch.sparkSession, "batch")
-        rows = prepare_participation(batch).withColumn(DIGEST, participation_fingerprint())
-        rows.write.parquet(staging)  # read twice below, parsed once
-        apply_participations(batch.sparkSession, batch.sparkSession.read.parquet(staging), table, intra_batch)
+        with _parsed(prepare_participation(batch).withColumn(DIGEST, participation_fingerprint())) as rows:
+            apply_participations(batch.sparkSession, rows, table, intra_batch)
 
     return _start(snapshot_stream(spark, folder, stem, columns), checkpoint, handle)
