@@ -234,3 +234,31 @@ def test_undated_file_takes_the_date_of_its_timestamp(spark, tmp_path):
     report = run_incremental(spark, job, listing, raise_errors=True)
     assert list(report.applied) == ["people.txt"]
     assert [r[1] for r in stored(spark, job.registration_table)] == ["2024-01-07"]
+
+
+def test_state_of_latest_rows_is_only_a_shortcut(spark, tmp_path):
+    """With the state, without it, and with a state of another date the same rows are stored."""
+    table, plain = str(tmp_path / "table"), str(tmp_path / "plain")
+    for stamp, rows in WEEKS:
+        path = reg_file(tmp_path / "in", stamp, rows)
+        feeds.apply_registration(spark, path, stamp, table)
+        feeds.apply_registration(spark, path, stamp, plain)
+        feeds.remove_folder(spark, f"{plain}/_latest")
+    assert stored(spark, table) == stored(spark, plain) == STORED_SQL
+    states = feeds.partition_values(spark, f"{table}/_latest", "as_of")
+    assert states == ["2024-01-15", "2024-01-22"]
+    state = spark.read.parquet(f"{table}/_latest/as_of=2024-01-22")
+    newest = {}
+    for ncid, date, *_ in STORED_SQL:
+        newest[ncid] = max(date, newest.get(ncid, ""))
+    assert {(r.ncid, r.data_date.isoformat()) for r in state.collect()} == set(newest.items())
+
+    # A crash between data and state leaves an older state, which is then not used.
+    feeds.remove_folder(spark, f"{table}/_latest/as_of=2024-01-22")
+    path = reg_file(tmp_path / "in", "20240129", [registration("1", party_cd="Z"), registration("2", party_cd="A")])
+    assert feeds.apply_registration(spark, path, "20240129", table).inserted == 1
+    assert feeds.partition_values(spark, f"{table}/_latest", "as_of") == ["2024-01-15", "2024-01-29"]
+    # A rebuild replaces the table together with its state.
+    feeds.rebuild_registration(spark, str(tmp_path / "in"), "people", table)
+    assert feeds.partition_values(spark, f"{table}/_latest", "as_of") == []
+    assert feeds.apply_registration(spark, path, "20240129", table).inserted == 1

@@ -7,6 +7,7 @@ that a later snapshot is compared with (key, date, digest) instead of with all c
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -28,7 +29,7 @@ from tidemark.operators.keys import check_key, latest_per_key
 from tidemark.schemas import KEY, SNAPSHOT_DATE
 from tidemark.session import work_folder
 from tidemark.sinks.tables import NothingToRebuild, newest_partition, publish_partition, publish_series, replace_table
-from tidemark.sources.files import remove_folder
+from tidemark.sources.files import partition_values, remove_folder, replace_folder
 from tidemark.sources.snapshots import list_snapshots, read_dated_snapshots, read_snapshot
 from tidemark.sources.tables import read_table
 
@@ -36,6 +37,7 @@ DIGEST = "_digest"
 _DIGEST_FIELD = T.StructType([T.StructField(DIGEST, T.BinaryType())])
 _FINGERPRINT_FIELD = T.StructType([T.StructField(DIGEST, T.StringType())])
 _FAILED = "_failed"
+_AS_OF = "as_of"
 _REGISTRATION_VALUES = schemas.REGISTRATION_COLUMNS
 
 
@@ -110,6 +112,42 @@ def _staged(spark: SparkSession, source: DataFrame | str | list[str], stamp: str
     return with_snapshot_date(scan, stamp)
 
 
+def _state_folder(table: str) -> str:
+    return f"{table}/_latest"  # readers skip names with a leading underscore
+
+
+def _latest_before(spark: SparkSession, table: str, day: str) -> DataFrame:
+    """(key, date, digest) of the rows to compare a snapshot of `day` with.
+
+    Usually the small state table left by the snapshot applied before: one row per key, so a run
+    reads as much as there are keys and not the whole history. Without a state that belongs to
+    exactly that snapshot, the history itself, from which the caller takes the latest rows.
+    """
+    applied = [d for d in partition_values(spark, table, SNAPSHOT_DATE) if d < day]
+    saved = partition_values(spark, _state_folder(table), _AS_OF)
+    if applied and applied[-1] in saved:
+        return spark.read.parquet(f"{_state_folder(table)}/{_AS_OF}={applied[-1]}")
+    return read_table(spark, table, schemas.REGISTRATION_TABLE, _DIGEST_FIELD).select(KEY, SNAPSHOT_DATE, DIGEST)
+
+
+def _save_latest(spark: SparkSession, table: str, day: str, before: DataFrame, stored: DataFrame) -> None:
+    """Write the state after `day`, and drop states other than this one and the one before it."""
+    old = latest_per_key(before.where(F.col(SNAPSHOT_DATE) < F.lit(day).cast("date")), [KEY], SNAPSHOT_DATE)
+    new = stored.select(F.col(KEY).alias("_key"), F.col(DIGEST).alias("_new"))
+    state = old.join(new, F.col(KEY) == F.col("_key"), "full").select(
+        F.coalesce(KEY, "_key").alias(KEY),
+        F.when(F.col("_key").isNotNull(), F.lit(day).cast("date")).otherwise(F.col(SNAPSHOT_DATE)).alias(SNAPSHOT_DATE),
+        F.when(F.col("_key").isNotNull(), F.col("_new")).otherwise(F.col(DIGEST)).alias(DIGEST),
+    )
+    folder = _state_folder(table)
+    fresh = f"{folder}/_staging-{uuid.uuid4().hex}"
+    state.hint("rebalance").write.parquet(fresh)
+    replace_folder(spark, fresh, f"{folder}/{_AS_OF}={day}")
+    saved = partition_values(spark, folder, _AS_OF)
+    for other in [d for d in saved if d > day] + [d for d in saved if d < day][:-1]:
+        remove_folder(spark, f"{folder}/{_AS_OF}={other}")
+
+
 def apply_registration(
     spark: SparkSession,
     source: DataFrame | str | list[str],
@@ -123,17 +161,20 @@ def apply_registration(
     Rows are compared with the latest stored row of an *earlier* date and the snapshot's own
     partition is replaced, so a repeated run stores the same rows. A repeated or missing key
     among the rows to store fails the run and stores nothing. A snapshot older than one already
-    applied raises `LateSnapshot`.
+    applied raises `LateSnapshot`. The digests of the latest rows are kept as a state table for the
+    next snapshot; it is only ever a shortcut and can be deleted.
     """
     day = _iso(stamp)
     newest = newest_partition(spark, table)
     if newest is not None and newest > day:
         raise LateSnapshot(f"snapshot {day} is older than {newest}, which is already stored")
     staged, seen = _observed(prepare_registration(_staged(spark, source, stamp, **read_options)))
-    stored = read_table(spark, table, schemas.REGISTRATION_TABLE, _DIGEST_FIELD)
+    before = _latest_before(spark, table, day)
     staged = staged.withColumn(DIGEST, row_digest(_REGISTRATION_VALUES))
-    changed = changed_rows(staged, stored, KEY, SNAPSHOT_DATE, null_equality, as_of=day, digest=DIGEST)
+    changed = changed_rows(staged, before, KEY, SNAPSHOT_DATE, null_equality, as_of=day, digest=DIGEST)
+    remove_folder(spark, f"{_state_folder(table)}/{_AS_OF}={day}")  # left by an earlier run for this date
     written = publish_partition(spark, changed, table, day, check=lambda new: check_key(new, [KEY]))
+    _save_latest(spark, table, day, before, written)
     return _report(stamp, seen, written)
 
 
@@ -179,6 +220,7 @@ def apply_registrations(
     stored = read_table(spark, table, schemas.REGISTRATION_TABLE).where(F.col(SNAPSHOT_DATE) < F.lit(dates[0]).cast("date"))
     baseline = latest_per_key(stored, [KEY], SNAPSHOT_DATE)
     kept = keep_changes(rows, KEY, SNAPSHOT_DATE, null_equality, baseline)
+    remove_folder(spark, _state_folder(table))  # belongs to the partitions replaced now
     publish_series(spark, kept.withColumn(DIGEST, row_digest(_REGISTRATION_VALUES)), table, dates)
     return dates
 
