@@ -172,6 +172,18 @@ def test_participation_one_by_one_rebuilt_and_streamed(spark, tmp_path, intra_ba
     assert logged(spark, streamed) == expected
 
 
+def test_stream_fills_short_rows_and_refuses_long_ones(spark, tmp_path):
+    path = write_snapshot(tmp_path / "in" / "20240101_people.txt", [registration("1")], REG)
+    with open(path, "a") as file:
+        file.write("\t".join(["1", "X", "", "2"]) + "\n")
+    table, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")
+    stream_registrations(spark, str(tmp_path / "in"), "people", table, checkpoint).awaitTermination()
+    assert [r[0] for r in stored(spark, table)] == ["1", "2"]
+    reg_file(tmp_path / "in", "20240108", [registration("1", vtd_desc="X\tY")])
+    with pytest.raises(Exception):
+        stream_registrations(spark, str(tmp_path / "in"), "people", table, checkpoint).awaitTermination()
+
+
 def test_stream_refuses_another_header(spark, tmp_path):
     reg_file(tmp_path / "in", "20240101", [registration("1")], list(reversed(REG)))
     with pytest.raises(Exception):
@@ -224,6 +236,21 @@ def test_incremental_run(spark, tmp_path):
     assert good
 
 
+def test_files_of_one_date_are_one_snapshot(spark, tmp_path):
+    job = pipeline(tmp_path)
+    write_snapshot(tmp_path / "in" / "20240101_people.a.txt", [registration("1")], REG)
+    write_snapshot(tmp_path / "in" / "20240101_people.b.txt", [registration("2")], REG)
+    report = run_incremental(spark, job, raise_errors=True)
+    assert list(report.applied) == ["20240101_people.a.txt, 20240101_people.b.txt"]
+    assert [r[0] for r in stored(spark, job.registration_table)] == ["1", "2"]
+    # One of the files comes again: the whole date is read again.
+    import os
+    path = write_snapshot(tmp_path / "in" / "20240101_people.b.txt", [registration("3")], REG)
+    os.utime(path, (1, 1))
+    run_incremental(spark, job, raise_errors=True)
+    assert [r[0] for r in stored(spark, job.registration_table)] == ["1", "3"]
+
+
 def test_undated_file_takes_the_date_of_its_timestamp(spark, tmp_path):
     job = pipeline(tmp_path)
     path = write_snapshot(tmp_path / "in" / "people.txt", [registration("1")], REG)

@@ -39,6 +39,21 @@ def test_long_row_fails_or_is_flagged(spark, tmp_path):
         read_snapshot(spark, path, long_rows="ignore")
 
 
+def test_files_of_one_scan_must_share_a_header(spark, tmp_path):
+    paths = [snapshot(tmp_path, b"a\tb\n1\t2\n", "x.txt"), snapshot(tmp_path, b"b\ta\n1\t2\n", "y.txt")]
+    with pytest.raises(ValueError, match="different headers"):
+        read_snapshot(spark, paths)
+    assert read_snapshot(spark, [paths[0], snapshot(tmp_path, b"a\tb\n3\t4\n", "z.txt")]).count() == 2
+
+
+def test_compressed_file(spark, tmp_path):
+    import gzip
+
+    path = snapshot(tmp_path, gzip.compress("a\tb\n\xe9\t2\n".encode("latin-1")), "20240101_feed.txt.gz")
+    assert read_snapshot(spark, path).collect() == [Row(a="\xe9", b="2")]
+    assert [r.stem for r in list_snapshots(spark, str(tmp_path), "feed").collect()] == ["feed"]
+
+
 def test_quoted_line_break_needs_multiline(spark, tmp_path):
     path = snapshot(tmp_path, b'a\tb\n"two\nlines"\tx\n')
     assert read_snapshot(spark, path, multiline=True).collect() == [Row(a="two\nlines", b="x")]

@@ -7,6 +7,7 @@ that a later snapshot is compared with (key, date, digest) instead of with all c
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -33,6 +34,8 @@ from tidemark.sources.files import partition_values, remove_folder, replace_fold
 from tidemark.sources.snapshots import list_snapshots, read_dated_snapshots, read_snapshot
 from tidemark.sources.tables import read_table
 
+log = logging.getLogger(__name__)
+
 DIGEST = "_digest"
 _DIGEST_FIELD = T.StructType([T.StructField(DIGEST, T.BinaryType())])
 _FINGERPRINT_FIELD = T.StructType([T.StructField(DIGEST, T.StringType())])
@@ -246,12 +249,16 @@ def _stage_series(
     spark: SparkSession, folder: str, stem: str, prepare: Callable[[DataFrame], DataFrame], digest: Column, **read_options
 ) -> tuple[str, list[str]]:
     """Parse all dated snapshots of a feed once into a columnar work table; returns its path and the dates."""
-    listing = list_snapshots(spark, folder, stem).where(F.col("snapshot_date").isNotNull())
-    dates = [r[0].isoformat() for r in listing.select("snapshot_date").distinct().orderBy("snapshot_date").collect()]
+    files = list_snapshots(spark, folder, stem).collect()  # one short row per file
+    undated = [f["file_name"] for f in files if f["snapshot_date"] is None]
+    if undated:
+        log.warning("files without a date in their name are left out: %s", undated)
+    dates = sorted({f["snapshot_date"].isoformat() for f in files if f["snapshot_date"] is not None})
+    paths = [f["path"] for f in files if f["snapshot_date"] is not None]
     if not dates:
         raise NothingToRebuild(f"no dated snapshot of {stem} in {folder}")
     staging = work_folder(spark, "rebuild")
-    rows = read_dated_snapshots(spark, listing, prepare, **read_options).drop(_FAILED)
+    rows = read_dated_snapshots(spark, paths, prepare, **read_options).drop(_FAILED)
     rows.withColumn(DIGEST, digest).write.parquet(staging)
     return staging, dates
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 import logging
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import http_date_to_stamp
@@ -63,7 +64,7 @@ def backup_tables(spark: SparkSession, pipeline: Pipeline) -> None:
     export_tsv(read_participations(spark, pipeline.participation_table), f"{pipeline.backup_folder}/participation.tsv")
 
 
-def _mark(spark: SparkSession, pipeline: Pipeline, files: list, processed: bool) -> None:
+def _mark(spark: SparkSession, pipeline: Pipeline, files: list[Row], processed: bool) -> None:
     entries = [(f["file_name"], f["timestamp"], processed, True) for f in files]
     write_ledger(spark, pipeline.ledger, spark.createDataFrame(entries, LEDGER))
 
@@ -74,8 +75,8 @@ def run_incremental(
     """Process every pending file once; safe to repeat and to interrupt.
 
     The date of a snapshot is the date prefix of its name or else the date of its timestamp.
-    Registration files come first, each feed oldest first. A file that fails ends the run; it
-    stays unfinished in the ledger and the next run starts with it. The failure is logged and
+    Registration files come first, each feed oldest first; several files of one feed and date are
+    one snapshot. A file that fails ends the run; it stays unfinished in the ledger and the next run starts with it. The failure is logged and
     returned, or raised on request. `listing` replaces the scan of the landing folder (columns
     path, file_name, stem, stamp, timestamp).
     """
@@ -87,17 +88,17 @@ def run_incremental(
             F.col("stamp").isNotNull()
         )
         pending = pending_files(dated, ledger)
-        is_participation = (F.col("stem") == pipeline.participation_stem).cast("int")
-        todo = pending.orderBy(is_participation, "stamp", "file_name").collect()  # one short row per file
-        if not todo:
+        snapshots = _snapshots(dated, pending, pipeline)
+        if not snapshots:
             return report
+        open_files = [file for files in snapshots for file in files]
         if needs_backup(pending, ledger).first()["needs_backup"]:
             backup_tables(spark, pipeline)
             report.backed_up = True
-            _mark(spark, pipeline, todo, processed=False)
-        for file in todo:
-            report.applied[file["file_name"]] = _apply(spark, pipeline, file)
-            _mark(spark, pipeline, [file], processed=True)
+            _mark(spark, pipeline, open_files, processed=False)
+        for files in snapshots:
+            report.applied[", ".join(f["file_name"] for f in files)] = _apply(spark, pipeline, files)
+            _mark(spark, pipeline, files, processed=True)
     except Exception as error:
         if raise_errors:
             raise
@@ -106,14 +107,27 @@ def run_incremental(
     return report
 
 
-def _apply(spark: SparkSession, pipeline: Pipeline, file) -> Applied:
-    if file["stem"] == pipeline.registration_stem:
+def _snapshots(dated: DataFrame, pending: DataFrame, pipeline: Pipeline) -> list[list[Row]]:
+    """Files to read, one group per feed and date: registrations first, then oldest first.
+
+    A date is stored as a whole, so if one of its files is pending, all of them are read again.
+    """
+    wanted = pending.select(F.col("stem").alias("_stem"), F.col("stamp").alias("_stamp")).distinct()
+    of_date = (F.col("stem") == F.col("_stem")) & (F.col("stamp") == F.col("_stamp"))
+    is_participation = (F.col("stem") == pipeline.participation_stem).cast("int")
+    files = dated.join(wanted, of_date, "left_semi").orderBy(is_participation, "stamp", "file_name").collect()
+    return [list(group) for _, group in itertools.groupby(files, key=lambda f: (f["stem"], f["stamp"]))]
+
+
+def _apply(spark: SparkSession, pipeline: Pipeline, files: list[Row]) -> Applied:
+    paths, stamp = [f["path"] for f in files], files[0]["stamp"]
+    if files[0]["stem"] == pipeline.registration_stem:
         done = apply_registration(
-            spark, file["path"], file["stamp"], pipeline.registration_table, pipeline.null_equality, **pipeline.read_options
+            spark, paths, stamp, pipeline.registration_table, pipeline.null_equality, **pipeline.read_options
         )
     else:
         done = apply_participation(
-            spark, file["path"], file["stamp"], pipeline.participation_table, pipeline.intra_batch, **pipeline.read_options
+            spark, paths, stamp, pipeline.participation_table, pipeline.intra_batch, **pipeline.read_options
         )
-    log.info("%s: %d rows read, %d stored, %d values not parsed", file["file_name"], done.staged, done.inserted, done.failed_values)
+    log.info("%s: %d rows read, %d stored, %d values not parsed", paths, done.staged, done.inserted, done.failed_values)
     return done

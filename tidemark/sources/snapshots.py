@@ -76,70 +76,98 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     return [field.strip().strip('"') for field in line.split(DELIMITER)]
 
 
+def _scan_schema(columns: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _BAD]])
+
+
+def _scan_options(multiline: bool = False) -> dict:
+    return {
+        "sep": DELIMITER, "header": True, "quote": '"', "escape": '"', "encoding": FILE_ENCODING,
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD, "multiLine": multiline,
+        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    }
+
+
+def _as_text(raw: DataFrame, columns: list[str], long_rows: str, added: list[Column]) -> DataFrame:
+    """Fill up missing fields with '' and deal with rows that have too many."""
+    # A malformed row is kept as text; separators inside quoted fields do not count.
+    bare = F.regexp_replace(F.col(_BAD), _QUOTED_FIELD, "$1")
+    separators = F.length(bare) - F.length(F.replace(bare, F.lit(DELIMITER), F.lit("")))
+    is_long = F.coalesce(separators >= len(columns), F.lit(False))
+    texts = [F.expr(f"coalesce({quoted(c)}, '') AS {quoted(c)}") for c in columns]
+    if long_rows == "raise":
+        failure = F.raise_error(F.concat(F.lit("row with too many fields: "), F.substring(_BAD, 1, 200))).cast("string")
+        texts[0] = F.when(is_long, failure).otherwise(texts[0]).alias(columns[0])
+    else:
+        added = [is_long.alias("_long_row"), *added]
+    return raw.select(*texts, *added)
+
+
+def file_stamp() -> Column:
+    """Date prefix of the name of the file a row comes from."""
+    return F.substring(F.col("_metadata.file_name"), 1, STAMP_LENGTH)
+
+
 def read_snapshot(
     spark: SparkSession,
     paths: str | list[str],
     columns: list[str] | None = None,
     multiline: bool = False,
     long_rows: str = "raise",
-    file_stamp: str | None = None,
+    stamp_column: str | None = None,
 ) -> DataFrame:
     """Scan snapshot files that share one header. Every column is text and '' is never NULL.
 
     Text such as `NA` stays as it is and a short row is filled up with ''. A row with more
     fields than the header fails the job (`long_rows='raise'`), or keeps its leading fields and
     is marked in a boolean column `_long_row` (`'flag'`). `columns` are the header's names, read
-    from the first file if not given. `multiline` accepts line breaks inside quotes, but then a
-    file is read by one task, so it is off by default. `file_stamp` adds a column with the date
+    from the files if not given. `multiline` accepts line breaks inside quotes, but then a
+    file is read by one task, so it is off by default. `stamp_column` adds a column with the date
     prefix of the file a row comes from.
     """
     if long_rows not in ("raise", "flag"):
         raise ValueError(f"long_rows must be 'raise' or 'flag', not {long_rows!r}")
     paths = [paths] if isinstance(paths, str) else list(paths)
-    columns = columns or header_of(spark, paths[0])
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _BAD]])
+    if columns is None:
+        headers = {tuple(header_of(spark, path)) for path in paths}
+        if len(headers) > 1:
+            raise ValueError("the files have different headers; read them with read_dated_snapshots")
+        columns = list(headers.pop())
+    raw = spark.read.schema(_scan_schema(columns)).options(**_scan_options(multiline)).csv(paths)
+    return _as_text(raw, columns, long_rows, [file_stamp().alias(stamp_column)] if stamp_column else [])
+
+
+def stream_snapshots(spark: SparkSession, folder: str, stem: str, columns: list[str]) -> DataFrame:
+    """Rows of dated snapshot files as they arrive, all text, with their snapshot date.
+
+    The header of every file must have exactly `columns`, in order; any other file fails the
+    stream, because a stream has one schema. Short and long rows are treated as in `read_snapshot`.
+    """
     raw = (
-        spark.read.schema(schema)
-        .options(
-            sep=DELIMITER, header=True, quote='"', escape='"', encoding=FILE_ENCODING,
-            mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD, multiLine=multiline,
-            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-        )
-        .csv(paths)
+        spark.readStream.schema(_scan_schema(columns))
+        .options(**_scan_options(), enforceSchema=False, pathGlobFilter=f"*{stem}*")
+        .csv(folder)
     )
-    # A malformed row is kept as text; separators inside quoted fields do not count.
-    bare = F.regexp_replace(F.col(_BAD), _QUOTED_FIELD, "$1")
-    is_long = F.coalesce(F.length(bare) - F.length(F.replace(bare, F.lit(DELIMITER), F.lit(""))) >= len(columns), F.lit(False))
-    texts = [F.expr(f"coalesce({quoted(c)}, '') AS {quoted(c)}") for c in columns]
-    if long_rows == "raise":
-        failure = F.raise_error(F.concat(F.lit("row with too many fields: "), F.substring(_BAD, 1, 200))).cast("string")
-        texts[0] = F.when(is_long, failure).otherwise(texts[0]).alias(columns[0])
-    selected = list(texts)
-    if long_rows == "flag":
-        selected.append(is_long.alias("_long_row"))
-    if file_stamp:
-        selected.append(F.substring(F.col("_metadata.file_name"), 1, STAMP_LENGTH).alias(file_stamp))
-    return raw.select(*selected)
+    return _as_text(raw, columns, "raise", [to_date_strict(file_stamp()).alias(SNAPSHOT_DATE)])
 
 
 def read_dated_snapshots(
     spark: SparkSession,
-    listing: DataFrame,
+    paths: list[str],
     prepare: Callable[[DataFrame], DataFrame],
     **options,
 ) -> DataFrame:
-    """All files of a listing as one DataFrame, rows stamped with their file's date.
+    """Dated files as one DataFrame, rows stamped with their file's date.
 
     Files are grouped by header and each group is one scan, so files of different layouts can
     be mixed. `prepare` turns a scan (all text, plus the date column) into the common schema.
     """
-    paths = [row["path"] for row in listing.select("path").collect()]  # one short row per file
     by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for path in paths:
         by_header[tuple(header_of(spark, path))].append(path)
     parts = []
     for header, group in by_header.items():
-        scan = read_snapshot(spark, group, list(header), file_stamp="_stamp", **options)
+        scan = read_snapshot(spark, group, list(header), stamp_column="_stamp", **options)
         dated = scan.withColumn(SNAPSHOT_DATE, to_date_strict(F.col("_stamp"))).drop("_stamp")
         parts.append(prepare(dated))
     result = parts[0]

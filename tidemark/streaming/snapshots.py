@@ -10,12 +10,9 @@ import contextlib
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
-from tidemark.functions import quoted, to_date_strict
 from tidemark.operators.changes import IntraBatch, NullEquality
 from tidemark.plans.feeds import (
     DIGEST,
@@ -25,32 +22,9 @@ from tidemark.plans.feeds import (
     prepare_participation,
     prepare_registration,
 )
-from tidemark.schemas import SNAPSHOT_DATE
 from tidemark.session import work_folder
 from tidemark.sources.files import remove_folder
-from tidemark.sources.snapshots import DELIMITER, FILE_ENCODING, STAMP_LENGTH
-
-
-def snapshot_stream(spark: SparkSession, folder: str, stem: str, columns: list[str]) -> DataFrame:
-    """Rows of dated snapshot files as they arrive, all text, with their snapshot date.
-
-    The header of every file must have exactly `columns`, in order; any other file fails the
-    stream, because a stream has one schema. Malformed rows fail it too.
-    """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    raw = (
-        spark.readStream.schema(schema)
-        .options(
-            sep=DELIMITER, header=True, quote='"', escape='"', encoding=FILE_ENCODING, mode="FAILFAST",
-            enforceSchema=False, pathGlobFilter=f"*{stem}*",
-            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-        )
-        .csv(folder)
-    )
-    stamp = F.substring(F.col("_metadata.file_name"), 1, STAMP_LENGTH)
-    return raw.select(
-        *[F.expr(f"coalesce({quoted(c)}, '') AS {quoted(c)}") for c in columns], to_date_strict(stamp).alias(SNAPSHOT_DATE)
-    )
+from tidemark.sources.snapshots import stream_snapshots
 
 
 @contextlib.contextmanager
@@ -88,7 +62,7 @@ def stream_registrations(
         with _parsed(prepare_registration(batch)) as rows:
             apply_registrations(batch.sparkSession, rows, table, null_equality)
 
-    return _start(snapshot_stream(spark, folder, stem, columns), checkpoint, handle)
+    return _start(stream_snapshots(spark, folder, stem, columns), checkpoint, handle)
 
 
 def stream_participations(
@@ -106,4 +80,4 @@ def stream_participations(
         with _parsed(prepare_participation(batch).withColumn(DIGEST, participation_fingerprint())) as rows:
             apply_participations(batch.sparkSession, rows, table, intra_batch)
 
-    return _start(snapshot_stream(spark, folder, stem, columns), checkpoint, handle)
+    return _start(stream_snapshots(spark, folder, stem, columns), checkpoint, handle)
