@@ -25,7 +25,7 @@ def land(spark: SparkSession, rows: DataFrame, stamp: Column, stem: str) -> str:
     """Write rows as dated snapshot files `YYYYMMDD_<stem>...txt` in a new folder; returns the folder."""
     raw, folder = work_folder(spark, "raw"), work_folder(spark, "landing")
     (
-        rows.withColumn("stamp", stamp).drop("data_date", "half", "stamp_text").repartition("stamp")
+        rows.withColumn("stamp", stamp).drop("data_date", "half", "stamp_text").hint("rebalance", "stamp")
         .write.partitionBy("stamp")
         .options(sep="\t", header=True, quote='"', escape='"', encoding="ISO-8859-1", emptyValue="")
         .csv(raw)

@@ -184,6 +184,18 @@ def test_stream_fills_short_rows_and_refuses_long_ones(spark, tmp_path):
         stream_registrations(spark, str(tmp_path / "in"), "people", table, checkpoint).awaitTermination()
 
 
+def test_stream_refuses_a_late_file_of_a_date_it_has_read(spark, tmp_path):
+    table, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")
+    run = lambda: stream_registrations(spark, str(tmp_path / "in"), "people", table, checkpoint).awaitTermination()
+    write_snapshot(tmp_path / "in" / "20240101_people.a.txt", [registration("1")], REG)
+    write_snapshot(tmp_path / "in" / "20240101_people.b.txt", [registration("2")], REG)
+    run()
+    write_snapshot(tmp_path / "in" / "20240101_people.c.txt", [registration("3")], REG)
+    with pytest.raises(Exception, match="was read by an earlier run"):
+        run()
+    assert [r[0] for r in stored(spark, table)] == ["1", "2"]
+
+
 def test_stream_refuses_another_header(spark, tmp_path):
     reg_file(tmp_path / "in", "20240101", [registration("1")], list(reversed(REG)))
     with pytest.raises(Exception):

@@ -15,18 +15,21 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark import schemas
 from tidemark.operators.changes import IntraBatch, NullEquality
 from tidemark.plans.feeds import (
-    DIGEST,
     apply_participations,
     apply_registrations,
-    participation_fingerprint,
     prepare_participation,
     prepare_registration,
 )
+from tidemark.schemas import SNAPSHOT_DATE
 from tidemark.session import work_folder
-from tidemark.sources.files import remove_folder
+from tidemark.sources.files import make_folder, partition_values, remove_folder
 from tidemark.sources.snapshots import stream_snapshots
 
 
+class SplitSnapshot(RuntimeError):
+    """Files of one date arrived in different runs of a stream."""
+
+
 @contextlib.contextmanager
 def _parsed(rows: DataFrame) -> Iterator[DataFrame]:
     """Keep the rows of a batch as a work table while they are read several times."""
@@ -38,9 +41,29 @@ def _parsed(rows: DataFrame) -> Iterator[DataFrame]:
         remove_folder(spark, path)
 
 
-def _start(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame], None]) -> StreamingQuery:
+def _claim_dates(rows: DataFrame, checkpoint: str, batch_id: int) -> None:
+    """Note which batch brought each date; a second batch with the same date must not replace the first."""
+    spark, folder = rows.sparkSession, f"{checkpoint}/snapshot-dates"
+    for row in rows.select(SNAPSHOT_DATE).distinct().collect():
+        day = row[0].isoformat()
+        if any(int(claimed) != batch_id for claimed in partition_values(spark, folder, day)):
+            raise SplitSnapshot(f"snapshot {day} was read by an earlier run; rebuild the table from all its files")
+        make_folder(spark, f"{folder}/{day}={batch_id}")
+
+
+def _start(
+    stream: DataFrame,
+    checkpoint: str,
+    prepare: Callable[[DataFrame], DataFrame],
+    store: Callable[[SparkSession, DataFrame], object],
+) -> StreamingQuery:
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        with _parsed(prepare(batch)) as rows:
+            _claim_dates(rows, checkpoint, batch_id)
+            store(batch.sparkSession, rows)
+
     return (
-        stream.writeStream.foreachBatch(lambda batch, _: handle(batch))
+        stream.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -56,13 +79,13 @@ def stream_registrations(
     null_equality: NullEquality = "sql",
     columns: list[str] = schemas.REGISTRATION_COLUMNS,
 ) -> StreamingQuery:
-    """Apply all registration files that have arrived since the last call, then stop."""
+    """Apply all registration files that have arrived since the last call, then stop.
 
-    def handle(batch: DataFrame) -> None:
-        with _parsed(prepare_registration(batch)) as rows:
-            apply_registrations(batch.sparkSession, rows, table, null_equality)
-
-    return _start(stream_snapshots(spark, folder, stem, columns), checkpoint, handle)
+    All files of a date must have arrived; a later file of a date already read fails the stream.
+    """
+    stream = stream_snapshots(spark, folder, stem, columns)
+    store = lambda session, rows: apply_registrations(session, rows, table, null_equality)
+    return _start(stream, checkpoint, prepare_registration, store)
 
 
 def stream_participations(
@@ -74,10 +97,10 @@ def stream_participations(
     intra_batch: IntraBatch = "keep",
     columns: list[str] = schemas.PARTICIPATION_COLUMNS,
 ) -> StreamingQuery:
-    """Apply all participation files that have arrived since the last call, then stop."""
-
-    def handle(batch: DataFrame) -> None:
-        with _parsed(prepare_participation(batch).withColumn(DIGEST, participation_fingerprint())) as rows:
-            apply_participations(batch.sparkSession, rows, table, intra_batch)
+    """Apply all participation files that have arrived since the last call, then stop.
 
-    return _start(stream_snapshots(spark, folder, stem, columns), checkpoint, handle)
+    All files of a date must have arrived; a later file of a date already read fails the stream.
+    """
+    stream = stream_snapshots(spark, folder, stem, columns)
+    store = lambda session, rows: apply_participations(session, rows, table, intra_batch)
+    return _start(stream, checkpoint, prepare_participation, store)
