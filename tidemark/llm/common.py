@@ -33,6 +33,22 @@ def join_ids(df: DataFrame, ids: DataFrame, on: str, how: str = "left_semi", bou
     return df.join(F.broadcast(ids) if small else ids, on, how)
 
 
+def unit_hash(key: str) -> Column:
+    """A number in [0, 1) that depends on the key's text only."""
+    return F.pmod(F.xxhash64(F.lit(17), F.col(key).cast("string")), F.lit(1 << 40)) / float(1 << 40)
+
+
+def sampled_labels(labels: DataFrame, label: str, rows: int, key: str = "doc_id") -> tuple[DataFrame, dict[int, float]]:
+    """(key, label) of about `rows` rows of each class 0 and 1, chosen by a hash of the key, and the rate of each class.
+
+    The labels are narrow, so this bounds the sample before any text is read. Other labels are left out."""
+    known = labels.where(F.col(label).isin(0, 1)).select(key, F.col(label).cast("int").alias(label))
+    counts = {r[label]: r["n"] for r in known.groupBy(label).agg(F.count("*").alias("n")).collect()}
+    rate = {y: min(1.0, rows / n) for y, n in counts.items()}
+    limit = F.when(F.col(label) == 1, rate.get(1, 0.0)).otherwise(rate.get(0, 0.0))
+    return known.where(unit_hash(key) < limit), rate
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", rounds: int = 60) -> DataFrame:
     """(node, component) for every node of the edges; the component is the smallest node reachable.
 

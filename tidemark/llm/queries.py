@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, quality_rules, url_filters
-from tidemark.llm.common import table
+from tidemark.llm import jaccard_join, language_id, packing, quality_rules, toxicity, url_filters
+from tidemark.llm.common import fold, table
 
 #: FIXED VALUES: rules of the URL query (verdict, host, path), and the site labels whose pages it lists.
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -19,11 +19,22 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    samples = language_id.learn_samples(docs.where(fold("doc_id", 4) != 2))
+    found = language_id.identify(docs.select("doc_id", "text"), samples)
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     listed = pages.where(F.arrays_overlap(F.split(url_filters.host_of(F.col("url")), r"\."), F.array(*map(F.lit, UNWANTED_SITES))))
@@ -36,4 +47,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_votes(voted).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality_probability")
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op6_url_filters, op8_quality_rules)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    model = toxicity.learn(docs, labels.where(fold("doc_id", 5) != 0))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_packing, op4_jaccard_join, op6_url_filters, op8_quality_rules, op10_toxicity)}
