@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tidemark.session import work_folder
 
@@ -33,6 +34,11 @@ def join_ids(df: DataFrame, ids: DataFrame, on: str, how: str = "left_semi", bou
     return df.join(F.broadcast(ids) if small else ids, on, how)
 
 
+def schema_with(df: DataFrame, *fields: tuple[str, str]) -> StructType:
+    """The schema of a table and further (name, type) columns; `add` would change the table's own."""
+    return StructType([*df.schema.fields, *(StructField(n, StructType.fromDDL(f"x {t}")["x"].dataType) for n, t in fields)])
+
+
 def unit_hash(key: str) -> Column:
     """A number in [0, 1) that depends on the key's text only."""
     return F.pmod(F.xxhash64(F.lit(17), F.col(key).cast("string")), F.lit(1 << 40)) / float(1 << 40)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import unit_hash
+from tidemark.llm.common import schema_with, unit_hash
 from tidemark.llm.kernels import text_bytes
 
 #: Bytes of sample text for each language: a fit on a bounded sample.
@@ -154,7 +154,7 @@ def identify(docs: DataFrame, samples: tuple[tuple[str, bytes], ...], text: str
     text, one without a letter, or if nothing was learned. The score is the winner's share 1 - best / second
     mapped to 0.5 .. 1 (1 if there is one language). Other columns stay; those two are replaced."""
     kept = docs.drop("lang_pred", "score")
-    at = kept.columns.index(text)
+    at, columns = kept.columns.index(text), kept.columns
     shared = docs.sparkSession.sparkContext.broadcast(samples)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,10 +173,9 @@ def identify(docs: DataFrame, samples: tuple[tuple[str, bytes], ...], text: str
                     letters = _has_letter(batch.column(at), data, offsets)
                     found = np.where(letters, order[:, 0], len(learned))
                     score = np.where(letters, 1 - 0.5 * best / np.maximum(second, 1e-9), 0.0)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names[found].tolist(), pa.string()), pa.array(score)], [*kept.columns, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names[found].tolist(), pa.string()), pa.array(score)], [*columns, "lang_pred", "score"])
 
-    schema = kept.schema.add("lang_pred", "string").add("score", "double")
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema_with(kept, ("lang_pred", "string"), ("score", "double")))
 
 
 def _has_letter(column: pa.Array, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import sampled_labels
+from tidemark.llm.common import sampled_labels, schema_with
 from tidemark.llm.kernels import SPACE, mix, text_bytes, word_hashes
 
 BITS = 22
@@ -141,7 +141,7 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """`docs` with score (0 to 1) of every whole text; empty and null texts get the intercept's. Other columns stay."""
     kept = docs.drop("score")
-    at = kept.columns.index(text)
+    at, columns = kept.columns.index(text), kept.columns
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,6 +151,6 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for whole in batches:
             for begin in range(0, len(whole), 500):
                 batch = whole.slice(begin, 500)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own._score(table, *text_bytes(batch.column(at))))], [*kept.columns, "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own._score(table, *text_bytes(batch.column(at))))], [*columns, "score"])
 
-    return kept.mapInArrow(run, kept.schema.add("score", "double"))
+    return kept.mapInArrow(run, schema_with(kept, ("score", "double")))
