@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard_join, language_id, packing, quality_rules, toxicity, url_filters
+from tidemark.llm import jaccard_join, language_id, line_dedup, packing, quality_rules, rule_ensemble, toxicity, url_filters
 from tidemark.llm.common import fold, table
 
 #: FIXED VALUES: rules of the URL query (verdict, host, path), and the site labels whose pages it lists.
@@ -26,6 +26,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source")
@@ -35,6 +39,13 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    model = rule_ensemble.learn(docs, labels.where(fold("doc_id", 5) != 0))
+    scored = rule_ensemble.score(docs, model)
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     listed = pages.where(F.arrays_overlap(F.split(url_filters.host_of(F.col("url")), r"\."), F.array(*map(F.lit, UNWANTED_SITES))))
@@ -54,4 +65,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_packing, op4_jaccard_join, op6_url_filters, op8_quality_rules, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_line_dedup, op3_packing, op4_jaccard_join, op5_rule_ensemble, op6_url_filters, op8_quality_rules, op10_toxicity)}
