@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard_join, language_id, line_dedup, packing, quality_rules, rule_ensemble, toxicity, url_filters
+from tidemark.llm import decontaminate, jaccard_join, language_id, line_dedup, packing, quality_rules, rule_ensemble, toxicity, url_filters
 from tidemark.llm.common import fold, table
 
 #: FIXED VALUES: rules of the URL query (verdict, host, path), and the site labels whose pages it lists.
@@ -53,6 +53,10 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "listed")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     voted = quality_rules.quality_votes(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     return quality_rules.judge_votes(voted).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality_probability")
@@ -65,4 +69,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_line_dedup, op3_packing, op4_jaccard_join, op5_rule_ensemble, op6_url_filters, op8_quality_rules, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_line_dedup, op3_packing, op4_jaccard_join, op5_rule_ensemble, op6_url_filters, op7_decontaminate, op8_quality_rules, op10_toxicity)}
