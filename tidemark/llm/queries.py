@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard_join, language_id, line_dedup, packing, quality_rules, rule_ensemble, toxicity, url_filters
+from tidemark.llm import decontaminate, jaccard_join, language_id, line_dedup, packing, quality_rules, rule_ensemble, suffix_dedup, toxicity, url_filters
 from tidemark.llm.common import fold, table
 
 #: FIXED VALUES: rules of the URL query (verdict, host, path), and the site labels whose pages it lists.
@@ -62,6 +62,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_votes(voted).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality_probability")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["begin"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
     model = toxicity.learn(docs, labels.where(fold("doc_id", 5) != 0))
@@ -69,4 +75,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_line_dedup, op3_packing, op4_jaccard_join, op5_rule_ensemble, op6_url_filters, op7_decontaminate, op8_quality_rules, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_line_dedup, op3_packing, op4_jaccard_join, op5_rule_ensemble, op6_url_filters, op7_decontaminate, op8_quality_rules, op9_suffix_dedup, op10_toxicity)}
