@@ -3,7 +3,7 @@
 1. Every text becomes a set of word-shingle hashes; texts with equal sets form one class.
 2. A first forest: classes that agree in a band of minimum hashes are compared with the smallest class of the band. This only
    saves work later; it need not find all links.
-3. Completion: two sets that link share a shingle among the first `n - ceil(t * n) + 1` of both in any common order.
+3. Completion: two sets that link share k shingles among the first `n - ceil(t * n) + k` of both in any common order.
    Shingles that are frequent in some task come last in that order, so few classes meet in a frequent one. Of the
    shingles that meet in two groups or more of the first forest, each gets a signature tree over
    its classes: nodes hold OR-combined bitmaps of shingles and ranges of set sizes, and a dual traversal drops
@@ -112,6 +112,13 @@ def verified_pairs(pairs: DataFrame, docs: DataFrame, key: str, text: str, words
     return both.mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def shared_least(size):
+    """How many leading shingles two linked sets share at least, the smaller having this size.
+
+    Sets with an overlap of o share k among their first `size - o + k` shingles, for any k."""
+    return 1 + size // 20
+
+
 def _ratio(threshold: float) -> tuple[int, int]:
     whole = round(threshold * 10_000)
     return whole // math.gcd(whole, 10_000), 10_000 // math.gcd(whole, 10_000)
@@ -161,7 +168,7 @@ def first_shingles(docs: DataFrame, key: str, text: str, words: int, threshold:
             for s, i in zip(_sets(batch.column(1), words), ids, strict=True):
                 if not len(s) or i is None:
                     continue
-                count = len(s) - -(-num * len(s) // den) + 1
+                count = len(s) - -(-num * len(s) // den) + shared_least(len(s))
                 if len(late):
                     odd = near[(s >> np.uint64(42)).astype(np.int64)]
                     if odd.any():
@@ -169,6 +176,7 @@ def first_shingles(docs: DataFrame, key: str, text: str, words: int, threshold:
                         at = np.minimum(np.searchsorted(late, s[where]), len(late) - 1)
                         odd[where] = late[at] == s[where]
                         s = np.concatenate([s[~odd], s[odd]])
+                count = min(count, len(s))
                 shingle.append(s[:count])
                 owner.append(np.full(count, i, np.int64))
                 held += count
@@ -246,7 +254,8 @@ def tree_pairs(size: np.ndarray, group: np.ndarray, bits: np.ndarray, side: np.n
 
 
 def candidate_pairs(members: DataFrame, threshold: float) -> DataFrame:
-    """Distinct pairs (a, b) of ids that may link, from rows (shingle, id, n, grp, bits).
+    """Distinct pairs (a, b) of ids that may link, from rows (shingle, id, n, grp, bits): those that the trees of enough
+    shingles let through.
 
     Rows meet in shards of one shingle and one band of sizes: sizes of linked sets differ by at most the threshold, so a set
     also visits the next band, where it is only compared with that band's own. Shards beyond TREE rows are cut into blocks and each
@@ -263,13 +272,16 @@ def candidate_pairs(members: DataFrame, threshold: float) -> DataFrame:
     kind = dict(members.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: set[tuple] = set()
+        found: dict[tuple, int] = {}
+        sizes: dict[tuple, int] = {}
         rest: pa.Table | None = None
 
         def emit() -> pa.RecordBatch:
             pairs = sorted(found)
+            out = [[p[0] for p in pairs], [p[1] for p in pairs], [found[p] for p in pairs], [shared_least(sizes[p]) for p in pairs]]
             found.clear()
-            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["a", "b"])
+            sizes.clear()
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["a", "b", "c", "k"])
 
         def work(t: pa.Table) -> None:
             shard, ids = t.column(0).to_numpy(), t.column(1).to_numpy()
@@ -280,7 +292,9 @@ def candidate_pairs(members: DataFrame, threshold: float) -> DataFrame:
                 for x, y in tree_pairs(n[a:b], grp[a:b], bits[a:b], side[a:b], threshold).tolist():
                     u, v = int(ids[a + x]), int(ids[a + y])
                     if u != v:
-                        found.add((min(u, v), max(u, v)))
+                        pair = (min(u, v), max(u, v))
+                        found[pair] = found.get(pair, 0) + 1
+                        sizes[pair] = int(min(n[a + x], n[a + y]))
 
         for batch in batches:
             whole = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
@@ -294,7 +308,8 @@ def candidate_pairs(members: DataFrame, threshold: float) -> DataFrame:
             work(rest)
         yield emit()
 
-    return shards.mapInArrow(run, "a bigint, b bigint").select(F.col("a").cast(kind), F.col("b").cast(kind)).distinct()
+    met = shards.mapInArrow(run, "a bigint, b bigint, c bigint, k bigint").groupBy("a", "b").agg(F.sum("c").alias("c"), F.max("k").alias("k"))
+    return met.where("c >= k").select(F.col("a").cast(kind), F.col("b").cast(kind))
 
 
 def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, threshold: float = 0.75) -> DataFrame:
