@@ -124,7 +124,7 @@ def _ratio(threshold: float) -> tuple[int, int]:
     return whole // math.gcd(whole, 10_000), 10_000 // math.gcd(whole, 10_000)
 
 
-def first_shingles(docs: DataFrame, key: str, text: str, words: int, threshold: float, frequent: np.ndarray) -> tuple[DataFrame, DataFrame]:
+def first_shingles(docs: DataFrame, key: str, text: str, words: int, threshold: float, frequent: np.ndarray, total: int) -> DataFrame:
     """Rows (shingle, id) of the leading part of every set, for shingles that lead in two rows or more.
 
     A task sends each shingle once for all its rows, packed by ranges of hashes; ids of shingles that it has seen
@@ -154,12 +154,12 @@ def first_shingles(docs: DataFrame, key: str, text: str, words: int, threshold:
             blobs = [values[first[a:b]].tobytes() for a, b in zip(edges, stops, strict=True)]
             owners = [ids[first[a:b]].tobytes() for a, b in zip(edges, stops, strict=True)]
             flags = [twice[a:b].tobytes() for a, b in zip(edges, stops, strict=True)]
-            # rows of shingles seen twice: one packed row, bucket -1
+            # further rows of shingles seen twice need no count: they may go anywhere, in packed pieces
             rest = np.flatnonzero(~fresh)
-            if len(rest):
-                kinds.append(-1)
-                blobs.append(values[rest].tobytes())
-                owners.append(ids[rest].tobytes())
+            for a in range(0, len(rest), 50_000):
+                kinds.append(-1 - int(values[rest[a]] >> np.uint64(52)))
+                blobs.append(values[rest[a : a + 50_000]].tobytes())
+                owners.append(ids[rest[a : a + 50_000]].tobytes())
                 flags.append(b"")
             return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary()), pa.array(owners, pa.binary()), pa.array(flags, pa.binary())], ["bucket", "shingles", "ids", "twice"])
 
@@ -186,10 +186,14 @@ def first_shingles(docs: DataFrame, key: str, text: str, words: int, threshold:
         if held:
             yield send()
 
-    packed = materialize(rows.mapInArrow(run, "bucket int, shingles binary, ids binary, twice binary"), "leading")
-
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(np.frombuffer(s, np.uint64), np.frombuffer(i, np.int64), np.frombuffer(t, bool)) for b in batches for s, i, t in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+        names, parts = ["shingle", "id"], []
+        for b in batches:
+            for kind, s, i, t in zip(*(b.column(c).to_pylist() for c in range(4)), strict=True):
+                if kind < 0:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(s, np.int64)), pa.array(np.frombuffer(i, np.int64))], names)
+                else:
+                    parts.append((np.frombuffer(s, np.uint64), np.frombuffer(i, np.int64), np.frombuffer(t, bool)))
         if not parts:
             return
         values, ids, twice = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -197,17 +201,12 @@ def first_shingles(docs: DataFrame, key: str, text: str, words: int, threshold:
         values, ids, twice = values[order], ids[order], twice[order]
         same = values[1:] == values[:-1]
         keep = twice | np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        yield pa.RecordBatch.from_arrays([pa.array(values[keep].view(np.int64)), pa.array(ids[keep])], ["shingle", "id"])
-
-    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for s, i in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(s, np.int64)), pa.array(np.frombuffer(i, np.int64))], ["shingle", "id"])
+        yield pa.RecordBatch.from_arrays([pa.array(values[keep].view(np.int64)), pa.array(ids[keep])], names)
 
-    size = packed.agg(F.sum(F.length("shingles"))).first()[0] or 0
-    tasks = max(1, min(4096, math.ceil(2.2 * size / 24e6)))  # about 24 MB of shingles and ids each
-    once = packed.where("bucket >= 0").repartition(tasks, "bucket").mapInArrow(repeated, "shingle bigint, id bigint")
-    return once.unionByName(packed.where("bucket < 0").mapInArrow(unpacked, "shingle bigint, id bigint"))
+    # about 24 MB of shingles and ids a task; leading shingles are a fixed share of all
+    tasks = max(1, min(4096, math.ceil((1 - threshold + 0.05) * total * 17 / 24e6)))
+    packed = rows.mapInArrow(run, "bucket int, shingles binary, ids binary, twice binary").repartition(tasks, "bucket")
+    return packed.mapInArrow(repeated, "shingle bigint, id bigint")
 
 
 def tree_pairs(size: np.ndarray, group: np.ndarray, bits: np.ndarray, side: np.ndarray, threshold: float) -> np.ndarray:
@@ -338,13 +337,15 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     forest = connected_components(edges.unionByName(same))
 
     # the links that it missed
-    group = materialize(
-        member.join(forest.withColumnRenamed("node", "id"), "id", "left").select("id", "rep", F.coalesce("component", "id").cast("bigint").alias("grp")), "groups"
-    )
-    leading = first_shingles(docs, key, text, words, threshold, frequent)
-    placed = materialize(leading.join(group.select(F.col("id").cast("bigint").alias("id"), F.col("rep").cast("bigint").alias("rep"), "grp"), "id").select("shingle", "rep", "grp").distinct(), "placed")
+    copies = materialize(member.where("id <> rep").select(F.col("id").alias(key)).distinct(), "copies")
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    firsts = docs.where(F.col(key).isNotNull()).select(key, text)
+    leading = first_shingles(join_ids(firsts, copies, key, "left_anti"), key, text, words, threshold, frequent, total)
+    group = classes.join(forest.withColumnRenamed("node", "rep"), "rep", "left").select(F.col("rep").cast("bigint").alias("rep"), F.coalesce("component", "rep").cast("bigint").alias("grp"), "n", "bits")
+    group = materialize(group, "groups")
+    placed = materialize(leading.join(group.select(F.col("rep").alias("id"), "grp"), "id"), "placed")
     mixed = placed.groupBy("shingle").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 <> g1").select("shingle")
-    met = placed.join(mixed, "shingle").join(classes.select(F.col("rep").cast("bigint").alias("rep"), "n", "bits"), "rep").select("shingle", F.col("rep").alias("id"), "n", "grp", "bits")
+    met = placed.join(mixed, "shingle").select("shingle", "id").join(group.withColumnRenamed("rep", "id"), "id").select("shingle", "id", "n", "grp", "bits")
     pairs = materialize(candidate_pairs(met, threshold), "pairs")
     kind = dict(rows.dtypes)["id"]
     more = materialize(verified_pairs(pairs.select(F.col("a").cast(kind), F.col("b").cast(kind)), docs, key, text, words, threshold), "links")
