@@ -4,7 +4,8 @@ Lines are compared in normalised form: A-Z lower-cased, ASCII punctuation and wh
 fewer than MIN_WORDS words stay out. Equal lines are one node, named by its first occurrence. Nodes whose 64-bit SimHashes differ in at
 most DISTANCE bits agree in `agree` of `blocks` blocks for some choice of blocks, so they meet in one of the
 tables keyed by such a choice; they are linked if the edit similarity of the lines is high enough. Every
-group of linked lines keeps its first occurrence (smallest document, then line)."""
+group of linked lines keeps its first occurrence (smallest document, then line). Links are looked for twice: first each hash with
+the smallest one near it, which joins a large group of near copies by a tree; then all near pairs of different trees."""
 
 from __future__ import annotations
 
@@ -31,26 +32,29 @@ _soft[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = 32
 _spread = np.array([sum(((b >> k) & 1) << (8 * k) for k in range(8)) for b in range(256)], np.uint64)
 
 
-def simhashes(words: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """64-bit SimHash over the words of every row; 0 for a row without words."""
+def simhashes(words: np.ndarray, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """64-bit SimHash over the words of every row, weighted by `weight` (1 to 15 each); 0 for a row without words."""
     counts = np.diff(at)
     out = np.zeros(len(counts), np.uint64)
     live = np.flatnonzero(counts)
     if not len(live):
         return out
-    parts = -(-counts[live] // 255)  # byte counters hold 255
+    parts = -(-counts[live] // 17)  # byte counters hold 17 * 15
     row = np.repeat(np.arange(len(live)), parts)
-    begin = at[:-1][live][row] + 255 * (np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts))
-    octets = words.view(np.uint8).reshape(-1, 8)
-    sums = np.stack([np.add.reduceat(_spread[octets[:, k]], begin) for k in range(8)], 1)
+    begin = at[:-1][live][row] + 17 * (np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts))
+    octets, factor = words.view(np.uint8).reshape(-1, 8), weight.astype(np.uint64)
+    sums = np.stack([np.add.reduceat(_spread[octets[:, k]] * factor, begin) for k in range(8)], 1)
     ones = np.add.reduceat(sums.view(np.uint8).reshape(len(begin), 64).astype(np.int32), np.cumsum(parts) - parts, axis=0)
-    bits = (2 * ones > counts[live][:, None]).astype(np.uint8)
+    total = np.add.reduceat(weight.astype(np.int64), at[:-1][live])
+    bits = (2 * ones > total[:, None]).astype(np.uint8)
     out[live] = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)[:, 0]
     return out
 
 
 def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc, line, d1, d2, sim) of every line with at least MIN_WORDS words; lines count from 0 at each newline."""
+    """(doc, line, d1, d2, sim, size) of every line with at least MIN_WORDS words; lines count from 0 at each newline.
+
+    size: characters of the normalised line. Words weigh by their letters in the SimHash, up to 15."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -62,7 +66,7 @@ def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
                 doc = np.searchsorted(offsets, starts, side="right") - 1
                 # a break at the end of a text, or an empty text, gives an empty line that counts for the wrong row: it has no words
                 edges = np.concatenate([starts, [len(data)]])
-                hashes, at, _, _ = word_hashes(_soft[data], edges)
+                hashes, at, first, last = word_hashes(_soft[data], edges)
                 counts = np.diff(at)
                 keep = np.flatnonzero(counts >= MIN_WORDS)
                 if not len(keep):
@@ -73,14 +77,18 @@ def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
                 run1 = np.concatenate([[np.uint64(0)], np.cumsum(one)])
                 run2 = np.concatenate([[np.uint64(0)], np.cumsum(mix(one ^ np.uint64(0xA5A5A5A5A5A5A5A5)))])
                 d1, d2 = run1[at[1:]] - run1[at[:-1]], run2[at[1:]] - run2[at[:-1]]
-                sim = simhashes(hashes, at)
+                letters = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+                letters = letters[last] - letters[first]
+                sim = simhashes(hashes, at, np.clip(letters, 1, 15))
+                size = np.concatenate([[0], np.cumsum(letters + 1)])
+                size = size[at[1:]] - size[at[:-1]] - 1
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(doc[keep])), pa.array(before.astype(np.int32)), pa.array(d1[keep].view(np.int64)), pa.array(d2[keep].view(np.int64)), pa.array(sim[keep].view(np.int64))],
-                    ["doc", "line", "d1", "d2", "sim"],
+                    [batch.column(0).take(pa.array(doc[keep])), pa.array(before.astype(np.int32)), pa.array(d1[keep].view(np.int64)), pa.array(d2[keep].view(np.int64)), pa.array(sim[keep].view(np.int64)), pa.array(size[keep].astype(np.int32))],
+                    ["doc", "line", "d1", "d2", "sim", "size"],
                 )
 
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc {dict(rows.dtypes)['doc']}, line int, d1 bigint, d2 bigint, sim bigint")
+    return rows.mapInArrow(run, f"doc {dict(rows.dtypes)['doc']}, line int, d1 bigint, d2 bigint, sim bigint, size int")
 
 
 def _keys(sims: np.ndarray, blocks: int, agree: int) -> Iterator[np.ndarray]:
@@ -90,8 +98,10 @@ def _keys(sims: np.ndarray, blocks: int, agree: int) -> Iterator[np.ndarray]:
         yield sims & np.bitwise_or.reduce(np.array(chosen))
 
 
-def similar_hashes(sims: DataFrame, count: int) -> DataFrame:
-    """Distinct pairs (x < y as unsigned) of different SimHashes within DISTANCE bits."""
+def similar_hashes(sims: DataFrame, count: int, every: bool) -> DataFrame:
+    """Pairs (x, y) of different SimHashes within DISTANCE bits, from rows (sim, grp).
+
+    every: all such pairs but those of one group; else, in each table, one row for a hash, with the smallest hash near it."""
     _, blocks, agree = next(t for t in TABLES if count <= t[0])
     tables = len(list(itertools.combinations(range(blocks), agree)))
     parts = max(1, -(-count * 8 // 4_000_000))  # of a table: about 4 MB each
@@ -99,38 +109,45 @@ def similar_hashes(sims: DataFrame, count: int) -> DataFrame:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column(0).to_numpy().view(np.uint64)
+            group = batch.column(1).to_numpy() if every else values
             for t, key in enumerate(_keys(values, blocks, agree)):
                 part = (mix(key) % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 edges = np.searchsorted(part[order], np.arange(parts + 1))
                 found = np.flatnonzero(np.diff(edges))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array((found + t * parts).astype(np.int32)), pa.array([values[order[edges[p] : edges[p + 1]]].tobytes() for p in found], pa.binary())], ["bucket", "sims"]
+                    [pa.array((found + t * parts).astype(np.int32)), *(pa.array([v[order[edges[p] : edges[p + 1]]].tobytes() if every or v is values else b"" for p in found], pa.binary()) for v in (values, group))], ["bucket", "sims", "groups"]
                 )
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[bytes]] = defaultdict(list)
+        held: dict[int, list[tuple[bytes, bytes]]] = defaultdict(list)
         for batch in batches:
-            for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held[bucket].append(blob)
+            for bucket, blob, groups in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held[bucket].append((blob, groups))
         for bucket, blobs in sorted(held.items()):
-            values = np.frombuffer(b"".join(blobs), np.uint64)
+            values = np.frombuffer(b"".join(b for b, _ in blobs), np.uint64)
+            group = np.frombuffer(b"".join(g for _, g in blobs), np.int64) if every else None
             key = next(itertools.islice(_keys(values, blocks, agree), bucket // parts, None))
-            order = np.argsort(key, kind="stable")
+            order = np.lexsort((values, key))
             values, key = values[order], key[order]
-            live = np.arange(len(values) - 1) if len(values) else np.zeros(0, np.int64)
-            gap = 1
+            least = values.copy()
+            live, gap = np.arange(len(values)), 1
             while len(live):
                 live = live[live + gap < len(values)]
                 live = live[key[live] == key[live + gap]]
-                a, b = values[live], values[live + gap]
-                near = np.bitwise_count(a ^ b) <= DISTANCE
-                if near.any():
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[near].view(np.int64)), pa.array(np.maximum(a, b)[near].view(np.int64))], ["x", "y"])
+                near = live[np.bitwise_count(values[live] ^ values[live + gap]) <= DISTANCE]
+                if every:
+                    near = near[group[order[near]] != group[order[near + gap]]]
+                    yield pa.RecordBatch.from_arrays([pa.array(values[near].view(np.int64)), pa.array(values[near + gap].view(np.int64))], ["x", "y"])
+                else:
+                    least[near + gap] = np.minimum(least[near + gap], values[near])
                 gap += 1
+            if not every:
+                near = np.flatnonzero(least != values)
+                yield pa.RecordBatch.from_arrays([pa.array(values[near].view(np.int64)), pa.array(least[near].view(np.int64))], ["x", "y"])
 
-    dealt = sims.mapInArrow(deal, "bucket int, sims binary")
-    tasks = max(1, min(tables * parts, -(-tables * count * 8 // 16_000_000)))
+    dealt = sims.select("sim", "grp").mapInArrow(deal, "bucket int, sims binary, groups binary")
+    tasks = max(1, min(tables * parts, -(-tables * count * (16 if every else 8) // 16_000_000)))
     return dealt.repartition(tasks, "bucket").mapInArrow(meet, "x bigint, y bigint").distinct()
 
 
@@ -196,16 +213,36 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", simila
     stay; an empty table stays empty."""
     docs = docs.drop("n_lines_removed")
     lines = materialize(lines_of(docs, key, text), "lines")
-    nodes = lines.groupBy("d1", "d2").agg(F.min(F.struct("doc", "line")).alias("first"), F.first("sim").alias("sim"), F.count("*").alias("n"))
+    nodes = lines.groupBy("d1", "d2").agg(F.min(F.struct("doc", "line")).alias("first"), F.first("sim").alias("sim"), F.first("size").alias("size"), F.count("*").alias("n"))
     nodes = materialize(nodes, "nodes")
-    sims = materialize(nodes.groupBy("sim").agg(F.count("*").alias("n")), "sims")
-    pairs = similar_hashes(sims.select("sim"), sims.count())
-    equal = sims.where("n > 1").select(F.col("sim").alias("x"), F.col("sim").alias("y"))
-    pairs = materialize(pairs.unionByName(equal), "pairs")
-    left = pairs.join(nodes.select(F.col("sim").alias("x"), F.col("first").alias("a")), "x")
-    spots = left.join(nodes.select(F.col("sim").alias("y"), F.col("first").alias("b")), "y").where("x <> y or a < b").select("a", "b")
-    links = linked_lines(materialize(spots, "spots"), docs, key, text, similarity)
-    groups = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    sims = materialize(nodes.groupBy("sim").agg(F.count("*").alias("n"), F.min(F.struct("first", "size")).alias("one")), "sims")
+
+    def spots(left: DataFrame, right: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) of nodes by pairs of SimHashes; only lines of similar length can have similar edits."""
+        a = left.select(F.col("sim").alias("x"), F.col("first").alias("a"), F.col("size").alias("sa"), F.col("grp").alias("ga"))
+        b = right.select(F.col("sim").alias("y"), F.col("first").alias("b"), F.col("size").alias("sb"), F.col("grp").alias("gb"))
+        near = pairs.join(a, "x").join(b, "y").where(F.abs(F.col("sa") - F.col("sb")) <= (1 - similarity) * F.greatest("sa", "sb") + 1e-9)
+        return near.where("a <> b and (ga is null or gb is null or ga <> gb)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    # first a tree: each hash with the smallest one near it, each line with the first of its hash
+    none = F.lit(None).cast(dict(nodes.dtypes)["first"])
+    plain = nodes.withColumn("grp", none)
+    heads = sims.select("sim", F.col("one.first").alias("first"), F.col("one.size").alias("size")).withColumn("grp", none)
+    near = materialize(similar_hashes(sims.withColumn("grp", F.col("sim")), sims.count(), every=False), "near")
+    equal = materialize(sims.where("n > 1").select(F.col("sim").alias("x"), F.col("sim").alias("y")), "equal")
+    trees = spots(heads, heads, near).unionByName(spots(plain, heads, equal))
+    links = materialize(linked_lines(materialize(trees, "spots"), docs, key, text, similarity), "links")
+    forest = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    # then every pair of near hashes, of those that have any, whose lines are in different trees
+    busy = near.select(F.explode(F.array("x", "y")).alias("sim")).unionByName(equal.select(F.col("x").alias("sim"))).distinct()
+    rest = nodes.join(busy, "sim").join(forest.withColumnRenamed("node", "first"), "first", "left")
+    rest = materialize(rest.select("sim", "first", "size", F.coalesce("component", "first").alias("grp")), "rest")
+    label = F.xxhash64(F.col("least"))
+    busy = rest.groupBy("sim").agg(F.min("grp").alias("least"), F.max("grp").alias("most"))
+    busy = materialize(busy.select("sim", F.when(F.col("least") == F.col("most"), label).otherwise(F.xxhash64("sim", F.lit(1))).alias("grp"), (F.col("least") != F.col("most")).alias("mixed")), "busy")
+    pairs = similar_hashes(busy, sims.count(), every=True).unionByName(busy.where("mixed").select(F.col("sim").alias("x"), F.col("sim").alias("y")))
+    more = linked_lines(materialize(spots(rest, rest, pairs), "spots"), docs, key, text, similarity)
+    groups = connected_components(links.unionByName(more).select(F.col("a").alias("src"), F.col("b").alias("dst")))
     better = groups.where("node <> component").select(F.col("node").alias("first"), F.col("component").alias("kept"))
     judged = nodes.join(better, "first", "left").where("n > 1 or kept is not null").select("d1", "d2", F.coalesce("kept", "first").alias("kept"))
     gone = lines.join(judged, ["d1", "d2"]).where(F.struct("doc", "line") != F.col("kept"))
