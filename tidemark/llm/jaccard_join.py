@@ -31,6 +31,8 @@ LEAF = 32
 FREQUENT = 500_000
 #: Classes of one shingle and size band that share a tree; larger groups are cut into pairs of blocks.
 TREE = 4096
+#: Sets of a shingle for each place that its lowest set's shingles are dealt to.
+SPREAD = 64
 _SEEDS = mix(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 
 
@@ -262,12 +264,14 @@ def candidate_pairs(members: DataFrame, threshold: float) -> DataFrame:
     base = math.log(1 / threshold)
     banded = members.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / base + 1e-9))
     visits = banded.withColumn("side", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("band", F.col("band") + F.col("side"))
-    counts = visits.groupBy("shingle", "band").agg(F.count("*").alias("m"), F.min("side").alias("own"), F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("m > 1 and own = 0 and g0 <> g1")
-    visits = visits.join(counts.select("shingle", "band", F.ceil(F.col("m") / TREE).alias("blocks")), ["shingle", "band"])
+    counts = visits.groupBy("shingle", "band").agg(F.count("*").alias("m"), F.min("side").alias("own"), F.min("grp").alias("g0"), F.max("grp").alias("g1"), F.min("id").alias("lead")).where("m > 1 and own = 0 and g0 <> g1")
+    visits = visits.join(counts.select("shingle", "band", "lead", F.ceil(F.col("m") / SPREAD).alias("spread"), F.ceil(F.col("m") / TREE).alias("blocks")), ["shingle", "band"])
     block = F.pmod(F.xxhash64("id"), F.col("blocks"))
     cut = F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("long"))).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: F.least(j, block) * F.col("blocks") + F.greatest(j, block)))
     shards = visits.withColumn("pair", F.explode(cut)).withColumn("shard", F.xxhash64("shingle", "band", "pair"))
-    shards = shards.select("shard", "id", "n", "grp", "bits", "side").repartition("shard").sortWithinPartitions("shard")
+    # shingles of the same few sets meet in one task, which counts their pairs; those of many sets are spread
+    shards = shards.withColumn("place", F.xxhash64("lead", F.pmod(F.col("shard"), F.col("spread")))).repartition("place").sortWithinPartitions("shard")
+    shards = shards.select("shard", "id", "n", "grp", "bits", "side")
     kind = dict(members.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
