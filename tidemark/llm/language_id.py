@@ -77,7 +77,7 @@ def suffix_automaton(text: list[int], symbols: int) -> np.ndarray:
 
 
 def _build(samples: tuple[tuple[str, bytes], ...]) -> tuple:
-    """(symbol of each byte, one flat table of all automata, root of each, bits of each sample)."""
+    """(symbol of each byte, one flat table of all automata, start of each, bits of each sample)."""
     if samples in _automata:
         return _automata[samples]
     folded = [_fold(np.frombuffer(text, np.uint8)) for _, text in samples]
@@ -86,24 +86,27 @@ def _build(samples: tuple[tuple[str, bytes], ...]) -> tuple:
     symbol = np.zeros(256, np.int64)
     symbol[used] = np.arange(1, len(used) + 1)
     symbols = len(used) + 1
-    tables, roots, base = [], [], 0
+    tables, starts, base = [], [], 0
     for text in folded:
         step = suffix_automaton(symbol[text].tolist(), symbols)
         step[:, 0] = -1  # the shared symbol never matches
-        again = np.where(step[0] >= 0, step[0], 0)
+        # the last row stands for no phrase at all: before the first symbol, and after one that the sample lacks
+        start = len(step)
+        step = np.vstack([step, np.full((1, symbols), -1, np.int32)])
+        again = np.where(step[0] >= 0, step[0], start)
         # without a transition the phrase ends and the symbol begins the next one: negative marks it
         tables.append(np.where(step >= 0, (step + base) * symbols, ~((again[None, :] + base) * symbols)).astype(np.int32))
-        roots.append(base * symbols)
+        starts.append((base + start) * symbols)
         base += len(step)
-    out = (symbol.astype(np.int32), np.concatenate(tables).reshape(-1), np.array(roots, np.int32), np.array([np.log2(max(2, len(t))) for t in folded]))
+    out = (symbol.astype(np.int32), np.concatenate(tables).reshape(-1), np.array(starts, np.int32), np.array([np.log2(max(2, len(t))) for t in folded]))
     _automata.clear()
     _automata[samples] = out
     return out
 
 
 def phrase_counts(data: np.ndarray, offsets: np.ndarray, samples: tuple[tuple[str, bytes], ...]) -> np.ndarray:
-    """Phrases [row, language] of greedy longest matches."""
-    symbol, table, roots, _ = _build(samples)
+    """Phrases [row, language] of greedy longest matches; a symbol that the sample lacks is a phrase."""
+    symbol, table, starts, _ = _build(samples)
     codes = symbol[_fold(data)]
     sizes = np.diff(offsets)
     parts = -(-sizes // SEGMENT)
@@ -115,14 +118,14 @@ def phrase_counts(data: np.ndarray, offsets: np.ndarray, samples: tuple[tuple[st
     total = np.zeros((len(sizes), len(samples)), np.int64)
     alive = np.searchsorted(-size, -np.arange(SEGMENT), side="left")  # segments longer than t
     for k in range(len(samples)):
-        state = np.full(len(row), roots[k], np.int32)
-        count = np.ones(len(row), np.int32)
+        state = np.full(len(row), starts[k], np.int32)
+        count = np.zeros(len(row), np.int32)
         for t in range(SEGMENT):
             n = alive[t]
             if not n:
                 break
             to = table[state[:n] + codes[begin[:n] + t]]
-            ended = to >> 31  # -1 where a phrase ends
+            ended = to >> 31  # -1 where a phrase begins
             count[:n] -= ended
             state[:n] = to ^ ended
         np.add.at(total[:, k], row, count)
