@@ -66,7 +66,7 @@ def test_windows_line_ends_and_header(spark, tmp_path):
 
 
 def test_listing_is_dated_sorted_and_filtered(spark, tmp_path):
-    for name in ("20240108_feed.txt", "20240101_feed.txt", "feed.txt", "20240101_other.txt", "20240101_feed.zip"):
+    for name in ("20240108_feed.txt", "20240101_feed.txt", "feed.txt", "20240101_other.txt", "20240101_other.zip"):
         (tmp_path / name).write_text("a\n1\n")
     found = list_snapshots(spark, str(tmp_path), "feed").collect()
     assert [(r.file_name, r.stem, r.stamp, r.snapshot_date) for r in found] == [

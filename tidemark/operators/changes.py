@@ -78,38 +78,37 @@ def keep_changes(
     order_col: str,
     null_equality: NullEquality = "sql",
     baseline: DataFrame | None = None,
+    digest: str | None = None,
 ) -> DataFrame:
     """Rows of a series of snapshots that differ from the previous row of their key.
 
     Gives what applying the snapshots one by one, oldest first, would store: a row that was
     skipped equals the latest stored one, so comparing with the previous *observed* row is the
     same. A key missing from some snapshots does not end its version. `baseline` holds the
-    latest row per key stored before the series; it is compared with but not returned.
+    latest row per key stored before the series; it is compared with but not returned. Only digests of
+    the compared columns are carried from row to row; name the `digest` column if both tables have it, then
+    nothing else of the baseline is read.
 
     `rows` must have one row per (key, order_col) — check with `key_violations`, or reduce with
     `latest_per_key([key, order_col], ...)`. A window group then has at most one row per
     snapshot date (plus the baseline row), however many rows the table has.
     """
     _known(null_equality, ("sql", "null_safe"), "null_equality")
-    columns = rows.columns
-    values = [c for c in columns if c not in (key, order_col)]
-
-    def packed(df: DataFrame, own: bool) -> DataFrame:
-        packed_values = F.struct(*values) if values else F.struct(F.lit(1).alias("_nothing"))
-        return df.select(
-            key, order_col, packed_values.alias("_values"), has_null([key, *values]).alias("_has_null"), F.lit(own).alias("_own")
-        )
-
-    series = packed(rows, True)
+    values = [c for c in rows.columns if c not in (key, order_col, digest)]
+    mark = digest or "_digest"
+    own = rows if digest else rows.withColumn(mark, row_digest([key, *values]))
+    own = own.withColumns({"_has_null": has_null([key, *values]), "_own": F.lit(True)})
+    series = own
     if baseline is not None:
-        series = series.unionByName(packed(baseline.select(*columns), False))
-    previous = F.lag("_values").over(Window.partitionBy(key).orderBy(order_col))
-    # Structs compare field by field with NULL equal to NULL.
-    same = F.col("_values").eqNullSafe(F.col("_previous"))
+        stored = baseline if digest else baseline.withColumn(mark, row_digest([key, *values]))
+        known = stored.select(key, order_col, mark).withColumn("_own", F.lit(False))
+        series = own.unionByName(known, allowMissingColumns=True)
+    previous = F.lag(mark).over(Window.partitionBy(key).orderBy(order_col))
+    same = F.col(mark).eqNullSafe(F.col("_previous"))
     if null_equality == "sql":
         same = same & ~F.col("_has_null")
     kept = series.withColumn("_previous", previous).where(F.col("_own") & (F.col("_previous").isNull() | ~same))
-    return kept.select(key, order_col, "_values.*").select(*columns)
+    return kept.select(*rows.columns)
 
 
 def new_rows(

@@ -22,7 +22,8 @@ def placeholder_share(df: DataFrame, column: str, group: str, literal: str = PLA
         F.count(F.lit(1)).alias("record_count"),
         F.count_if(F.col(column) == literal).alias("placeholder_count"),
     )
-    total = counts.agg(F.sum("placeholder_count")).scalar()
+    # both sums, so that the subquery is the same plan and reuses the grouping
+    total = counts.agg(F.struct(F.sum("placeholder_count").alias("p"), F.sum("record_count").alias("r"))).scalar()["p"]
     return counts.select(
         "*",
         percentage(F.col("placeholder_count"), F.col("record_count")).alias("pct_of_group"),

@@ -142,6 +142,16 @@ def _save_latest(spark: SparkSession, table: str, day: str, before: DataFrame, s
         F.when(F.col("_key").isNotNull(), F.lit(day).cast("date")).otherwise(F.col(SNAPSHOT_DATE)).alias(SNAPSHOT_DATE),
         F.when(F.col("_key").isNotNull(), F.col("_new")).otherwise(F.col(DIGEST)).alias(DIGEST),
     )
+    _publish_state(spark, table, day, state)
+
+
+def _drop_states(spark: SparkSession, table: str, since: str) -> None:
+    for day in partition_values(spark, _state_folder(table), _AS_OF):
+        if day >= since:
+            remove_folder(spark, f"{_state_folder(table)}/{_AS_OF}={day}")
+
+
+def _publish_state(spark: SparkSession, table: str, day: str, state: DataFrame) -> None:
     folder = _state_folder(table)
     fresh = f"{folder}/_staging-{uuid.uuid4().hex}"
     state.hint("rebalance").write.parquet(fresh)
@@ -189,13 +199,17 @@ def apply_participation(
     intra_batch: IntraBatch = "keep",
     **read_options,
 ) -> Applied:
-    """Store the rows of one participation snapshot that no other snapshot has brought."""
+    """Store the rows of one participation snapshot that are not stored yet.
+
+    A log only grows: rows stored for the date stay when it is published again without them, because later snapshots
+    that had them too did not store them. A repeated run adds nothing."""
     day = _iso(stamp)
     staged, seen = _observed(prepare_participation(_staged(spark, source, stamp, **read_options)))
     stored = read_table(spark, table, schemas.PARTICIPATION_LOG, _FINGERPRINT_FIELD)
-    others = stored.where(F.col(SNAPSHOT_DATE) != F.lit(day).cast("date"))
     staged = staged.withColumn(DIGEST, participation_fingerprint())
-    written = publish_partition(spark, new_rows(staged, others, intra_batch=intra_batch, fingerprint=DIGEST), table, day)
+    added = new_rows(staged, stored, intra_batch=intra_batch, fingerprint=DIGEST)
+    present = stored.where(F.col(SNAPSHOT_DATE) == F.lit(day).cast("date")).select(*added.columns)
+    written = publish_partition(spark, present.unionByName(added), table, day)
     return _report(stamp, seen, written)
 
 
@@ -205,26 +219,40 @@ def participation_fingerprint() -> Column:
 
 
 def apply_registrations(
-    spark: SparkSession, rows: DataFrame, table: str, null_equality: NullEquality = "sql"
+    spark: SparkSession, rows: DataFrame, table: str, null_equality: NullEquality = "sql", late: str = "raise"
 ) -> list[str]:
     """Store a whole series of registration snapshots (all newer than the table) in one pass.
 
     `rows` are prepared rows of any number of dates. Used for a backlog: one shuffle instead of
-    one comparison per snapshot. Returns the dates.
+    one comparison per snapshot. The rows are compared with the digests of the latest rows, which are kept as a state table
+    for the next series. Returns the dates. Dates before one that is stored and not among them are late:
+    they raise, or are left out and logged (`late='skip'`).
     """
     rows = rows.drop(_FAILED)
+    if DIGEST not in rows.columns:
+        rows = rows.withColumn(DIGEST, row_digest(_REGISTRATION_VALUES))
     dates = [r[0].isoformat() for r in rows.select(SNAPSHOT_DATE).distinct().orderBy(SNAPSHOT_DATE).collect()]
     if not dates:
         return []
-    newest = newest_partition(spark, table)
-    if newest is not None and newest > dates[0]:
-        raise LateSnapshot(f"snapshot {dates[0]} is older than {newest}, which is already stored")
+    newest = max((d for d in partition_values(spark, table, SNAPSHOT_DATE) if d not in dates), default="")
+    behind = [d for d in dates if d < newest]
+    if behind and late == "raise":
+        raise LateSnapshot(f"snapshot {behind[0]} is older than {newest}, which is already stored")
+    if behind:
+        log.warning("snapshots older than %s are left out; rebuild the table to include them: %s", newest, behind)
+        dates = [d for d in dates if d > newest]
+        rows = rows.where(F.col(SNAPSHOT_DATE) > F.lit(newest).cast("date"))
+        if not dates:
+            return []
     check_key(rows, [KEY, SNAPSHOT_DATE])
-    stored = read_table(spark, table, schemas.REGISTRATION_TABLE).where(F.col(SNAPSHOT_DATE) < F.lit(dates[0]).cast("date"))
-    baseline = latest_per_key(stored, [KEY], SNAPSHOT_DATE)
-    kept = keep_changes(rows, KEY, SNAPSHOT_DATE, null_equality, baseline)
-    remove_folder(spark, _state_folder(table))  # belongs to the partitions replaced now
-    publish_series(spark, kept.withColumn(DIGEST, row_digest(_REGISTRATION_VALUES)), table, dates)
+    before = _latest_before(spark, table, dates[0]).where(F.col(SNAPSHOT_DATE) < F.lit(dates[0]).cast("date"))
+    baseline = latest_per_key(before.select(KEY, SNAPSHOT_DATE, DIGEST), [KEY], SNAPSHOT_DATE)
+    kept = keep_changes(rows, KEY, SNAPSHOT_DATE, null_equality, baseline, DIGEST)
+    _drop_states(spark, table, dates[0])  # those belong to the partitions replaced now
+    publish_series(spark, kept, table, dates)
+    history = read_table(spark, table, schemas.REGISTRATION_TABLE, _DIGEST_FIELD).select(KEY, SNAPSHOT_DATE, DIGEST)
+    series = history.where(F.col(SNAPSHOT_DATE).between(F.lit(dates[0]).cast("date"), F.lit(dates[-1]).cast("date")))
+    _publish_state(spark, table, dates[-1], latest_per_key(baseline.select(*series.columns).unionByName(series), [KEY], SNAPSHOT_DATE))
     return dates
 
 
@@ -239,20 +267,27 @@ def apply_participations(
     if not dates:
         return []
     stored = read_table(spark, table, schemas.PARTICIPATION_LOG, _FINGERPRINT_FIELD)
-    others = stored.where(~F.col(SNAPSHOT_DATE).cast("string").isin(dates))
     first = first_batch_rows(rows, SNAPSHOT_DATE, intra_batch=intra_batch, fingerprint=DIGEST)
-    publish_series(spark, new_rows(first, others, fingerprint=DIGEST), table, dates)
+    added = new_rows(first, stored, fingerprint=DIGEST)
+    present = stored.where(F.col(SNAPSHOT_DATE).isin([dt.date.fromisoformat(d) for d in dates])).select(*added.columns)
+    publish_series(spark, present.unionByName(added), table, dates)
     return dates
 
 
 def _stage_series(
-    spark: SparkSession, folder: str, stem: str, prepare: Callable[[DataFrame], DataFrame], digest: Column, **read_options
+    spark: SparkSession, folder: str, stem: str, prepare: Callable[[DataFrame], DataFrame], digest: Column,
+    undated: str = "raise", **read_options,
 ) -> tuple[str, list[str]]:
     """Parse all dated snapshots of a feed once into a columnar work table; returns its path and the dates."""
     files = list_snapshots(spark, folder, stem).collect()  # one short row per file
-    undated = [f["file_name"] for f in files if f["snapshot_date"] is None]
-    if undated:
-        log.warning("files without a date in their name are left out: %s", undated)
+    unreadable = [f["file_name"] for f in files if not f["readable"]]
+    if unreadable:
+        raise ValueError(f"files of {stem} that are not text files: {unreadable}")
+    left_out = [f["file_name"] for f in files if f["snapshot_date"] is None]
+    if left_out and undated == "raise":
+        raise ValueError(f"files of {stem} without a date in their name: {left_out}")
+    if left_out:
+        log.warning("files without a date in their name are left out: %s", left_out)
     dates = sorted({f["snapshot_date"].isoformat() for f in files if f["snapshot_date"] is not None})
     paths = [f["path"] for f in files if f["snapshot_date"] is not None]
     if not dates:
@@ -281,7 +316,8 @@ def rebuild_registration(
 
     One pass over all snapshots in date order, whatever the order they arrived in. A repeated
     (key, date) fails the rebuild unless `ties` names columns whose greatest values win. The
-    present table stays in place until the new one is complete.
+    present table stays in place until the new one is complete. A file without a date in its name fails the rebuild,
+    or is left out (`undated='skip'`).
     """
     path, dates = _stage_series(spark, folder, stem, prepare_registration, row_digest(_REGISTRATION_VALUES), **read_options)
     try:
@@ -290,7 +326,7 @@ def rebuild_registration(
             check_key(staged, [KEY, SNAPSHOT_DATE])
         else:
             staged = latest_per_key(staged, [KEY, SNAPSHOT_DATE], SNAPSHOT_DATE, ties)
-        return _publish_series(spark, keep_changes(staged, KEY, SNAPSHOT_DATE, null_equality), table, dates)
+        return _publish_series(spark, keep_changes(staged, KEY, SNAPSHOT_DATE, null_equality, digest=DIGEST), table, dates)
     finally:
         remove_folder(spark, path)
 

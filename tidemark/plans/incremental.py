@@ -14,6 +14,7 @@ from tidemark.operators.changes import IntraBatch, NullEquality
 from tidemark.operators.ledger import needs_backup, pending_files
 from tidemark.plans.feeds import (
     Applied,
+    LateSnapshot,
     apply_participation,
     apply_registration,
     read_participations,
@@ -45,17 +46,19 @@ class Pipeline:
 
 @dataclass
 class RunReport:
-    """Outcome of a run: files applied, whether a backup was made, and what stopped it, if anything."""
+    """Outcome of a run: files applied, whether a backup was made, files that belong to no feed or are no text
+    files, late registration files (only a rebuild takes them in), and the first failure, if any."""
 
     applied: dict[str, Applied] = field(default_factory=dict)
     backed_up: bool = False
+    ignored: list[str] = field(default_factory=list)
+    late: list[str] = field(default_factory=list)
     error: Exception | None = None
 
 
 def landing_files(spark: SparkSession, pipeline: Pipeline) -> DataFrame:
-    """Files of both feeds in the landing folder."""
-    registrations = list_snapshots(spark, pipeline.landing, pipeline.registration_stem)
-    return registrations.unionByName(list_snapshots(spark, pipeline.landing, pipeline.participation_stem))
+    """All files in the landing folder, in one listing."""
+    return list_snapshots(spark, pipeline.landing)
 
 
 def backup_tables(spark: SparkSession, pipeline: Pipeline) -> None:
@@ -76,15 +79,21 @@ def run_incremental(
 
     The date of a snapshot is the date prefix of its name or else the date of its timestamp.
     Registration files come first, each feed oldest first; several files of one feed and date are
-    one snapshot. A file that fails ends the run; it stays unfinished in the ledger and the next run starts with it. The failure is logged and
+    one snapshot. A snapshot that fails ends its feed for this run and stays unfinished in the ledger; the other feed goes on.
+    A registration snapshot older than one applied is set aside: reported as late and finished in the ledger. Files whose stem
+    is that of neither feed are reported and not read. The first failure is logged and
     returned, or raised on request. `listing` replaces the scan of the landing folder (columns
     path, file_name, stem, stamp, timestamp).
     """
-    report = RunReport()
+    report, failed = RunReport(), {}
     try:
         ledger = read_ledger(spark, pipeline.ledger)
         files = landing_files(spark, pipeline) if listing is None else listing
-        dated = files.withColumn("stamp", F.coalesce("stamp", http_date_to_stamp("timestamp"))).where(
+        of_feeds = F.col("stem").isin(pipeline.registration_stem, pipeline.participation_stem)
+        if "readable" in files.columns:
+            of_feeds = of_feeds & F.col("readable")
+        report.ignored = sorted(r[0] for r in files.where(~of_feeds).select("file_name").collect())
+        dated = files.where(of_feeds).withColumn("stamp", F.coalesce("stamp", http_date_to_stamp("timestamp"))).where(
             F.col("stamp").isNotNull()
         )
         pending = pending_files(dated, ledger)
@@ -97,16 +106,31 @@ def run_incremental(
             report.backed_up = True
             _mark(spark, pipeline, open_files, processed=False)
         for files in snapshots:
-            report.applied[", ".join(f["file_name"] for f in files)] = _apply(spark, pipeline, files)
-            _mark(spark, pipeline, files, processed=True)
+            if files[0]["stem"] not in failed:
+                _apply_or_set_aside(spark, pipeline, files, report, failed)
+        report.error = next(iter(failed.values()), None)
     except Exception as error:
-        if raise_errors:
-            raise
-        log.exception("run stopped; unfinished files are retried by the next run")
         report.error = error
+        log.exception("run stopped; unfinished files are retried by the next run")
+    if report.error and raise_errors:
+        raise report.error
     return report
 
 
+def _apply_or_set_aside(spark: SparkSession, pipeline: Pipeline, files: list[Row], report: RunReport, failed: dict) -> None:
+    names = ", ".join(f["file_name"] for f in files)
+    try:
+        report.applied[names] = _apply(spark, pipeline, files)
+    except LateSnapshot:
+        log.warning("%s is late; rebuild the table to include it", names)
+        report.late.append(names)
+    except Exception as error:
+        log.exception("%s failed; it is retried by the next run", names)
+        failed[files[0]["stem"]] = error
+        return
+    _mark(spark, pipeline, files, processed=True)
+
+
 def _snapshots(dated: DataFrame, pending: DataFrame, pipeline: Pipeline) -> list[list[Row]]:
     """Files to read, one group per feed and date: registrations first, then oldest first.
 

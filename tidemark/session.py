@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,13 +28,10 @@ def configure(spark: SparkSession) -> SparkSession:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path for intermediate tables, below the folder in `spark.checkpoint.dir`.
 
-    The folder must be shared by all executors. Only a local session without the setting gets a
-    temporary folder of its own; on a cluster a missing setting is an error.
+    The folder must be shared by all executors. Without the setting, a folder of the warehouse is used,
+    which executors share as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

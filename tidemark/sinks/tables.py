@@ -87,19 +87,32 @@ def replace_table(
     `values` are partitions that must exist even if no row belongs to them.
     """
     fresh = f"{table.rstrip('/')}.new-{uuid.uuid4().hex}"
-    df.hint("rebalance", partition).write.partitionBy(partition).parquet(fresh)
-    for value in values:
-        make_folder(spark, f"{fresh}/{partition}={value}")
-    replace_folder(spark, fresh, table)
+    try:
+        df.hint("rebalance", partition).write.partitionBy(partition).parquet(fresh)
+        for value in values:
+            make_folder(spark, f"{fresh}/{partition}={value}")
+        replace_folder(spark, fresh, table)
+    finally:
+        remove_folder(spark, fresh)
 
 
 def export_tsv(df: DataFrame, path: str) -> None:
     """Back up a table as tab-separated text: header, UTF-8, NULL bare, '' quoted, quotes doubled.
 
     One plan reads one fixed list of files, so the backup is consistent even if the table grows
-    meanwhile. An existing backup is replaced. The result is a folder with one file per task.
+    meanwhile. An existing backup stays until the new one is complete. The result is a folder with one
+    file per task.
     """
-    df.write.mode("overwrite").options(
+    spark, fresh = df.sparkSession, f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    try:
+        _write_tsv(df, fresh)
+        replace_folder(spark, fresh, path)
+    finally:
+        remove_folder(spark, fresh)
+
+
+def _write_tsv(df: DataFrame, path: str) -> None:
+    df.write.options(
         sep="\t", header=True, quote='"', escape='"', encoding="UTF-8", nullValue="", emptyValue='""',
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     ).csv(path)

@@ -30,14 +30,44 @@ def partition_values(spark: SparkSession, table: str, column: str) -> list[str]:
 
 
 def replace_folder(spark: SparkSession, source: str, target: str) -> None:
-    """Move `source` to `target`; an existing `target` is removed first. Both lie on one file system."""
+    """Move `source` to `target`. Both lie on one file system.
+
+    An existing `target` is first moved aside, and back if the new one cannot take its place; what is
+    moved aside by a run that then died is put back by `recover_folder`, or here by the next run.
+    """
+    recover_folder(spark, target)
     fs, from_path = _fs(spark, source)
     _, to_path = _fs(spark, target)
-    if fs.exists(to_path):
-        fs.delete(to_path, True)
+    _, old_path = _fs(spark, _aside(target))
     fs.mkdirs(to_path.getParent())
-    if not fs.rename(from_path, to_path):
-        raise OSError(f"could not move {source} to {target}")
+    if fs.exists(to_path) and not fs.rename(to_path, old_path):
+        raise OSError(f"could not move {target} aside")
+    try:
+        if not fs.rename(from_path, to_path):
+            raise OSError(f"could not move {source} to {target}")
+    except BaseException:
+        recover_folder(spark, target)
+        raise
+    fs.delete(old_path, True)
+
+
+def _aside(target: str) -> str:
+    parent, _, name = target.rstrip("/").rpartition("/")
+    return f"{parent}/_old-{name}"  # readers skip names with a leading underscore
+
+
+def recover_folder(spark: SparkSession, target: str) -> bool:
+    """Finish a replacement that was interrupted: put the old folder back if no new one is there."""
+    fs, to_path = _fs(spark, target)
+    _, old_path = _fs(spark, _aside(target))
+    if not fs.exists(old_path):
+        return False
+    if fs.exists(to_path):
+        fs.delete(old_path, True)
+        return False
+    if not fs.rename(old_path, to_path):
+        raise OSError(f"could not put {target} back")
+    return True
 
 
 def first_line(spark: SparkSession, path: str, encoding: str) -> str | None:

@@ -17,14 +17,19 @@ from tidemark.sources.files import first_line, part_files
 FILE_ENCODING = "ISO-8859-1"
 DELIMITER = "\t"
 STAMP_LENGTH = 8
-FILE_SUFFIXES = (".txt", ".txt.gz", ".csv", ".tsv")
+FILE_SUFFIXES = (".txt", ".txt.gz", ".csv", ".csv.gz", ".tsv", ".tsv.gz")
+#: Longer than any file's age: the stream reads old files too.
+_NO_AGE_LIMIT = "36500d"
 
 _BAD = "_bad_record"
 _QUOTED_FIELD = r'(^|\t)"(?:[^"]|"")*"'
 
 
-def list_snapshots(spark: SparkSession, folder: str, stem: str) -> DataFrame:
-    """Files of a feed in a folder: those whose name contains `stem`, oldest first.
+def list_snapshots(spark: SparkSession, folder: str, stem: str | None = None) -> DataFrame:
+    """Files of a feed in a folder, those with exactly this `stem` (all if None), oldest first.
+
+    A feed's name ends in one of FILE_SUFFIXES, in capitals or not; `readable` is false for others, so that callers
+    can report them.
 
     `stamp` is the date prefix of the name (`YYYYMMDD_<stem>...`), `snapshot_date` its DATE (NULL
     if the name has none) and `timestamp` the modification time as HTTP date text, which is what
@@ -38,10 +43,10 @@ def list_snapshots(spark: SparkSession, folder: str, stem: str) -> DataFrame:
     )
     suffix = F.lit(False)
     for ending in FILE_SUFFIXES:
-        suffix = suffix | F.col("file_name").endswith(ending)
+        suffix = suffix | F.lower("file_name").endswith(ending)
     stamp = F.regexp_extract("file_name", rf"^(\d{{{STAMP_LENGTH}}})", 1)
     return (
-        named.where(F.col("file_name").contains(stem) & suffix)
+        named.where(F.lit(True) if stem is None else (feed_stem(F.col("file_name")) == stem))
         .select(
             "path",
             "file_name",
@@ -50,6 +55,7 @@ def list_snapshots(spark: SparkSession, folder: str, stem: str) -> DataFrame:
             F.try_to_date(stamp, "yyyyMMdd").alias("snapshot_date"),
             http_date(F.col("modificationTime")).alias("timestamp"),
             "length",
+            suffix.alias("readable"),
         )
         .orderBy("snapshot_date", "file_name")
     )
@@ -85,6 +91,7 @@ def _scan_options(multiline: bool = False) -> dict:
         "sep": DELIMITER, "header": True, "quote": '"', "escape": '"', "encoding": FILE_ENCODING,
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD, "multiLine": multiline,
         "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+        "columnPruning": False,  # a parser that skips columns does not see that a row is too long
     }
 
 
@@ -96,8 +103,10 @@ def _as_text(raw: DataFrame, columns: list[str], long_rows: str, added: list[Col
     is_long = F.coalesce(separators >= len(columns), F.lit(False))
     texts = [F.expr(f"coalesce({quoted(c)}, '') AS {quoted(c)}") for c in columns]
     if long_rows == "raise":
-        failure = F.raise_error(F.concat(F.lit("row with too many fields: "), F.substring(_BAD, 1, 200))).cast("string")
-        texts[0] = F.when(is_long, failure).otherwise(texts[0]).alias(columns[0])
+        # a filter stays when the columns are not asked for
+        failure = F.raise_error(F.concat(F.lit("row with too many fields: "), F.substring(_BAD, 1, 200))).cast("boolean")
+        # (and names a column of the file, as a scan of the bad-row column alone is not allowed)
+        raw = raw.where(F.when(is_long, failure).otherwise(F.coalesce(F.length(F.col(f"`{columns[0]}`")), F.lit(0)) >= 0))
     else:
         added = [is_long.alias("_long_row"), *added]
     return raw.select(*texts, *added)
@@ -145,7 +154,7 @@ def stream_snapshots(spark: SparkSession, folder: str, stem: str, columns: list[
     """
     raw = (
         spark.readStream.schema(_scan_schema(columns))
-        .options(**_scan_options(), enforceSchema=False, pathGlobFilter=f"*{stem}*")
+        .options(**_scan_options(), enforceSchema=False, pathGlobFilter=f"[0-9]*_{stem}.*", maxFileAge=_NO_AGE_LIMIT)
         .csv(folder)
     )
     return _as_text(raw, columns, "raise", [to_date_strict(file_stamp()).alias(SNAPSHOT_DATE)])

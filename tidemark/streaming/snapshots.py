@@ -81,10 +81,11 @@ def stream_registrations(
 ) -> StreamingQuery:
     """Apply all registration files that have arrived since the last call, then stop.
 
-    All files of a date must have arrived; a later file of a date already read fails the stream.
+    All files of a date must have arrived; a later file of a date already read fails the stream. A date
+    older than one applied by an earlier run is left out and logged: a rebuild takes it in.
     """
     stream = stream_snapshots(spark, folder, stem, columns)
-    store = lambda session, rows: apply_registrations(session, rows, table, null_equality)
+    store = lambda session, rows: apply_registrations(session, rows, table, null_equality, late="skip")
     return _start(stream, checkpoint, prepare_registration, store)
 
 
