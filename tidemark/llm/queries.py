@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard_join, language_id, line_dedup, packing, quality_rules, rule_ensemble, suffix_dedup, toxicity, url_filters
+from tidemark.llm import decontaminate, jaccard_join, kneser_ney, language_id, line_dedup, packing, periodic_runs, quality_rules, rule_ensemble, suffix_dedup, toxicity, url_filters, whitening
 from tidemark.llm.common import fold, table
 
 #: FIXED VALUES: rules of the URL query (verdict, host, path), and the site labels whose pages it lists.
@@ -75,4 +77,43 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_line_dedup, op3_packing, op4_jaccard_join, op5_rule_ensemble, op6_url_filters, op7_decontaminate, op8_quality_rules, op9_suffix_dedup, op10_toxicity)}
+def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order 2: the arrays and shuffles of order 3 need more disk than four times the input."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = kneser_ney.train(docs.where(fold("doc_id", 7) != 2), order=2)
+    scored = kneser_ney.score(docs, model)
+    return scored.select(
+        "doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        F.col("unigram_score").alias("base_score"), F.col("lm_score").alias("score"), "perplexity",
+    )
+
+
+def repeated_from(key: int | None, words: list[bytes]) -> list[bytes]:
+    """In one text of ten, by its key, the words from some place on repeat with a period of a third of them or less."""
+    h, n = (1 if key is None else zlib.crc32(str(key).encode())), len(words)
+    if h % 10:
+        return words
+    begin = (h // 10) % n
+    period = 1 + (n - begin) // (3 + h // 10 % 8)
+    cycle = words[begin : begin + period]
+    return (words[:begin] + cycle * (-(-(n - begin) // period)))[:n]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), rewrite=repeated_from)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.select("doc_id", "runs", "collapsed", longest.alias("longest")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"), F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"), F.expr("longest.length * 1000 div -longest.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    white = whitening.whiten(vectors, whitening.fit_whitening(vectors))
+    return white.select("vec_id", "component", "n", F.expr("try_cast(deviation AS long)").alias("deviation"), "whitened", "explained", "identity_error")
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_line_dedup, op3_packing, op4_jaccard_join, op5_rule_ensemble, op6_url_filters, op7_decontaminate, op8_quality_rules, op9_suffix_dedup, op10_toxicity, op11_language_model, op12_periodic_runs, op13_whitening)}
