@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemark.schemas import REGISTRATION_COLUMNS, REGISTRATION_WIDTHS
+
 # Shaped views of the tables, shared by several queries.
 USER_DAYS = """
 user_days AS (
@@ -104,11 +106,22 @@ people AS (
 
 TURNOUT = """
 turnout AS (
-  SELECT CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS ncid, make_date(2000, l_linenumber, 3) AS election_lbl,
+  SELECT CAST(l_partkey AS VARCHAR) AS ncid, make_date(2000, l_linenumber, 3) AS election_lbl,
          l_returnflag AS voting_method, l_linestatus AS voted_party_cd, make_date(year(l_shipdate), 12, 31) AS data_date
   FROM lineitem)
 """
 
+FIRST_YEARS = """
+      SELECT ncid, election_lbl, voting_method, voted_party_cd, data_date
+      FROM (SELECT *, rank() OVER (PARTITION BY ncid, election_lbl, voting_method, voted_party_cd ORDER BY data_date) AS r FROM turnout)
+      WHERE r = 1"""
+
+# What the registration files hold as text; all other columns are empty.
+_FILE_TEXT = {
+    "ncid": "ncid", "party_cd": "party_cd", "birth_year": "coalesce(CAST(birth_year AS VARCHAR), '')", "age_at_year_end": "'44'",
+    "last_name": "'  ' || replace(last_name, 'name ', 'name  ')",
+}
+
 # Percentages are rounded half up in whole numbers, so no binary fraction can shift a tie.
 def _percent(part: str, whole: str) -> str:
     return f"CAST((20000 * ({part}) + ({whole})) // (2 * ({whole})) AS BIGINT) / 100.0"
@@ -317,15 +330,56 @@ SQL = {
       SELECT doc_id, text, CASE WHEN lang = 'en' THEN '' WHEN lang <> 'de' THEN lang END AS lang, n_chars FROM documents""",
     "registration_rebuild_files": _with(USER_DAYS, PEOPLE) + _kept("party_cd, birth_year, last_name", False, "people"),
     "registration_stream": _with(USER_DAYS, PEOPLE) + _kept("party_cd, birth_year, last_name", True, "people"),
-    "registration_incremental": _with(USER_DAYS, PEOPLE) + """,
-      halves AS (SELECT * EXCLUDE (data_date, rn, half), half AS data_date
-                 FROM (SELECT *, row_number() OVER (PARTITION BY ncid, half ORDER BY data_date DESC) AS rn
-                       FROM (SELECT *, make_date(year(data_date), month(data_date), CASE WHEN day(data_date) <= 15 THEN 1 ELSE 16 END) AS half
-                             FROM people)) WHERE rn = 1)""" + _kept("party_cd, birth_year, last_name", False, "halves"),
-    "participation_rebuild_files": _with(TURNOUT) + """
-      SELECT ncid, election_lbl, voting_method, voted_party_cd, data_date
-      FROM (SELECT *, rank() OVER (PARTITION BY ncid, election_lbl, voting_method, voted_party_cd ORDER BY data_date) AS r FROM turnout)
-      WHERE r = 1""",
+    "registration_incremental": _with(USER_DAYS, PEOPLE) + _kept("party_cd, birth_year, last_name", False, "people"),
+    "registration_late": _with(USER_DAYS, PEOPLE) + _kept("party_cd, birth_year, last_name", False, "people"),
+    "registration_layouts": _with(USER_DAYS, PEOPLE) + " SELECT * EXCLUDE (birth_year) FROM (" + _kept("party_cd, birth_year, last_name", True, "people") + ")",
+    "registration_report": _with(USER_DAYS, PEOPLE) + """,
+      aged AS (SELECT *, CASE WHEN party_cd <> 'P' THEN 44 END AS age FROM people),
+      kept AS (""" + _kept("party_cd, birth_year, last_name, age", False, "aged") + """)
+      SELECT strftime(data_date, '%Y%m%d') AS stamp, count(*) AS staged,
+             count(*) FILTER ((ncid, data_date) IN (SELECT (ncid, data_date) FROM kept)) AS inserted,
+             count(*) FILTER (party_cd = 'P') AS failed_values, CAST(0 AS BIGINT) AS short_rows, CAST(0 AS BIGINT) AS long_rows
+      FROM aged GROUP BY data_date""",
+    "quality_counts": """
+      SELECT CAST(date_trunc('year', o_orderdate) AS DATE) AS data_date, count(*) AS staged, CAST(0 AS BIGINT) AS failed_values,
+             count(*) FILTER (o_orderkey % 11 = 1) AS long_rows, count(*) FILTER (o_orderkey % 11 IN (2, 3)) AS short_rows,
+             count(*) FILTER (o_orderkey % 11 = 3) AS broken_quotes
+      FROM orders GROUP BY 1""",
+    "layout_widths": _with(USER_DAYS, PEOPLE) + " UNION ALL ".join(
+        f"""
+      SELECT '{c}' AS column_name, {w} AS declared_width, CAST(max(length({_FILE_TEXT.get(c, "''")})) AS INTEGER) AS max_length,
+             count(*) FILTER (length({_FILE_TEXT.get(c, "''")}) > {w}) AS rows_over_width,
+             count(*) FILTER (length({_FILE_TEXT.get(c, "''")}) > {w}) = 0 AS conforms FROM people"""
+        for c, w in REGISTRATION_WIDTHS.items() if c in REGISTRATION_COLUMNS
+    ),
+    "prepared_csv": "SELECT * FROM customer",
+    "appended_rows": "SELECT o_orderkey, o_orderstatus, CAST(date_trunc('month', o_orderdate) AS DATE) AS data_date FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')",
+    "table_columns": " UNION ALL ".join(
+        f"SELECT {k} AS position, '{c}' AS name, {str(c == 'data_date').lower()} AS is_date, count({'o_orderdate' if c == 'data_date' else c}) AS n_values FROM orders"
+        for k, c in enumerate(["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", "data_date"])
+    ),
+    "code_names": """
+      SELECT c_custkey, CAST(c_nationkey AS VARCHAR) AS code, n_name AS nation FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""",
+    "ledger_scan": _with(FILES) + """
+      SELECT file_name, "timestamp", TRUE AS processed,
+             CASE WHEN processed IS NULL AND contains(file_name, '9.txt') THEN NULL ELSE archived END AS archived
+      FROM ledger""",
+    "http_dates": "SELECT event_id, strftime(ts, '%a, %d %b %Y %H:%M:%S GMT') AS stamp FROM events",
+    "duplicate_profile_wide": """
+      WITH groups AS (SELECT l_returnflag, l_linestatus, l_quantity, l_discount, l_tax, count(*) AS n FROM lineitem GROUP BY ALL)
+      SELECT count(*) FILTER (n > 1) AS duplicate_groups, CAST(coalesce(sum(n) FILTER (n > 1), 0) AS BIGINT) AS duplicate_rows,
+             round(CAST(sum(n) FILTER (n > 1) AS DOUBLE) / count(*) FILTER (n > 1), 6) AS mean_rows_per_group,
+             count(*) AS groups, CAST(sum(n) AS BIGINT) AS rows
+      FROM groups""",
+    "participation_incremental": _with(TURNOUT) + FIRST_YEARS + """
+      UNION ALL
+      SELECT 'new ' || ncid, election_lbl, voting_method, voted_party_cd, data_date FROM turnout
+      WHERE data_date = (SELECT min(data_date) FROM turnout)""",
+    "participation_backup": _with(TURNOUT) + FIRST_YEARS,
+    "log_versions": _with(TURNOUT) + """
+      SELECT CAST(data_date AS VARCHAR) AS day, count(*) AS n_rows
+      FROM (SELECT ncid, election_lbl, voting_method, voted_party_cd, min(data_date) AS data_date FROM turnout GROUP BY ALL) GROUP BY day""",
+    "participation_rebuild_files": _with(TURNOUT) + FIRST_YEARS,
     "participation_stream": _with(TURNOUT) + """
       SELECT ncid, election_lbl, voting_method, voted_party_cd, min(data_date) AS data_date FROM turnout GROUP BY ALL""",
 }

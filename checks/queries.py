@@ -168,6 +168,13 @@ def duplicate_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("mean_rows_per_group", F.round(F.col("mean_rows_per_group"), 6))
 
 
+def duplicate_profile_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that agree in five columns."""
+    items = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax")
+    found = profile.duplicate_profile(items, items.columns)
+    return found.withColumn("mean_rows_per_group", F.round(F.col("mean_rows_per_group"), 6))
+
+
 # --- ledger ---
 
 def pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,12 +282,15 @@ QUERIES = {
         whitespace_normalized, int_lenient, date_lenient, schema_aligned,
         placeholder_by_count, placeholder_by_date, placeholder_rows, placeholder_breakdown,
         placeholder_share, placeholder_spikes, placeholder_backfill,
-        key_violations, null_keys, duplicate_groups, duplicate_profile,
+        key_violations, null_keys, duplicate_groups, duplicate_profile, duplicate_profile_wide,
         pending_files, needs_backup, ledger_upsert,
         change_classification, code_only_changes, changes_per_key,
         label_drift, label_span, latest_label, layout_conformance,
         key_link, key_link_latest, key_link_asof, decode_codes, unknown_codes,
         feeds.snapshot_scan, feeds.backup_restore, feeds.registration_rebuild_files, feeds.registration_stream,
         feeds.registration_incremental, feeds.participation_rebuild_files, feeds.participation_stream,
+        feeds.prepared_csv, feeds.appended_rows, feeds.table_columns, feeds.code_names, feeds.ledger_scan, feeds.http_dates,
+        feeds.layout_widths, feeds.registration_late, feeds.registration_layouts, feeds.registration_report, feeds.quality_counts,
+        feeds.participation_incremental, feeds.participation_backup, feeds.log_versions,
     )
 }

@@ -9,7 +9,8 @@ from conftest import rows_of, write_snapshot
 from tidemark import schemas
 from tidemark.operators.ledger import needs_backup, pending_files, upsert_ledger
 from tidemark.sinks.tables import append_master, create_table, export_tsv, publish_partition, publish_series
-from tidemark.sources.files import exists, partition_values
+from tidemark.sources.files import partition_values
+from tidemark.sources.manifest import stored_values
 from tidemark.sources.ledger import read_ledger, read_ledger_document, write_ledger
 from tidemark.sources.snapshots import header_of, list_snapshots, read_snapshot
 from tidemark.sources.tables import columns_of, date_columns_of, dim_ethnicity, dim_race, dim_status, import_csv, import_tsv, read_table
@@ -175,7 +176,7 @@ def test_partitions_are_replaced_also_by_nothing(spark, tmp_path):
     publish_partition(spark, rows("c"), path, "2024-01-02")
     publish_partition(spark, rows(), path, "2024-01-01")
     assert rows_of(read_table(spark, path, TABLE)) == [("c", dt.date(2024, 1, 2))]
-    assert partition_values(spark, path, "data_date") == ["2024-01-01", "2024-01-02"]
+    assert stored_values(spark, path) == ["2024-01-01", "2024-01-02"]
 
 
 def test_failed_check_publishes_nothing(spark, tmp_path):
@@ -186,8 +187,8 @@ def test_failed_check_publishes_nothing(spark, tmp_path):
 
     with pytest.raises(ValueError):
         publish_partition(spark, spark.createDataFrame([("a", dt.date(2024, 1, 1))], TABLE), path, "2024-01-01", refuse)
-    assert partition_values(spark, path, "data_date") == []
-    assert not [p for p in (tmp_path / "table").iterdir() if p.name.startswith("_staging")]
+    assert stored_values(spark, path) == []
+    assert not [p for p in (tmp_path / "table").iterdir() if p.name.startswith("version=")]
 
 
 def test_series_and_append(spark, tmp_path):
@@ -195,14 +196,21 @@ def test_series_and_append(spark, tmp_path):
     rows = spark.createDataFrame([("a", dt.date(2024, 1, 1)), ("b", dt.date(2024, 1, 2))], TABLE)
     publish_series(spark, rows, path, ["2024-01-01", "2024-01-02", "2024-01-03"])
     append_master(rows, path, ["k", "data_date"])
-    assert partition_values(spark, path, "data_date") == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert stored_values(spark, path) == ["2024-01-01", "2024-01-02", "2024-01-03"]
     assert read_table(spark, path, TABLE).count() == 4
-    assert exists(spark, f"{path}/data_date=2024-01-03")
+    assert rows_of(read_table(spark, path, TABLE, values=["2024-01-02"])) == [("b", dt.date(2024, 1, 2))] * 2
+    # a plain partitioned folder is a table too, and can be extended
+    plain = str(tmp_path / "plain")
+    rows.write.partitionBy("data_date").parquet(plain)
+    assert partition_values(spark, plain, "data_date") == stored_values(spark, plain) == ["2024-01-01", "2024-01-02"]
+    append_master(rows, plain, ["k", "data_date"])
+    publish_partition(spark, rows.limit(0), plain, "2024-01-01")
+    assert rows_of(read_table(spark, plain, TABLE)) == [("b", dt.date(2024, 1, 2))] * 2
 
 
 def test_catalog_table(spark, tmp_path):
     path = str(tmp_path / "table")
-    spark.createDataFrame([("a", dt.date(2024, 1, 1))], TABLE).write.parquet(path)
+    append_master(spark.createDataFrame([("a", dt.date(2024, 1, 1))], TABLE), path, TABLE.names)
     create_table(spark, "tidemark_catalog_test", path, TABLE)
     assert spark.table("tidemark_catalog_test").count() == 1
-    spark.sql("DROP TABLE tidemark_catalog_test")
+    spark.sql("DROP VIEW tidemark_catalog_test")

@@ -1,92 +1,138 @@
 """Jobs that bring snapshots of the two feeds into their stored tables.
 
-Stored next to the declared columns is one technical column per table, a digest of the row, so
-that a later snapshot is compared with (key, date, digest) instead of with all columns.
+A series of snapshots, one or a long backlog, is parsed once into a columnar work table, decided on narrow rows (key,
+date, digests) and committed as one version of the table (`sources.manifest`). With the rows go side tables, which make
+the next run cheap and late snapshots exact:
+
+* registrations, `latest`: the row observed last per key, so that a snapshot does not read the history;
+* registrations, `skipped:<date>`: the keys that a snapshot had and that were not stored because nothing changed;
+* participations, `fingerprints` and `bloom`: the identities of all stored rows in hash buckets, with Bloom filters.
+
+Side tables belong to the version they were committed with; without them a job reads narrow columns of the table itself.
 """
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import logging
-import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
-from tidemark.functions import coercion_failed, row_digest, row_fingerprint, to_date_lenient, to_int_lenient
-from tidemark.operators.changes import IntraBatch, NullEquality, changed_rows, first_batch_rows, keep_changes, new_rows
-from tidemark.operators.clean import (
-    align_to_schema,
-    harmonize_layout,
-    normalize_whitespace,
-    parse_columns,
-    with_snapshot_date,
-)
-from tidemark.operators.keys import check_key, latest_per_key
+from tidemark.functions import coercion_failed, row_fingerprint, to_date_lenient, to_int_lenient
+from tidemark.operators.changes import IntraBatch, NullEquality, first_batch_rows, one_per_fingerprint
+from tidemark.operators.clean import align_to_schema, harmonize_layout, normalize_whitespace, parse_columns, with_snapshot_date
+from tidemark.operators.joins import split_join
+from tidemark.operators.keys import KeyViolation, latest_per_key
+from tidemark.operators.membership import BUCKET, FINGERPRINT, blocks_for, bloom_filter, bucket_of, may_contain
+from tidemark.operators.series import DIGEST, HAS_NULL, LAYOUT, MARK_FIELDS, MARKS, decide_series, with_marks
 from tidemark.schemas import KEY, SNAPSHOT_DATE
 from tidemark.session import work_folder
-from tidemark.sinks.tables import NothingToRebuild, newest_partition, publish_partition, publish_series, replace_table
-from tidemark.sources.files import partition_values, remove_folder, replace_folder
-from tidemark.sources.snapshots import list_snapshots, read_dated_snapshots, read_snapshot
-from tidemark.sources.tables import read_table
+from tidemark.sinks.tables import Draft, NothingToRebuild, newest_partition
+from tidemark.sources.files import remove_folder
+from tidemark.sources.manifest import Manifest, current_manifest
+from tidemark.sources.snapshots import BROKEN_QUOTES, LONG_ROW, SHORT_ROW, list_snapshots, read_dated_snapshots, read_snapshot
+from tidemark.sources.tables import read_side, read_table
 
 log = logging.getLogger(__name__)
 
-DIGEST = "_digest"
-_DIGEST_FIELD = T.StructType([T.StructField(DIGEST, T.BinaryType())])
-_FINGERPRINT_FIELD = T.StructType([T.StructField(DIGEST, T.StringType())])
 _FAILED = "_failed"
-_AS_OF = "as_of"
-_REGISTRATION_VALUES = schemas.REGISTRATION_COLUMNS
+_QUALITY = T.StructType([
+    T.StructField(_FAILED, T.IntegerType()), *[T.StructField(c, T.BooleanType()) for c in (LONG_ROW, SHORT_ROW, BROKEN_QUOTES)],
+])
+_FINGERPRINT_FIELD = T.StructType([T.StructField(DIGEST, T.StringType())])
+#: Registration columns that cannot be compared between the layouts: the age on the day of the file, then at the year's end.
+_UNLIKE = tuple(schemas.PREVIOUS_RENAMES.values())
+LATEST, SKIPPED, FINGERPRINTS, BLOOM = "latest", "skipped", "fingerprints", "bloom"
+#: An empty side table: every snapshot in the table has noted what it skipped.
+NOTED = "noted"
+#: Fingerprints (a few dozen bytes each) that may be broadcast, by count, and parts of an index before it is written anew.
+BROADCAST_ROWS, INDEX_PARTS = 500_000, 8
 
 
 class LateSnapshot(RuntimeError):
-    """A registration snapshot is older than one already applied; rebuild the table instead."""
+    """A registration snapshot is older than one already applied."""
 
 
 @dataclass
 class Applied:
-    """What one snapshot did: rows read, rows stored, texts that did not parse."""
+    """What one snapshot did: rows read and stored, texts that did not parse, rows of the wrong length or with broken quotes."""
 
     snapshot_date: str
     staged: int
     inserted: int
     failed_values: int
+    long_rows: int = 0
+    short_rows: int = 0
+    broken_quotes: int = 0
 
 
 def _iso(stamp: str) -> str:
     return dt.datetime.strptime(stamp, "%Y%m%d").date().isoformat()
 
 
+def _days(dates: list[str]) -> list[dt.date]:
+    return [dt.date.fromisoformat(d) for d in dates]
+
+
+# --- preparing and staging ---
+
+def _prepared(clean: DataFrame, table: T.StructType, failed: Column, extra: tuple[T.StructField, ...] = (), **parsed) -> DataFrame:
+    given = {c: F.lit(False) for c in (LONG_ROW, SHORT_ROW, BROKEN_QUOTES) if c not in clean.columns}
+    counted = clean.withColumns({_FAILED: failed, **given})
+    return align_to_schema(parse_columns(counted, **parsed), T.StructType([*table.fields, *extra, *_QUALITY.fields]))
+
+
 def prepare_registration(df: DataFrame) -> DataFrame:
     """All-text registration rows with a date, in the types and columns of the table.
 
-    Adds the number of values per row that could not be parsed (`_failed`).
+    Adds the layout of the file, the number of values per row that could not be parsed, and what was wrong with the row.
     """
-    clean = normalize_whitespace(harmonize_layout(df))
+    clean = normalize_whitespace(harmonize_layout(df, version_column=LAYOUT))
     ints = [c for c in schemas.REGISTRATION_INT_COLUMNS if c in clean.columns]
     failed = F.lit(0)
     for c in ints:
         failed = failed + coercion_failed(F.col(c), to_int_lenient(F.col(c))).cast("int")
-    counted = clean.withColumn(_FAILED, failed)
-    schema = T.StructType([*schemas.REGISTRATION_TABLE.fields, T.StructField(_FAILED, T.IntegerType())])
-    return align_to_schema(parse_columns(counted, ints=ints), schema)
+    return _prepared(clean, schemas.REGISTRATION_TABLE, failed, (T.StructField(LAYOUT, T.StringType()),), ints=ints)
 
 
 def prepare_participation(df: DataFrame) -> DataFrame:
-    """All-text participation rows with a date, in the types and columns of the log."""
+    """All-text participation rows with a date, in the types and columns of the log; counts as above."""
     clean = normalize_whitespace(df)
     dates = [c for c in schemas.PARTICIPATION_DATE_COLUMNS if c in clean.columns]
     failed = F.lit(0)
     for c in dates:
         failed = failed + coercion_failed(F.col(c), to_date_lenient(F.col(c))).cast("int")
-    counted = clean.withColumn(_FAILED, failed)
-    schema = T.StructType([*schemas.PARTICIPATION_LOG.fields, T.StructField(_FAILED, T.IntegerType())])
-    return align_to_schema(parse_columns(counted, dates=dates), schema)
+    return _prepared(clean, schemas.PARTICIPATION_LOG, failed, dates=dates)
+
+
+def participation_fingerprint() -> Column:
+    """Identity of a participation row; the snapshot date is not part of it."""
+    return row_fingerprint(schemas.PARTICIPATION_COLUMNS, schemas.PARTICIPATION_DATE_COLUMNS)
+
+
+def _marked_registrations(rows: DataFrame) -> DataFrame:
+    return with_marks(rows, schemas.REGISTRATION_COLUMNS, _UNLIKE)
+
+
+def _marked_participations(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(DIGEST, participation_fingerprint())
+
+
+@contextlib.contextmanager
+def work_table(rows: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """Keep rows as a table in the shared work folder while they are read several times."""
+    spark, path = rows.sparkSession, work_folder(rows.sparkSession, purpose)
+    try:
+        rows.write.parquet(path)
+        yield spark.read.schema(rows.schema).parquet(path)
+    finally:
+        remove_folder(spark, path)
 
 
 def read_registrations(spark: SparkSession, table: str) -> DataFrame:
@@ -99,66 +145,117 @@ def read_participations(spark: SparkSession, table: str) -> DataFrame:
     return read_table(spark, table, schemas.PARTICIPATION_LOG)
 
 
-def _observed(staged: DataFrame) -> tuple[DataFrame, Observation]:
-    """Count rows and failed values while they pass; no second scan."""
-    seen = Observation()
-    return staged.observe(seen, F.count(F.lit(1)).alias("staged"), F.sum(_FAILED).alias("failed")).drop(_FAILED), seen
+def quality_counts(staged: DataFrame) -> DataFrame:
+    """Per snapshot date: rows, values that did not parse, long and short rows, rows with broken quotes."""
+    flag = lambda c: F.count_if(F.col(c)).alias(c.strip("_") + ("s" if c.endswith("row") else ""))
+    return staged.groupBy(SNAPSHOT_DATE).agg(
+        F.count(F.lit(1)).alias("staged"), F.sum(_FAILED).alias("failed_values"), flag(LONG_ROW), flag(SHORT_ROW), flag(BROKEN_QUOTES)
+    )
 
 
-def _report(stamp: str, seen: Observation, written: DataFrame) -> Applied:
-    counts = seen.get
-    return Applied(stamp, counts.get("staged") or 0, written.count(), counts.get("failed") or 0)
+def _counted(staged: DataFrame) -> dict[str, dict]:
+    return {r[SNAPSHOT_DATE].isoformat(): r.asDict() for r in quality_counts(staged).collect()}  # one row per date
 
 
-def _staged(spark: SparkSession, source: DataFrame | str | list[str], stamp: str, **options) -> DataFrame:
-    scan = source if isinstance(source, DataFrame) else read_snapshot(spark, source, **options)
-    return with_snapshot_date(scan, stamp)
+def _reports(counts: dict[str, dict], inserted: dict[str, int], dates: list[str]) -> list[Applied]:
+    names = ("failed_values", "long_rows", "short_rows", "broken_quotes")
+    return [Applied(d.replace("-", ""), counts.get(d, {}).get("staged", 0), inserted.get(d, 0), *(counts.get(d, {}).get(n) or 0 for n in names)) for d in dates]
 
 
-def _state_folder(table: str) -> str:
-    return f"{table}/_latest"  # readers skip names with a leading underscore
+# --- registrations ---
 
+def narrow_history(spark: SparkSession, table: str, manifest: Manifest) -> DataFrame:
+    """(key, date, marks) of the stored rows of a version."""
+    return read_table(spark, table, schemas.REGISTRATION_TABLE, MARK_FIELDS, manifest=manifest).select(KEY, SNAPSHOT_DATE, *MARKS)
 
-def _latest_before(spark: SparkSession, table: str, day: str) -> DataFrame:
-    """(key, date, digest) of the rows to compare a snapshot of `day` with.
 
-    Usually the small state table left by the snapshot applied before: one row per key, so a run
-    reads as much as there are keys and not the whole history. Without a state that belongs to
-    exactly that snapshot, the history itself, from which the caller takes the latest rows.
-    """
-    applied = [d for d in partition_values(spark, table, SNAPSHOT_DATE) if d < day]
-    saved = partition_values(spark, _state_folder(table), _AS_OF)
-    if applied and applied[-1] in saved:
-        return spark.read.parquet(f"{_state_folder(table)}/{_AS_OF}={applied[-1]}")
-    return read_table(spark, table, schemas.REGISTRATION_TABLE, _DIGEST_FIELD).select(KEY, SNAPSHOT_DATE, DIGEST)
-
-
-def _save_latest(spark: SparkSession, table: str, day: str, before: DataFrame, stored: DataFrame) -> None:
-    """Write the state after `day`, and drop states other than this one and the one before it."""
-    old = latest_per_key(before.where(F.col(SNAPSHOT_DATE) < F.lit(day).cast("date")), [KEY], SNAPSHOT_DATE)
-    new = stored.select(F.col(KEY).alias("_key"), F.col(DIGEST).alias("_new"))
-    state = old.join(new, F.col(KEY) == F.col("_key"), "full").select(
-        F.coalesce(KEY, "_key").alias(KEY),
-        F.when(F.col("_key").isNotNull(), F.lit(day).cast("date")).otherwise(F.col(SNAPSHOT_DATE)).alias(SNAPSHOT_DATE),
-        F.when(F.col("_key").isNotNull(), F.col("_new")).otherwise(F.col(DIGEST)).alias(DIGEST),
-    )
-    _publish_state(spark, table, day, state)
+def _observed_before(spark: SparkSession, table: str, manifest: Manifest, day: str) -> DataFrame:
+    """(key, date, marks) of the row observed last per key before `day`.
+
+    Usually the side table left by the snapshot applied before: one row per key. Otherwise the latest stored rows."""
+    applied = [d for d in manifest.values if d < day]
+    saved = read_side(spark, table, manifest, f"{LATEST}:{applied[-1]}") if applied else None
+    if saved is not None:
+        return saved.select(KEY, SNAPSHOT_DATE, *MARKS)
+    history = narrow_history(spark, table, manifest).where(F.col(SNAPSHOT_DATE) < F.lit(day).cast("date"))
+    return latest_per_key(history, [KEY], SNAPSHOT_DATE)
+
 
+def check_decided(decided: DataFrame) -> dict[str, int]:
+    """Rows to store per date; raises if a key is NULL or occurs twice in a date. One pass over the decided narrow rows."""
+    found = decided.groupBy(SNAPSHOT_DATE).agg(
+        F.count_if("kept").alias("kept"), F.count_if("repeated").alias("repeated"), F.count_if(F.col(KEY).isNull()).alias("null_rows")
+    ).collect()
+    repeated, nulls = sum(r["repeated"] for r in found), sum(r["null_rows"] for r in found)
+    if repeated or nulls:
+        raise KeyViolation(f"key ({KEY}, {SNAPSHOT_DATE}): {repeated} rows repeat a key, {nulls} rows have a NULL")
+    return {r[SNAPSHOT_DATE].isoformat(): r["kept"] for r in found}
 
-def _drop_states(spark: SparkSession, table: str, since: str) -> None:
-    for day in partition_values(spark, _state_folder(table), _AS_OF):
-        if day >= since:
-            remove_folder(spark, f"{_state_folder(table)}/{_AS_OF}={day}")
+
+def _store_series(
+    spark: SparkSession, draft: Draft, staged: DataFrame, baseline: DataFrame, null_equality: NullEquality, anew: bool = False
+) -> dict[str, int]:
+    """Write the changed rows of staged snapshots and the side tables; returns the rows stored per date."""
+    if anew or not draft.base.values or NOTED in draft.base.sides:
+        draft.sides[NOTED] = []
+    with work_table(decide_series(staged, baseline, KEY, SNAPSHOT_DATE, null_equality), "decided") as decided:
+        kept = check_decided(decided)
+        keys = decided.where("kept").select(KEY, SNAPSHOT_DATE)
+        rows = split_join(staged, keys, [KEY, SNAPSHOT_DATE], "left_semi")
+        counts = draft.write(rows.select(*schemas.REGISTRATION_TABLE.names, *MARKS)) if any(kept.values()) else {}
+        draft.write_dated_side(SKIPPED, decided.where("NOT kept").select(KEY, SNAPSHOT_DATE))
+        last = max(kept, default=None)
+        if last is not None:
+            observed = decided.select(KEY, SNAPSHOT_DATE, *MARKS).unionByName(baseline.select(KEY, SNAPSHOT_DATE, *MARKS))
+            draft.write_side(f"{LATEST}:{last}", latest_per_key(observed, [KEY], SNAPSHOT_DATE))
+    return counts
+
+
+def _kept_sides(base: Manifest, dates: list[str]) -> Callable[[str], bool]:
+    """Side tables that still hold after the dates were replaced: of earlier snapshots, and one state before them."""
+    states = sorted(n for n in base.sides if n.startswith(f"{LATEST}:") and n.partition(":")[2] < dates[0])
+    return lambda name: name in states[-1:] or (name.startswith(f"{SKIPPED}:") and name.partition(":")[2] not in dates)
 
 
-def _publish_state(spark: SparkSession, table: str, day: str, state: DataFrame) -> None:
-    folder = _state_folder(table)
-    fresh = f"{folder}/_staging-{uuid.uuid4().hex}"
-    state.hint("rebalance").write.parquet(fresh)
-    replace_folder(spark, fresh, f"{folder}/{_AS_OF}={day}")
-    saved = partition_values(spark, folder, _AS_OF)
-    for other in [d for d in saved if d > day] + [d for d in saved if d < day][:-1]:
-        remove_folder(spark, f"{folder}/{_AS_OF}={other}")
+def apply_registrations(
+    spark: SparkSession, rows: DataFrame, table: str, null_equality: NullEquality = "sql", late: str = "raise", dates: list[str] | None = None,
+) -> list[Applied]:
+    """Store a whole series of registration snapshots in one pass and one commit; returns what each date did.
+
+    `rows` are prepared rows of any number of dates; `dates` adds dates whose files had no rows. Rows are compared with the row
+    of their key observed before, in the series or in the side table of the version before, so only narrow rows are shuffled by
+    key; the changed rows then join back. Partitions of the dates are replaced, so a repeated run stores the same rows. A
+    repeated or missing key fails the run and stores nothing.
+
+    Dates older than one that is stored are late. They raise, are left out (`late='skip'`) or are spliced into the history
+    one by one (`late='splice'`), which leaves the table as if they had come in order."""
+    with work_table(_marked_registrations(rows), "staged") as staged:
+        counts = _counted(staged)
+        present = sorted({*counts, *(dates or ())})
+        stored = current_manifest(spark, table).values
+        newest = max((d for d in stored if d not in present), default="")
+        behind = [d for d in present if d < newest]
+        if behind and late == "raise":
+            raise LateSnapshot(f"snapshot {behind[0]} is older than {newest}, which is already stored")
+        if behind and late == "skip":
+            log.warning("snapshots older than %s are left out: %s", newest, behind)
+        reports = []
+        if behind and late == "splice":
+            from tidemark.plans.late import splice_registrations
+
+            for day in behind:
+                own = staged.where(F.col(SNAPSHOT_DATE) == F.lit(day).cast("date"))
+                reports += _reports(counts, {day: splice_registrations(spark, own, day, table, null_equality)}, [day])
+        current = [d for d in present if d not in behind]
+        if current:
+            with Draft(spark, table) as draft:
+                if behind:
+                    staged = staged.where(F.col(SNAPSHOT_DATE).isin(_days(current)))
+                baseline = _observed_before(spark, table, draft.base, current[0])
+                inserted = _store_series(spark, draft, staged, baseline, null_equality)
+                draft.commit(inserted, current, sides=_kept_sides(draft.base, current))
+            reports += _reports(counts, inserted, current)
+    return reports
 
 
 def apply_registration(
@@ -167,28 +264,114 @@ def apply_registration(
     stamp: str,
     table: str,
     null_equality: NullEquality = "sql",
+    late: str = "raise",
     **read_options,
 ) -> Applied:
-    """Store the rows of one registration snapshot that are new or changed.
-
-    Rows are compared with the latest stored row of an *earlier* date and the snapshot's own
-    partition is replaced, so a repeated run stores the same rows. A repeated or missing key
-    among the rows to store fails the run and stores nothing. A snapshot older than one already
-    applied raises `LateSnapshot`. The digests of the latest rows are kept as a state table for the
-    next snapshot; it is only ever a shortcut and can be deleted.
-    """
-    day = _iso(stamp)
-    newest = newest_partition(spark, table)
-    if newest is not None and newest > day:
+    """Store the rows of one registration snapshot that are new or changed: `apply_registrations` for one date."""
+    day, newest = _iso(stamp), newest_partition(spark, table)
+    if late == "raise" and newest is not None and newest > day:
         raise LateSnapshot(f"snapshot {day} is older than {newest}, which is already stored")
-    staged, seen = _observed(prepare_registration(_staged(spark, source, stamp, **read_options)))
-    before = _latest_before(spark, table, day)
-    staged = staged.withColumn(DIGEST, row_digest(_REGISTRATION_VALUES))
-    changed = changed_rows(staged, before, KEY, SNAPSHOT_DATE, null_equality, as_of=day, digest=DIGEST)
-    remove_folder(spark, f"{_state_folder(table)}/{_AS_OF}={day}")  # left by an earlier run for this date
-    written = publish_partition(spark, changed, table, day, check=lambda new: check_key(new, [KEY]))
-    _save_latest(spark, table, day, before, written)
-    return _report(stamp, seen, written)
+    rows = prepare_registration(_staged(spark, source, stamp, **read_options))
+    return next(iter(apply_registrations(spark, rows, table, null_equality, late, [day])), Applied(stamp, 0, 0, 0))
+
+
+def _staged(spark: SparkSession, source: DataFrame | str | list[str], stamp: str, **options) -> DataFrame:
+    scan = source if isinstance(source, DataFrame) else read_snapshot(spark, source, quality=True, **options)
+    return with_snapshot_date(scan, stamp)
+
+
+# --- participations ---
+
+def _index_parts(manifest: Manifest) -> list[tuple[str, str, int]]:
+    """(fingerprints, bloom, blocks of the bloom) of each part of the index."""
+    parts = []
+    for name in sorted(manifest.sides):
+        if name.startswith(f"{BLOOM}:"):
+            _, part, blocks = name.split(":")
+            parts.append((f"{FINGERPRINTS}:{part}", name, int(blocks)))
+    return parts
+
+
+@contextlib.contextmanager
+def known_fingerprints(spark: SparkSession, table: str, manifest: Manifest, wanted: DataFrame) -> Iterator[DataFrame]:
+    """Those of the distinct fingerprints `wanted` (column FINGERPRINT) that are stored.
+
+    The Bloom filters rule out most new ones; only the buckets of the rest are read. The stored fingerprints are not shuffled
+    while the rest is small enough to broadcast, by its count. A table without an index is read itself, one column."""
+    parts = _index_parts(manifest)
+    stored = None
+    if parts:
+        flagged, flags = wanted, []
+        for k, (_, bloom, blocks) in enumerate(parts):
+            flagged = may_contain(flagged, read_side(spark, table, manifest, bloom), blocks, f"_in{k}")
+            flags.append(F.col(f"_in{k}"))
+        wanted = flagged.where(F.greatest(*flags) if len(flags) > 1 else flags[0]).select(FINGERPRINT)
+    with work_table(wanted.withColumn(BUCKET, bucket_of(F.col(FINGERPRINT))), "possible") as possible:
+        found = {r[BUCKET]: r["n"] for r in possible.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()}
+        possible = possible.select(FINGERPRINT)
+        for fingerprints, _, _ in parts:
+            part = read_side(spark, table, manifest, fingerprints).where(F.col(BUCKET).isin(sorted(found))).select(FINGERPRINT)
+            stored = part if stored is None else stored.unionByName(part)
+        if stored is None:
+            whole = read_table(spark, table, schemas.PARTICIPATION_LOG, _FINGERPRINT_FIELD, manifest=manifest)
+            yield split_join(possible, whole.select(F.col(DIGEST).alias(FINGERPRINT)).distinct(), [FINGERPRINT], "left_semi")
+        elif sum(found.values()) <= BROADCAST_ROWS:
+            yield stored.join(F.broadcast(possible), FINGERPRINT, "left_semi").select(FINGERPRINT)
+        else:
+            yield split_join(possible, stored, [FINGERPRINT], "left_semi")
+
+
+def _write_index(spark: SparkSession, draft: Draft, table: str, added: DataFrame, n_added: int) -> Callable[[str], bool]:
+    """Add a part with the new fingerprints, or write the index anew when it has many parts; tells which sides stay."""
+    parts = _index_parts(draft.base)
+    fresh = bool(draft.base.values) and not parts
+    anew = fresh or len(parts) >= INDEX_PARTS
+    if anew:
+        before = read_table(spark, table, schemas.PARTICIPATION_LOG, _FINGERPRINT_FIELD, manifest=draft.base).select(F.col(DIGEST).alias(FINGERPRINT)).distinct()
+        added = added.unionByName(before).distinct()
+    if not n_added and not anew:
+        return lambda name: True
+    part = f"{draft.number:08d}"
+    dealt = added.withColumn(BUCKET, bucket_of(F.col(FINGERPRINT)))
+    draft.write_side(f"{FINGERPRINTS}:{part}", dealt.hint("rebalance", BUCKET), BUCKET)
+    keys = spark.read.parquet(f"{draft.table}/{draft.sides[f'{FINGERPRINTS}:{part}'][0]}")
+    blocks = blocks_for(keys.count() if anew else n_added)
+    draft.write_side(f"{BLOOM}:{part}:{blocks}", bloom_filter(keys, blocks))
+    return lambda name: not anew
+
+
+def apply_participations(
+    spark: SparkSession, rows: DataFrame, table: str, intra_batch: IntraBatch = "keep", dates: list[str] | None = None,
+) -> list[Applied]:
+    """Store a whole series of participation snapshots in one pass and one commit; returns what each date did.
+
+    A row is stored with the first date of the series that has it, if no equal row is stored yet; equal rows of one date are all
+    stored, or one of them (`intra_batch='dedupe'`). A log only grows: rows of a date stay when it is published again without
+    them, because later snapshots that had them too did not store them. A repeated run adds nothing. The stored rows
+    are neither read nor written again: a date published again gets one more folder."""
+    with work_table(_marked_participations(rows), "staged") as staged:
+        counts = _counted(staged)
+        present = sorted({*counts, *(dates or ())})
+        if not present:
+            return []
+        with Draft(spark, table) as draft:
+            first = staged.groupBy(DIGEST).agg(F.min(SNAPSHOT_DATE).alias(SNAPSHOT_DATE))
+            with work_table(first, "first") as first:
+                wanted = first.select(F.col(DIGEST).alias(FINGERPRINT))
+                with (
+                    known_fingerprints(spark, table, draft.base, wanted) as known,
+                    work_table(split_join(first, known.withColumnRenamed(FINGERPRINT, DIGEST), [DIGEST], "left_anti"), "fresh") as fresh,
+                ):
+                    n_fresh = fresh.count()
+                    inserted = {}
+                    if n_fresh:
+                        keys = [DIGEST, SNAPSHOT_DATE]
+                        added = staged.join(F.broadcast(fresh), keys, "left_semi") if n_fresh <= BROADCAST_ROWS else split_join(staged, fresh, keys, "left_semi")
+                        added = added.select(*schemas.PARTICIPATION_LOG.names, DIGEST)
+                        inserted = draft.write(one_per_fingerprint(added, DIGEST) if intra_batch == "dedupe" else added)
+                    stay = _write_index(spark, draft, table, fresh.select(F.col(DIGEST).alias(FINGERPRINT)), n_fresh)
+            draft.commit(inserted, present, add=True, sides=stay)
+    return _reports(counts, inserted, present)
 
 
 def apply_participation(
@@ -199,86 +382,15 @@ def apply_participation(
     intra_batch: IntraBatch = "keep",
     **read_options,
 ) -> Applied:
-    """Store the rows of one participation snapshot that are not stored yet.
-
-    A log only grows: rows stored for the date stay when it is published again without them, because later snapshots
-    that had them too did not store them. A repeated run adds nothing."""
-    day = _iso(stamp)
-    staged, seen = _observed(prepare_participation(_staged(spark, source, stamp, **read_options)))
-    stored = read_table(spark, table, schemas.PARTICIPATION_LOG, _FINGERPRINT_FIELD)
-    staged = staged.withColumn(DIGEST, participation_fingerprint())
-    added = new_rows(staged, stored, intra_batch=intra_batch, fingerprint=DIGEST)
-    present = stored.where(F.col(SNAPSHOT_DATE) == F.lit(day).cast("date")).select(*added.columns)
-    written = publish_partition(spark, present.unionByName(added), table, day)
-    return _report(stamp, seen, written)
-
-
-def participation_fingerprint() -> Column:
-    """Identity of a participation row; the snapshot date is not part of it."""
-    return row_fingerprint(schemas.PARTICIPATION_COLUMNS, schemas.PARTICIPATION_DATE_COLUMNS)
-
+    """Store the rows of one participation snapshot that are not stored yet: `apply_participations` for one date."""
+    rows = prepare_participation(_staged(spark, source, stamp, **read_options))
+    return next(iter(apply_participations(spark, rows, table, intra_batch, [_iso(stamp)])), Applied(stamp, 0, 0, 0))
 
-def apply_registrations(
-    spark: SparkSession, rows: DataFrame, table: str, null_equality: NullEquality = "sql", late: str = "raise"
-) -> list[str]:
-    """Store a whole series of registration snapshots (all newer than the table) in one pass.
-
-    `rows` are prepared rows of any number of dates. Used for a backlog: one shuffle instead of
-    one comparison per snapshot. The rows are compared with the digests of the latest rows, which are kept as a state table
-    for the next series. Returns the dates. Dates before one that is stored and not among them are late:
-    they raise, or are left out and logged (`late='skip'`).
-    """
-    rows = rows.drop(_FAILED)
-    if DIGEST not in rows.columns:
-        rows = rows.withColumn(DIGEST, row_digest(_REGISTRATION_VALUES))
-    dates = [r[0].isoformat() for r in rows.select(SNAPSHOT_DATE).distinct().orderBy(SNAPSHOT_DATE).collect()]
-    if not dates:
-        return []
-    newest = max((d for d in partition_values(spark, table, SNAPSHOT_DATE) if d not in dates), default="")
-    behind = [d for d in dates if d < newest]
-    if behind and late == "raise":
-        raise LateSnapshot(f"snapshot {behind[0]} is older than {newest}, which is already stored")
-    if behind:
-        log.warning("snapshots older than %s are left out; rebuild the table to include them: %s", newest, behind)
-        dates = [d for d in dates if d > newest]
-        rows = rows.where(F.col(SNAPSHOT_DATE) > F.lit(newest).cast("date"))
-        if not dates:
-            return []
-    check_key(rows, [KEY, SNAPSHOT_DATE])
-    before = _latest_before(spark, table, dates[0]).where(F.col(SNAPSHOT_DATE) < F.lit(dates[0]).cast("date"))
-    baseline = latest_per_key(before.select(KEY, SNAPSHOT_DATE, DIGEST), [KEY], SNAPSHOT_DATE)
-    kept = keep_changes(rows, KEY, SNAPSHOT_DATE, null_equality, baseline, DIGEST)
-    _drop_states(spark, table, dates[0])  # those belong to the partitions replaced now
-    publish_series(spark, kept, table, dates)
-    history = read_table(spark, table, schemas.REGISTRATION_TABLE, _DIGEST_FIELD).select(KEY, SNAPSHOT_DATE, DIGEST)
-    series = history.where(F.col(SNAPSHOT_DATE).between(F.lit(dates[0]).cast("date"), F.lit(dates[-1]).cast("date")))
-    _publish_state(spark, table, dates[-1], latest_per_key(baseline.select(*series.columns).unionByName(series), [KEY], SNAPSHOT_DATE))
-    return dates
 
+# --- rebuilding from dated files ---
 
-def apply_participations(
-    spark: SparkSession, rows: DataFrame, table: str, intra_batch: IntraBatch = "keep"
-) -> list[str]:
-    """Store a whole series of participation snapshots in one pass. `rows` as in `apply_registrations`."""
-    rows = rows.drop(_FAILED)
-    if DIGEST not in rows.columns:
-        rows = rows.withColumn(DIGEST, participation_fingerprint())
-    dates = [r[0].isoformat() for r in rows.select(SNAPSHOT_DATE).distinct().orderBy(SNAPSHOT_DATE).collect()]
-    if not dates:
-        return []
-    stored = read_table(spark, table, schemas.PARTICIPATION_LOG, _FINGERPRINT_FIELD)
-    first = first_batch_rows(rows, SNAPSHOT_DATE, intra_batch=intra_batch, fingerprint=DIGEST)
-    added = new_rows(first, stored, fingerprint=DIGEST)
-    present = stored.where(F.col(SNAPSHOT_DATE).isin([dt.date.fromisoformat(d) for d in dates])).select(*added.columns)
-    publish_series(spark, present.unionByName(added), table, dates)
-    return dates
-
-
-def _stage_series(
-    spark: SparkSession, folder: str, stem: str, prepare: Callable[[DataFrame], DataFrame], digest: Column,
-    undated: str = "raise", **read_options,
-) -> tuple[str, list[str]]:
-    """Parse all dated snapshots of a feed once into a columnar work table; returns its path and the dates."""
+def _dated_files(spark: SparkSession, folder: str, stem: str, undated: str) -> tuple[list[str], list[str]]:
+    """(paths, dates) of the snapshots of a feed."""
     files = list_snapshots(spark, folder, stem).collect()  # one short row per file
     unreadable = [f["file_name"] for f in files if not f["readable"]]
     if unreadable:
@@ -288,19 +400,10 @@ def _stage_series(
         raise ValueError(f"files of {stem} without a date in their name: {left_out}")
     if left_out:
         log.warning("files without a date in their name are left out: %s", left_out)
-    dates = sorted({f["snapshot_date"].isoformat() for f in files if f["snapshot_date"] is not None})
-    paths = [f["path"] for f in files if f["snapshot_date"] is not None]
-    if not dates:
+    dated = [f for f in files if f["snapshot_date"] is not None]
+    if not dated:
         raise NothingToRebuild(f"no dated snapshot of {stem} in {folder}")
-    staging = work_folder(spark, "rebuild")
-    rows = read_dated_snapshots(spark, paths, prepare, **read_options).drop(_FAILED)
-    rows.withColumn(DIGEST, digest).write.parquet(staging)
-    return staging, dates
-
-
-def _publish_series(spark: SparkSession, kept: DataFrame, table: str, dates: list[str]) -> int:
-    replace_table(spark, kept, table, dates)  # a date that stored nothing was still applied
-    return spark.read.parquet(table).count()
+    return [f["path"] for f in dated], sorted({f["snapshot_date"].isoformat() for f in dated})
 
 
 def rebuild_registration(
@@ -310,25 +413,25 @@ def rebuild_registration(
     table: str,
     null_equality: NullEquality = "sql",
     ties: list[str] | None = None,
+    undated: str = "raise",
     **read_options,
 ) -> int:
     """Rebuild the registration table from all dated snapshots; returns the number of rows stored.
 
     One pass over all snapshots in date order, whatever the order they arrived in. A repeated
     (key, date) fails the rebuild unless `ties` names columns whose greatest values win. The
-    present table stays in place until the new one is complete. A file without a date in its name fails the rebuild,
+    present version stays until the new one is complete. A file without a date in its name fails the rebuild,
     or is left out (`undated='skip'`).
     """
-    path, dates = _stage_series(spark, folder, stem, prepare_registration, row_digest(_REGISTRATION_VALUES), **read_options)
-    try:
-        staged = spark.read.parquet(path)
-        if ties is None:
-            check_key(staged, [KEY, SNAPSHOT_DATE])
-        else:
-            staged = latest_per_key(staged, [KEY, SNAPSHOT_DATE], SNAPSHOT_DATE, ties)
-        return _publish_series(spark, keep_changes(staged, KEY, SNAPSHOT_DATE, null_equality, digest=DIGEST), table, dates)
-    finally:
-        remove_folder(spark, path)
+    paths, dates = _dated_files(spark, folder, stem, undated)
+    rows = read_dated_snapshots(spark, paths, prepare_registration, quality=True, **read_options)
+    if ties is not None:
+        rows = latest_per_key(rows, [KEY, SNAPSHOT_DATE], SNAPSHOT_DATE, ties)
+    with work_table(_marked_registrations(rows), "rebuild") as staged, Draft(spark, table) as draft:
+        nothing = spark.createDataFrame([], T.StructType([f for f in staged.schema if f.name in (KEY, SNAPSHOT_DATE, *MARKS)]))
+        counts = _store_series(spark, draft, staged, nothing, null_equality, anew=True)
+        draft.commit(counts, dates, everything=True, sides=lambda name: False)
+    return sum(counts.values())
 
 
 def rebuild_participation(
@@ -337,15 +440,17 @@ def rebuild_participation(
     stem: str,
     table: str,
     intra_batch: IntraBatch = "keep",
+    undated: str = "raise",
     **read_options,
 ) -> int:
     """Rebuild the participation log from all dated snapshots; returns the number of rows stored."""
-    path, dates = _stage_series(spark, folder, stem, prepare_participation, participation_fingerprint(), **read_options)
-    try:
-        kept = first_batch_rows(spark.read.parquet(path), SNAPSHOT_DATE, intra_batch=intra_batch, fingerprint=DIGEST)
-        return _publish_series(spark, kept, table, dates)
-    finally:
-        remove_folder(spark, path)
+    paths, dates = _dated_files(spark, folder, stem, undated)
+    rows = read_dated_snapshots(spark, paths, prepare_participation, quality=True, **read_options)
+    with work_table(_marked_participations(rows), "rebuild") as staged, Draft(spark, table) as draft:
+        kept = first_batch_rows(staged, SNAPSHOT_DATE, intra_batch=intra_batch, fingerprint=DIGEST)
+        counts = draft.write(kept.select(*schemas.PARTICIPATION_LOG.names, DIGEST))
+        draft.commit(counts, dates, everything=True, sides=lambda name: False)
+    return sum(counts.values())
 
 
 def rebuild(
@@ -360,3 +465,10 @@ def rebuild(
     if unknown:
         raise ValueError(f"unknown tables: {sorted(unknown)}")
     return {name: job(spark, folder, *targets[name]) for name, job in jobs.items() if name in tables}
+
+
+__all__ = [
+    "HAS_NULL", "Applied", "LateSnapshot", "apply_participation", "apply_participations", "apply_registration", "apply_registrations",
+    "check_decided", "known_fingerprints", "narrow_history", "prepare_participation", "prepare_registration", "quality_counts",
+    "read_participations", "read_registrations", "rebuild", "rebuild_participation", "rebuild_registration", "work_table",
+]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import logging
 from dataclasses import dataclass, field
+from typing import Literal
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -15,22 +16,28 @@ from tidemark.operators.ledger import needs_backup, pending_files
 from tidemark.plans.feeds import (
     Applied,
     LateSnapshot,
-    apply_participation,
-    apply_registration,
-    read_participations,
-    read_registrations,
+    apply_participations,
+    apply_registrations,
+    prepare_participation,
+    prepare_registration,
 )
-from tidemark.schemas import LEDGER
-from tidemark.sinks.tables import export_tsv
+from tidemark.schemas import LEDGER, PARTICIPATION_LOG, REGISTRATION_TABLE
+from tidemark.sinks.backups import backup_table
 from tidemark.sources.ledger import read_ledger, write_ledger
-from tidemark.sources.snapshots import list_snapshots
+from tidemark.sources.manifest import current_manifest
+from tidemark.sources.snapshots import list_snapshots, read_dated_snapshots
 
 log = logging.getLogger(__name__)
 
 
+Late = Literal["splice", "skip"]
+
+
 @dataclass
 class Pipeline:
-    """Where the feeds land and where their tables, backups and ledger are kept."""
+    """Where the feeds land and where their tables, backups and ledger are kept.
+
+    `late` says what becomes of a registration snapshot older than one applied: it is put into the history, or set aside."""
 
     landing: str
     registration_stem: str
@@ -41,13 +48,14 @@ class Pipeline:
     ledger: str
     null_equality: NullEquality = "sql"
     intra_batch: IntraBatch = "keep"
+    late: Late = "splice"
     read_options: dict = field(default_factory=dict)
 
 
 @dataclass
 class RunReport:
     """Outcome of a run: files applied, whether a backup was made, files that belong to no feed or are no text
-    files, late registration files (only a rebuild takes them in), and the first failure, if any."""
+    files, late registration files (applied as well, unless the pipeline sets them aside), and the first failure, if any."""
 
     applied: dict[str, Applied] = field(default_factory=dict)
     backed_up: bool = False
@@ -61,10 +69,10 @@ def landing_files(spark: SparkSession, pipeline: Pipeline) -> DataFrame:
     return list_snapshots(spark, pipeline.landing)
 
 
-def backup_tables(spark: SparkSession, pipeline: Pipeline) -> None:
-    """Export both tables as text, replacing the previous backup."""
-    export_tsv(read_registrations(spark, pipeline.registration_table), f"{pipeline.backup_folder}/registration.tsv")
-    export_tsv(read_participations(spark, pipeline.participation_table), f"{pipeline.backup_folder}/participation.tsv")
+def backup_tables(spark: SparkSession, pipeline: Pipeline) -> dict[str, list[str]]:
+    """Bring the text backups of both tables up to date; returns the dates that were exported."""
+    targets = {"registration": (pipeline.registration_table, REGISTRATION_TABLE), "participation": (pipeline.participation_table, PARTICIPATION_LOG)}
+    return {name: backup_table(spark, table, f"{pipeline.backup_folder}/{name}", schema) for name, (table, schema) in targets.items()}
 
 
 def _mark(spark: SparkSession, pipeline: Pipeline, files: list[Row], processed: bool) -> None:
@@ -78,10 +86,11 @@ def run_incremental(
     """Process every pending file once; safe to repeat and to interrupt.
 
     The date of a snapshot is the date prefix of its name or else the date of its timestamp.
-    Registration files come first, each feed oldest first; several files of one feed and date are
-    one snapshot. A snapshot that fails ends its feed for this run and stays unfinished in the ledger; the other feed goes on.
-    A registration snapshot older than one applied is set aside: reported as late and finished in the ledger. Files whose stem
-    is that of neither feed are reported and not read. The first failure is logged and
+    All pending dates of a feed are one series, parsed, decided and committed once; then the ledger notes all their files at
+    once. Registrations come first; several files of one feed and date are one snapshot. If a series fails, its dates are tried one by
+    one, oldest first, until the one that fails; that and later ones stay unfinished in the ledger, and the other feed goes
+    on. A registration snapshot older than one applied is reported as late and spliced into the history, or set aside
+    (`Pipeline.late`). Files whose stem is that of neither feed are reported and not read. The first failure is logged and
     returned, or raised on request. `listing` replaces the scan of the landing folder (columns
     path, file_name, stem, stamp, timestamp).
     """
@@ -105,9 +114,8 @@ def run_incremental(
             backup_tables(spark, pipeline)
             report.backed_up = True
             _mark(spark, pipeline, open_files, processed=False)
-        for files in snapshots:
-            if files[0]["stem"] not in failed:
-                _apply_or_set_aside(spark, pipeline, files, report, failed)
+        for _, series in itertools.groupby(snapshots, key=lambda files: files[0]["stem"]):
+            _apply_series(spark, pipeline, list(series), report, failed)
         report.error = next(iter(failed.values()), None)
     except Exception as error:
         report.error = error
@@ -117,18 +125,24 @@ def run_incremental(
     return report
 
 
-def _apply_or_set_aside(spark: SparkSession, pipeline: Pipeline, files: list[Row], report: RunReport, failed: dict) -> None:
-    names = ", ".join(f["file_name"] for f in files)
+def _apply_series(spark: SparkSession, pipeline: Pipeline, series: list[list[Row]], report: RunReport, failed: dict) -> None:
+    """Apply the snapshots of one feed together, or else one by one up to the first that fails."""
     try:
-        report.applied[names] = _apply(spark, pipeline, files)
-    except LateSnapshot:
-        log.warning("%s is late; rebuild the table to include it", names)
-        report.late.append(names)
-    except Exception as error:
-        log.exception("%s failed; it is retried by the next run", names)
-        failed[files[0]["stem"]] = error
+        _apply(spark, pipeline, series, report)
         return
-    _mark(spark, pipeline, files, processed=True)
+    except Exception as error:
+        if len(series) == 1:
+            failed[series[0][0]["stem"]] = error
+    log.warning("%d snapshots could not be applied together; they are tried one by one", len(series))
+    for files in series:
+        try:
+            if files[0]["stem"] in failed:
+                raise failed[files[0]["stem"]]
+            _apply(spark, pipeline, [files], report)
+        except Exception as error:
+            log.exception("%s failed; it is retried by the next run", ", ".join(f["file_name"] for f in files))
+            failed[files[0]["stem"]] = error
+            return
 
 
 def _snapshots(dated: DataFrame, pending: DataFrame, pipeline: Pipeline) -> list[list[Row]]:
@@ -143,15 +157,31 @@ def _snapshots(dated: DataFrame, pending: DataFrame, pipeline: Pipeline) -> list
     return [list(group) for _, group in itertools.groupby(files, key=lambda f: (f["stem"], f["stamp"]))]
 
 
-def _apply(spark: SparkSession, pipeline: Pipeline, files: list[Row]) -> Applied:
-    paths, stamp = [f["path"] for f in files], files[0]["stamp"]
-    if files[0]["stem"] == pipeline.registration_stem:
-        done = apply_registration(
-            spark, paths, stamp, pipeline.registration_table, pipeline.null_equality, **pipeline.read_options
-        )
+def _apply(spark: SparkSession, pipeline: Pipeline, series: list[list[Row]], report: RunReport) -> None:
+    registrations = series[0][0]["stem"] == pipeline.registration_stem
+    by_stamp = {files[0]["stamp"]: files for files in series}
+    paths = {f["path"]: f["stamp"] for files in series for f in files}
+    prepare = prepare_registration if registrations else prepare_participation
+    rows = read_dated_snapshots(spark, paths, prepare, quality=True, **pipeline.read_options)
+    dates = [f"{s[:4]}-{s[4:6]}-{s[6:]}" for s in by_stamp]
+    late: list[str] = []
+    if registrations:
+        newest = max((d for d in current_manifest(spark, pipeline.registration_table).values if d not in dates), default="")
+        late = [d for d in dates if d < newest]
+        try:
+            done = apply_registrations(spark, rows, pipeline.registration_table, pipeline.null_equality, pipeline.late, dates)
+        except LateSnapshot:  # the table does not know enough to splice
+            done = apply_registrations(spark, rows, pipeline.registration_table, pipeline.null_equality, "skip", dates)
     else:
-        done = apply_participation(
-            spark, paths, stamp, pipeline.participation_table, pipeline.intra_batch, **pipeline.read_options
-        )
-    log.info("%s: %d rows read, %d stored, %d values not parsed", paths, done.staged, done.inserted, done.failed_values)
-    return done
+        done = apply_participations(spark, rows, pipeline.participation_table, pipeline.intra_batch, dates)
+    finished = {applied.snapshot_date: applied for applied in done}
+    for stamp, files in by_stamp.items():
+        names = ", ".join(f["file_name"] for f in files)
+        if f"{stamp[:4]}-{stamp[4:6]}-{stamp[6:]}" in late:
+            report.late.append(names)
+        if stamp in finished:
+            report.applied[names] = finished[stamp]
+            log.info("%s: %s", names, finished[stamp])
+        else:
+            log.warning("%s is late and was set aside; rebuild the table to include it", names)
+    _mark(spark, pipeline, [f for files in series for f in files], processed=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,10 +29,14 @@ def configure(spark: SparkSession) -> SparkSession:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path for intermediate tables, below the folder in `spark.checkpoint.dir`.
 
-    The folder must be shared by all executors. Without the setting, a folder of the warehouse is used,
-    which executors share as well.
+    The folder must be shared by all executors. Without the setting, a folder of the warehouse is used if the
+    warehouse is configured or everything runs on one machine; a cluster without either raises, because the default warehouse
+    lies on the driver's own disk.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    given = spark.sparkContext.getConf()
+    root = spark.conf.get("spark.checkpoint.dir", None) or given.get("spark.checkpoint.dir")
     if not root:
+        if not given.contains("spark.sql.warehouse.dir") and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -114,3 +114,48 @@ def move_file(spark: SparkSession, source: str, target: str) -> None:
     fs.mkdirs(to_path.getParent())
     if not fs.rename(from_path, to_path):
         raise OSError(f"could not move {source} to {target}")
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files directly in a folder; none if there is no folder."""
+    fs, hadoop_path = _fs(spark, folder)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path) if status.isFile())
+
+
+def folder_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders directly in a folder; none if there is no folder."""
+    fs, hadoop_path = _fs(spark, folder)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path) if status.isDirectory())
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file; None if there is none."""
+    fs, hadoop_path = _fs(spark, path)
+    if not fs.exists(hadoop_path):
+        return None
+    stream = fs.open(hadoop_path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small text file; False if a file of that name exists already."""
+    fs, hadoop_path = _fs(spark, path)
+    fs.mkdirs(hadoop_path.getParent())
+    try:
+        stream = fs.create(hadoop_path, False)
+    except Exception as error:
+        if "AlreadyExists" in str(error):
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True

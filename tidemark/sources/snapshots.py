@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,11 @@ STAMP_LENGTH = 8
 FILE_SUFFIXES = (".txt", ".txt.gz", ".csv", ".csv.gz", ".tsv", ".tsv.gz")
 #: Longer than any file's age: the stream reads old files too.
 _NO_AGE_LIMIT = "36500d"
+#: Files whose first lines are read at the same time.
+_OPEN_FILES = 32
 
+#: Columns that tell what was wrong with a row.
+LONG_ROW, SHORT_ROW, BROKEN_QUOTES = "_long_row", "_short_row", "_broken_quotes"
 _BAD = "_bad_record"
 _QUOTED_FIELD = r'(^|\t)"(?:[^"]|"")*"'
 
@@ -35,29 +40,23 @@ def list_snapshots(spark: SparkSession, folder: str, stem: str | None = None) ->
     if the name has none) and `timestamp` the modification time as HTTP date text, which is what
     the ledger compares. File contents are not read.
     """
-    name = F.substring_index("path", "/", -1)
-    named = (
-        spark.read.format("binaryFile").load(folder)
-        .select("path", "modificationTime", "length")
-        .withColumn("file_name", name)
-    )
+    files = describe_files(spark.read.format("binaryFile").load(folder).select("path", "modificationTime", "length"))
+    mine = files.where(F.lit(True) if stem is None else F.col("stem") == stem)
+    return mine.select(
+        "path", "file_name", "stem", "stamp", "snapshot_date", http_date(F.col("modificationTime")).alias("timestamp"), "length", "readable"
+    ).orderBy("snapshot_date", "file_name")
+
+
+def describe_files(files: DataFrame) -> DataFrame:
+    """Files (path, ...) with what their names say: file_name, stem, stamp, snapshot_date and readable."""
+    named = files.withColumn("file_name", F.substring_index("path", "/", -1))
     suffix = F.lit(False)
     for ending in FILE_SUFFIXES:
         suffix = suffix | F.lower("file_name").endswith(ending)
     stamp = F.regexp_extract("file_name", rf"^(\d{{{STAMP_LENGTH}}})", 1)
-    return (
-        named.where(F.lit(True) if stem is None else (feed_stem(F.col("file_name")) == stem))
-        .select(
-            "path",
-            "file_name",
-            feed_stem(F.col("file_name")).alias("stem"),
-            F.nullif(stamp, F.lit("")).alias("stamp"),
-            F.try_to_date(stamp, "yyyyMMdd").alias("snapshot_date"),
-            http_date(F.col("modificationTime")).alias("timestamp"),
-            "length",
-            suffix.alias("readable"),
-        )
-        .orderBy("snapshot_date", "file_name")
+    return named.select(
+        *named.columns, feed_stem(F.col("file_name")).alias("stem"), F.nullif(stamp, F.lit("")).alias("stamp"),
+        F.try_to_date(stamp, "yyyyMMdd").alias("snapshot_date"), suffix.alias("readable"),
     )
 
 
@@ -82,6 +81,12 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     return [field.strip().strip('"') for field in line.split(DELIMITER)]
 
 
+def headers_of(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
+    """Column names of each file. Only first lines are read, of many files at a time."""
+    with ThreadPoolExecutor(_OPEN_FILES) as pool:
+        return dict(zip(paths, pool.map(lambda path: tuple(header_of(spark, path)), paths), strict=True))
+
+
 def _scan_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _BAD]])
 
@@ -95,7 +100,7 @@ def _scan_options(multiline: bool = False) -> dict:
     }
 
 
-def _as_text(raw: DataFrame, columns: list[str], long_rows: str, added: list[Column]) -> DataFrame:
+def _as_text(raw: DataFrame, columns: list[str], long_rows: str, added: list[Column], quality: bool = False) -> DataFrame:
     """Fill up missing fields with '' and deal with rows that have too many."""
     # A malformed row is kept as text; separators inside quoted fields do not count.
     bare = F.regexp_replace(F.col(_BAD), _QUOTED_FIELD, "$1")
@@ -107,8 +112,12 @@ def _as_text(raw: DataFrame, columns: list[str], long_rows: str, added: list[Col
         failure = F.raise_error(F.concat(F.lit("row with too many fields: "), F.substring(_BAD, 1, 200))).cast("boolean")
         # (and names a column of the file, as a scan of the bad-row column alone is not allowed)
         raw = raw.where(F.when(is_long, failure).otherwise(F.coalesce(F.length(F.col(f"`{columns[0]}`")), F.lit(0)) >= 0))
-    else:
-        added = [is_long.alias("_long_row"), *added]
+    elif not quality:
+        added = [is_long.alias(LONG_ROW), *added]
+    if quality:
+        quotes = F.length(F.col(_BAD)) - F.length(F.replace(F.col(_BAD), F.lit('"'), F.lit("")))
+        broken = F.coalesce(quotes % 2 == 1, F.lit(False))
+        added = [is_long.alias(LONG_ROW), (F.col(_BAD).isNotNull() & ~is_long).alias(SHORT_ROW), broken.alias(BROKEN_QUOTES), *added]
     return raw.select(*texts, *added)
 
 
@@ -124,6 +133,7 @@ def read_snapshot(
     multiline: bool = False,
     long_rows: str = "raise",
     stamp_column: str | None = None,
+    quality: bool = False,
 ) -> DataFrame:
     """Scan snapshot files that share one header. Every column is text and '' is never NULL.
 
@@ -132,55 +142,52 @@ def read_snapshot(
     is marked in a boolean column `_long_row` (`'flag'`). `columns` are the header's names, read
     from the files if not given. `multiline` accepts line breaks inside quotes, but then a
     file is read by one task, so it is off by default. `stamp_column` adds a column with the date
-    prefix of the file a row comes from.
+    prefix of the file a row comes from. `quality` adds `_long_row`, `_short_row` and `_broken_quotes` (a row
+    of the wrong length with an odd number of quotes).
     """
     if long_rows not in ("raise", "flag"):
         raise ValueError(f"long_rows must be 'raise' or 'flag', not {long_rows!r}")
     paths = [paths] if isinstance(paths, str) else list(paths)
     if columns is None:
-        headers = {tuple(header_of(spark, path)) for path in paths}
+        headers = set(headers_of(spark, paths).values())
         if len(headers) > 1:
             raise ValueError("the files have different headers; read them with read_dated_snapshots")
         columns = list(headers.pop())
     raw = spark.read.schema(_scan_schema(columns)).options(**_scan_options(multiline)).csv(paths)
-    return _as_text(raw, columns, long_rows, [file_stamp().alias(stamp_column)] if stamp_column else [])
-
+    return _as_text(raw, columns, long_rows, [file_stamp().alias(stamp_column)] if stamp_column else [], quality)
 
-def stream_snapshots(spark: SparkSession, folder: str, stem: str, columns: list[str]) -> DataFrame:
-    """Rows of dated snapshot files as they arrive, all text, with their snapshot date.
 
-    The header of every file must have exactly `columns`, in order; any other file fails the
-    stream, because a stream has one schema. Short and long rows are treated as in `read_snapshot`.
-    """
-    raw = (
-        spark.readStream.schema(_scan_schema(columns))
-        .options(**_scan_options(), enforceSchema=False, pathGlobFilter=f"[0-9]*_{stem}.*", maxFileAge=_NO_AGE_LIMIT)
-        .csv(folder)
+def stream_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files as they arrive in a folder: path and modificationTime. Their contents are not read."""
+    return (
+        spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+        .option("maxFileAge", _NO_AGE_LIMIT).load(folder).select("path", "modificationTime")
     )
-    return _as_text(raw, columns, "raise", [to_date_strict(file_stamp()).alias(SNAPSHOT_DATE)])
 
 
 def read_dated_snapshots(
     spark: SparkSession,
-    paths: list[str],
+    paths: list[str] | dict[str, str],
     prepare: Callable[[DataFrame], DataFrame],
     **options,
 ) -> DataFrame:
     """Dated files as one DataFrame, rows stamped with their file's date.
 
     Files are grouped by header and each group is one scan, so files of different layouts can
-    be mixed. `prepare` turns a scan (all text, plus the date column) into the common schema.
+    be mixed. `prepare` turns a scan (all text, plus the date column) into the common schema. Where the date is not the
+    prefix of the name, `paths` maps each file to its stamp (`yyyyMMdd`).
     """
-    by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path in paths:
-        by_header[tuple(header_of(spark, path))].append(path)
+    stamps = paths if isinstance(paths, dict) else {}
+    groups: dict[tuple[tuple[str, ...], str | None], list[str]] = defaultdict(list)
+    for path, header in headers_of(spark, list(paths)).items():
+        own = stamps.get(path)
+        groups[header, None if own is None or path.rpartition("/")[2].startswith(own) else own].append(path)
     parts = []
-    for header, group in by_header.items():
+    for (header, stamp), group in groups.items():
         scan = read_snapshot(spark, group, list(header), stamp_column="_stamp", **options)
-        dated = scan.withColumn(SNAPSHOT_DATE, to_date_strict(F.col("_stamp"))).drop("_stamp")
+        dated = scan.withColumn(SNAPSHOT_DATE, to_date_strict(F.col("_stamp") if stamp is None else F.lit(stamp))).drop("_stamp")
         parts.append(prepare(dated))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
     return result
-
