@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import participation, registration, rows_of, write_snapshot
 from tidemark import schemas
@@ -143,6 +144,19 @@ def test_rebuild_without_snapshots_leaves_the_table(spark, tmp_path):
         feeds.rebuild(spark, str(tmp_path / "in"), {}, {"everything"})
 
 
+def test_rebuild_refuses_or_leaves_out_files_without_a_date(spark, tmp_path):
+    folder, table = tmp_path / "in", str(tmp_path / "table")
+    part_file(folder, "20240101", [participation("1")])
+    write_snapshot(folder / "turnout.txt", [participation("2")], PART)
+    with pytest.raises(ValueError, match="without a date"):
+        feeds.rebuild_participation(spark, str(folder), "turnout", table)
+    assert feeds.rebuild_participation(spark, str(folder), "turnout", table, undated="skip") == 1
+    (folder / "20240108_turnout.zip").write_bytes(b"PK")
+    with pytest.raises(ValueError, match="not text files"):
+        feeds.rebuild_participation(spark, str(folder), "turnout", table, undated="skip")
+    assert [r[0] for r in logged(spark, table)] == ["1"]
+
+
 def random_log(seed):
     rng = random.Random(seed)
     weeks = ["20240101", "20240108", "20240115"]
@@ -377,6 +391,26 @@ def test_index_of_stored_rows_equals_the_table(spark, tmp_path, monkeypatch):
     assert logged(spark, tables["broadcast"]) == logged(spark, tables["shuffled"]) == logged(spark, tables["plain"])
 
 
+def test_stored_fingerprints_are_not_shuffled_and_only_some_buckets_read(spark, tmp_path):
+    """The plan that looks up a few fingerprints: buckets by partition, the stored side streams past a broadcast."""
+    table = str(tmp_path / "table")
+    path = part_file(tmp_path / "in", "20240101", [participation(f"{k}") for k in range(200)])
+    feeds.apply_participation(spark, path, "20240101", table)
+    manifest = current_manifest(spark, table)
+    stored_fps = feeds.read_table(spark, table, schemas.PARTICIPATION_LOG, feeds._FINGERPRINT_FIELD).select(F.col("_digest").alias("_fp"))
+    wanted = stored_fps.limit(2).unionByName(spark.createDataFrame([("new",), ("other",)], "_fp string"))
+    with feeds.known_fingerprints(spark, table, manifest, wanted) as known:
+        assert known.count() == 2
+        text = known._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    assert "PartitionFilters: [bucket" in text or "PartitionFilters: [isnotnull(bucket" in text
+    parts = feeds._index_parts(manifest)
+    bloom = read_side(spark, table, manifest, parts[0][1])
+    probes = spark.range(5000).select(F.sha2(F.col("id").cast("string"), 256).alias("_fp"))
+    false_hits = feeds.may_contain(probes, bloom, parts[0][2], "hit").where("hit").count()
+    assert feeds.may_contain(stored_fps, bloom, parts[0][2], "hit").where("NOT hit").count() == 0 and false_hits < 100
+
+
 # --- layouts and quality ---
 
 def test_age_alone_stores_nothing_where_the_layout_changes(spark, tmp_path):

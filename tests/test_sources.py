@@ -3,16 +3,17 @@ import json
 
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows_of, write_snapshot
 from tidemark import schemas
 from tidemark.operators.ledger import needs_backup, pending_files, upsert_ledger
 from tidemark.sinks.tables import append_master, create_table, export_tsv, publish_partition, publish_series
-from tidemark.sources.files import partition_values
+from tidemark.sources.files import partition_values, recover_folder
 from tidemark.sources.manifest import stored_values
 from tidemark.sources.ledger import read_ledger, read_ledger_document, write_ledger
-from tidemark.sources.snapshots import header_of, list_snapshots, read_snapshot
+from tidemark.sources.snapshots import header_of, headers_of, list_snapshots, read_snapshot
 from tidemark.sources.tables import columns_of, date_columns_of, dim_ethnicity, dim_race, dim_status, import_csv, import_tsv, read_table
 
 
@@ -40,6 +41,13 @@ def test_long_row_fails_or_is_flagged(spark, tmp_path):
         read_snapshot(spark, path, long_rows="ignore")
 
 
+def test_long_row_fails_whatever_columns_are_read(spark, tmp_path):
+    path = snapshot(tmp_path, b'a\tb\n1\t2\n1\t2\t3\n')
+    for use in (lambda df: df.select("a").collect(), lambda df: df.count(), lambda df: df.where("b = '2'").select("a").collect()):
+        with pytest.raises(Exception, match="row with too many fields"):
+            use(read_snapshot(spark, path))
+
+
 def test_files_of_one_scan_must_share_a_header(spark, tmp_path):
     paths = [snapshot(tmp_path, b"a\tb\n1\t2\n", "x.txt"), snapshot(tmp_path, b"b\ta\n1\t2\n", "y.txt")]
     with pytest.raises(ValueError, match="different headers"):
@@ -60,6 +68,36 @@ def test_quoted_line_break_needs_multiline(spark, tmp_path):
     assert read_snapshot(spark, path, multiline=True).collect() == [Row(a="two\nlines", b="x")]
 
 
+def test_quoted_line_breaks_are_found_by_many_tasks(spark, tmp_path):
+    import random
+
+    rng = random.Random(3)
+    pieces = ['plain', 'q"q', '"two\nlines"', '"a ""quoted""\n\nword"', '"tab\there"', '""', '"x\n"', "", '"\n"', '5" disk', '"end"']
+    for n in range(4):
+        lines = ["\t".join(rng.choice(pieces) for _ in range(3)) for _ in range(400)]
+        if n == 1:
+            lines[100] = "k\t" + '"' + "long\n" * 900 + '"' + "\tz"  # longer than several splits
+        path = snapshot(tmp_path, ("a\tb\tc\n" + "\n".join(lines) + "\n").encode("latin-1"), f"2024010{n + 1}_feed.txt")
+    plain = spark.read.schema("a string, b string, c string").options(sep="\t", header=True, quote='"', escape='"', multiLine=True, encoding="ISO-8859-1").csv(str(tmp_path))
+    want = rows_of(plain.na.fill(""))
+    assert len(want) == 1600
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("1000", "300", "100m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            paths = [str(p) for p in sorted(tmp_path.glob("*.txt"))]
+            assert rows_of(read_snapshot(spark, paths, multiline=True)) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    stamped = read_snapshot(spark, path, multiline=True, stamp_column="s")
+    assert {r.s for r in stamped.select("s").distinct().collect()} == {"20240104"}
+
+
+def test_headers_of_many_files(spark, tmp_path):
+    paths = [snapshot(tmp_path, f"a{n % 3}\tb\n1\t2\n".encode(), f"{n}.txt") for n in range(60)]
+    assert headers_of(spark, paths) == {p: (f"a{n % 3}", "b") for n, p in enumerate(paths)}
+
+
 def test_windows_line_ends_and_header(spark, tmp_path):
     path = snapshot(tmp_path, b'"a"\tb\r\n1\t2\r\n')
     assert header_of(spark, path) == ["a", "b"]
@@ -94,6 +132,24 @@ def test_backup_round_trip(spark, tmp_path):
     assert import_tsv(spark, path, schema, multiline=True).count() == 1
 
 
+def test_failed_export_leaves_the_backup_and_an_interrupted_swap_is_finished(spark, tmp_path):
+    path, schema = str(tmp_path / "backup"), T.StructType.fromDDL("s string")
+    rows = lambda *texts: spark.createDataFrame([(t,) for t in texts], schema)
+    export_tsv(rows("a", "b"), path)
+    failing = rows("c").select(F.raise_error(F.col("s")).cast("string").alias("s"))
+    with pytest.raises(Exception):
+        export_tsv(failing, path)
+    assert rows_of(import_tsv(spark, path, schema)) == [("a",), ("b",)]
+    assert [p.name for p in tmp_path.iterdir()] == ["backup"]
+    # the old folder was moved aside, then the writer died
+    (tmp_path / "backup").rename(tmp_path / "_old-backup")
+    assert recover_folder(spark, path) and not recover_folder(spark, path)
+    assert rows_of(import_tsv(spark, path, schema)) == [("a",), ("b",)]
+    # the new folder was in place already
+    export_tsv(rows("z"), str(tmp_path / "_old-backup"))
+    assert not recover_folder(spark, path) and not (tmp_path / "_old-backup").exists()
+
+
 def test_prepared_csv(spark, tmp_path):
     schema = T.StructType.fromDDL("s string, n int, d date")
     (tmp_path / "a.csv").write_text('s,n,d\n"a,""b""",1,2024-01-31\n"",,\n')

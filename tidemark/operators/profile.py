@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.keys import key_violations
+
 
 def count_by(df: DataFrame, *keys: str, name: str = "record_count") -> DataFrame:
     """Number of rows per key."""
@@ -30,8 +32,8 @@ def with_percent_of_total(df: DataFrame, count: str, name: str, scale: int = 2)
 
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str], name: str = "row_count") -> DataFrame:
-    """Key values that occur more than once."""
-    return count_by(df, *keys, name=name).where(F.col(name) > 1)
+    """Key values that occur more than once; the same rows as a broken key has."""
+    return key_violations(df, keys, name)
 
 
 def duplicate_profile(df: DataFrame, keys: Sequence[str]) -> DataFrame:

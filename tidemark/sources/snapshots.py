@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tidemark.functions import quoted, to_date_strict
 from tidemark.schemas import SNAPSHOT_DATE
 from tidemark.sources.files import first_line, part_files
+from tidemark.sources.quoted import read_records
 
 # FIXED VALUES: how snapshot files are written and named.
 FILE_ENCODING = "ISO-8859-1"
@@ -91,10 +92,10 @@ def _scan_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _BAD]])
 
 
-def _scan_options(multiline: bool = False) -> dict:
+def _scan_options() -> dict:
     return {
         "sep": DELIMITER, "header": True, "quote": '"', "escape": '"', "encoding": FILE_ENCODING,
-        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD, "multiLine": multiline,
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD, "multiLine": False,
         "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
         "columnPruning": False,  # a parser that skips columns does not see that a row is too long
     }
@@ -140,8 +141,8 @@ def read_snapshot(
     Text such as `NA` stays as it is and a short row is filled up with ''. A row with more
     fields than the header fails the job (`long_rows='raise'`), or keeps its leading fields and
     is marked in a boolean column `_long_row` (`'flag'`). `columns` are the header's names, read
-    from the files if not given. `multiline` accepts line breaks inside quotes, but then a
-    file is read by one task, so it is off by default. `stamp_column` adds a column with the date
+    from the files if not given. `multiline` accepts line breaks inside quotes (`sources.quoted`); it reads the
+    text twice, so it is off by default. `stamp_column` adds a column with the date
     prefix of the file a row comes from. `quality` adds `_long_row`, `_short_row` and `_broken_quotes` (a row
     of the wrong length with an odd number of quotes).
     """
@@ -153,8 +154,15 @@ def read_snapshot(
         if len(headers) > 1:
             raise ValueError("the files have different headers; read them with read_dated_snapshots")
         columns = list(headers.pop())
-    raw = spark.read.schema(_scan_schema(columns)).options(**_scan_options(multiline)).csv(paths)
-    return _as_text(raw, columns, long_rows, [file_stamp().alias(stamp_column)] if stamp_column else [], quality)
+    if multiline:
+        records = read_records(spark, paths, FILE_ENCODING)
+        options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in _scan_options().items() if k not in ("header", "encoding", "columnPruning")}
+        ddl = ", ".join(f"{quoted(c)} string" for c in [*columns, _BAD])
+        raw = records.select("path", F.from_csv("record", ddl, options).alias("r")).select("path", "r.*")
+        stamp = F.substring(F.substring_index("path", "/", -1), 1, STAMP_LENGTH)
+    else:
+        raw, stamp = spark.read.schema(_scan_schema(columns)).options(**_scan_options()).csv(paths), file_stamp()
+    return _as_text(raw, columns, long_rows, [stamp.alias(stamp_column)] if stamp_column else [], quality)
 
 
 def stream_files(spark: SparkSession, folder: str) -> DataFrame:
