@@ -13,7 +13,7 @@ from tidemark.sinks.tables import append_master, create_table, export_tsv, publi
 from tidemark.sources.files import partition_values, recover_folder
 from tidemark.sources.manifest import stored_values
 from tidemark.sources.ledger import read_ledger, read_ledger_document, write_ledger
-from tidemark.sources.snapshots import header_of, headers_of, list_snapshots, read_snapshot
+from tidemark.sources.snapshots import header_catalogue, header_of, headers_of, list_snapshots, read_snapshot
 from tidemark.sources.tables import columns_of, date_columns_of, dim_ethnicity, dim_race, dim_status, import_csv, import_tsv, read_table
 
 
@@ -94,8 +94,17 @@ def test_quoted_line_breaks_are_found_by_many_tasks(spark, tmp_path):
 
 
 def test_headers_of_many_files(spark, tmp_path):
-    paths = [snapshot(tmp_path, f"a{n % 3}\tb\n1\t2\n".encode(), f"{n}.txt") for n in range(60)]
-    assert headers_of(spark, paths) == {p: (f"a{n % 3}", "b") for n, p in enumerate(paths)}
+    import gzip
+
+    paths = [snapshot(tmp_path, f"a{n % 3}\tb\r\n1\t2\n".encode(), f"{n}.txt") for n in range(998)]
+    paths.append(snapshot(tmp_path, gzip.compress(b'"a0"\tb\n'), "z.txt.gz"))
+    paths.append("file:" + snapshot(tmp_path, ("x" * 200_000 + "\t\xe9").encode("latin-1"), "wide.txt"))
+    want = {p: (f"a{n % 3}", "b") for n, p in enumerate(paths[:998])} | {paths[998]: ("a0", "b"), paths[999]: ("x" * 200_000, "\xe9")}
+    assert headers_of(spark, paths) == want
+    assert headers_of(spark, paths[-60:]) == {p: want[p] for p in paths[-60:]}
+    assert header_catalogue(spark, paths).select("layout").distinct().count() == 4
+    with pytest.raises(ValueError, match="no header"):
+        headers_of(spark, [*paths, snapshot(tmp_path, b"", "empty.txt")])
 
 
 def test_windows_line_ends_and_header(spark, tmp_path):

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,8 +25,9 @@ STAMP_LENGTH = 8
 FILE_SUFFIXES = (".txt", ".txt.gz", ".csv", ".csv.gz", ".tsv", ".tsv.gz")
 #: Longer than any file's age: the stream reads old files too.
 _NO_AGE_LIMIT = "36500d"
-#: Files whose first lines are read at the same time.
-_OPEN_FILES = 32
+#: Files whose first lines the driver reads at the same time; more than so many are read by a job, in tasks of so many.
+_OPEN_FILES, _MANY_FILES, _FILES_PER_TASK = 32, 200, 100
+_FIRST_BYTES = 1 << 16
 
 #: Columns that tell what was wrong with a row.
 LONG_ROW, SHORT_ROW, BROKEN_QUOTES = "_long_row", "_short_row", "_broken_quotes"
@@ -79,11 +83,44 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     line = first_line(spark, files[0] if files else path, FILE_ENCODING)
     if line is None:
         raise ValueError(f"no header line in {path}")
+    return _columns_in(line)
+
+
+def _columns_in(line: str) -> list[str]:
     return [field.strip().strip('"') for field in line.split(DELIMITER)]
 
 
+def header_catalogue(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, columns, layout) of each file, first lines read by tasks; files of one layout have the same digest.
+
+    For stores that pyarrow opens (local, HDFS, S3, GCS); a file without a line has no columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, columns = batch.column(0).to_pylist(), []
+            for name in names:
+                store, path = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", name) if ":" in name.partition("/")[0] else f"file://{name}")
+                with store.open_input_stream(path) as source:  # unpacks by the name's ending
+                    line = b""
+                    while b"\n" not in line and (more := source.read(_FIRST_BYTES)):
+                        line += more
+                line = line.partition(b"\n")[0].rstrip(b"\r").decode(FILE_ENCODING)
+                columns.append(_columns_in(line) if line else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(columns, pa.list_(pa.string()))], ["path", "columns"])
+
+    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(len(paths) // _FILES_PER_TASK + 1)
+    found = files.mapInArrow(run, "path string, columns array<string>")
+    return found.withColumn("layout", F.md5(F.array_join("columns", DELIMITER)))
+
+
 def headers_of(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
-    """Column names of each file. Only first lines are read, of many files at a time."""
+    """Column names of each file: by one job where there are many, else by the driver, several at a time."""
+    if len(paths) > _MANY_FILES and all(re.match(r"(/|file:|hdfs:|s3:|gs:)", p) for p in paths):
+        found = {r["path"]: r["columns"] for r in header_catalogue(spark, paths).collect()}  # one row a file
+        empty = [p for p in paths if not found[p]]
+        if empty:
+            raise ValueError(f"no header line in {empty[0]}")
+        return {p: tuple(found[p]) for p in paths}
     with ThreadPoolExecutor(_OPEN_FILES) as pool:
         return dict(zip(paths, pool.map(lambda path: tuple(header_of(spark, path)), paths), strict=True))
 
