@@ -254,6 +254,31 @@ def tree_pairs(size: np.ndarray, group: np.ndarray, bits: np.ndarray, side: np.n
     return np.stack([order[x[ok]], order[y[ok]]], 1)
 
 
+def leaf_pairs(
+    begin: np.ndarray, end: np.ndarray, size: np.ndarray, group: np.ndarray, bits: np.ndarray, side: np.ndarray, threshold: float,
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (row, row) that may link in many small shards [begin, end) at once: each is a tree of one leaf."""
+    count = end - begin
+    need, weight = threshold / (1 + threshold), count * (count - 1) // 2
+    if not weight.sum():
+        return
+    stops = np.searchsorted(np.cumsum(weight), np.arange(200_000, int(weight.sum()) + 200_000, 200_000), side="left") + 1
+    excess = size - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+    for a, b in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True):
+        first, m = begin[a:b], count[a:b]
+        if not len(first):
+            continue
+        row = np.repeat(first, m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+        after = np.repeat(first + m, m) - row - 1  # rows of the shard behind each row
+        u = np.repeat(row, after)
+        v = u + 1 + np.arange(after.sum()) - np.repeat(np.cumsum(after) - after, after)
+        ok = (size[u] >= threshold * size[v] - 1e-9) & (size[v] >= threshold * size[u] - 1e-9) & (group[u] != group[v]) & ~((side[u] == 1) & (side[v] == 1))
+        u, v = u[ok], v[ok]
+        overlap = np.bitwise_count(bits[u] & bits[v]).sum(axis=1, dtype=np.int64) + np.minimum(excess[u], excess[v])
+        ok = overlap >= need * (size[u] + size[v]) - 1e-9
+        yield u[ok], v[ok]
+
+
 def candidate_pairs(members: DataFrame, threshold: float) -> DataFrame:
     """Distinct pairs (a, b) of ids that may link, from rows (shingle, id, n, grp, bits): those that the trees of enough
     shingles let through.
@@ -275,38 +300,53 @@ def candidate_pairs(members: DataFrame, threshold: float) -> DataFrame:
     kind = dict(members.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple, int] = {}
-        sizes: dict[tuple, int] = {}
+        found: list[tuple[np.ndarray, ...]] = []
+        held = 0
         rest: pa.Table | None = None
 
         def emit() -> pa.RecordBatch:
-            pairs = sorted(found)
-            out = [[p[0] for p in pairs], [p[1] for p in pairs], [found[p] for p in pairs], [shared_least(sizes[p]) for p in pairs]]
-            found.clear()
-            sizes.clear()
+            a, b, n, c = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(4))
+            order = np.lexsort((b, a))
+            a, b, n, c = a[order], b[order], n[order], c[order]
+            first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, np.int64)
+            out = [a[first], b[first], np.add.reduceat(c, first) if len(first) else c, shared_least(n[first])]
+            found[:] = [(out[0], out[1], n[first], out[2])] if len(first) else []
             return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["a", "b", "c", "k"])
 
-        def work(t: pa.Table) -> None:
+        def keep(ids: np.ndarray, n: np.ndarray, u: np.ndarray, v: np.ndarray) -> int:
+            different = ids[u] != ids[v]
+            u, v = u[different], v[different]
+            if len(u):
+                found.append((np.minimum(ids[u], ids[v]), np.maximum(ids[u], ids[v]), np.minimum(n[u], n[v]).astype(np.int64), np.ones(len(u), np.int64)))
+            return len(u)
+
+        def work(t: pa.Table) -> int:
+            if not len(t):
+                return 0
             shard, ids = t.column(0).to_numpy(), t.column(1).to_numpy()
             n, grp, side = t.column(2).to_numpy(), t.column(3).to_numpy(), t.column(5).to_numpy()
             bits = np.frombuffer(b"".join(t.column(4).to_pylist()), np.uint64).reshape(len(t), BITS // 64)
             edges = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
-            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                for x, y in tree_pairs(n[a:b], grp[a:b], bits[a:b], side[a:b], threshold).tolist():
-                    u, v = int(ids[a + x]), int(ids[a + y])
-                    if u != v:
-                        pair = (min(u, v), max(u, v))
-                        found[pair] = found.get(pair, 0) + 1
-                        sizes[pair] = int(min(n[a + x], n[a + y]))
+            small = np.diff(edges) <= LEAF
+            total = sum(keep(ids, n, u, v) for u, v in leaf_pairs(edges[:-1][small], edges[1:][small], n, grp, bits, side, threshold))
+            for a, b in zip(edges[:-1][~small].tolist(), edges[1:][~small].tolist(), strict=True):
+                pairs = tree_pairs(n[a:b], grp[a:b], bits[a:b], side[a:b], threshold) + a
+                total += keep(ids, n, pairs[:, 0], pairs[:, 1])
+            return total
 
         for batch in batches:
             whole = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
             shard = whole.column(0).to_numpy()
             last = int(np.searchsorted(np.cumsum(np.concatenate([[0], shard[1:] != shard[:-1]])), (shard[1:] != shard[:-1]).sum())) if len(shard) else 0
-            work(whole.slice(0, last))
+            held += work(whole.slice(0, last))
             rest = whole.slice(last)
-            if len(found) > 200_000:
-                yield emit()
+            if held > 2_000_000:
+                emit()  # adds up what is held
+                held = sum(len(f[0]) for f in found)
+                if held > 500_000:
+                    yield emit()
+                    found.clear()
+                    held = 0
         if rest is not None:
             work(rest)
         yield emit()
