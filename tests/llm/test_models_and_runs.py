@@ -55,17 +55,17 @@ class PlainModel:
             groups = collections.defaultdict(list)
             for gram, c in counts[k].items():
                 groups[gram[:-1]].append(c)
-            self.contexts.append(groups)
+            steps = (0, *self.steps[k])
+            self.contexts.append({g: (sum(own), sum(steps[min(x, 3)] for x in own)) for g, own in groups.items()})
 
     def probability(self, gram):
         if not gram:
             return 1 / (len(self.raw) + 1)
         k, lower = len(gram), self.probability(gram[1:])
-        seen, steps = self.contexts[k].get(gram[:-1], []), (0, *self.steps[k])
-        if not seen:
+        if gram[:-1] not in self.contexts[k]:
             return lower
-        c = self.counts[k].get(gram, 0)
-        return (c - steps[min(c, 3)] + sum(steps[min(x, 3)] for x in seen) * lower) / sum(seen)
+        (total, taken), c = self.contexts[k][gram[:-1]], self.counts[k].get(gram, 0)
+        return (c - (0, *self.steps[k])[min(c, 3)] + taken * lower) / total
 
     def score(self, text):
         words = tokens_of(text)

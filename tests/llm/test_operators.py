@@ -340,6 +340,53 @@ def test_split_anchors_are_merged(spark, monkeypatch):
     assert got == want and all(len(s) == 1 and s[0]["end"] - s[0]["begin"] >= 260 for _, s in got)
 
 
+def test_small_shards_together_give_the_pairs_of_their_trees():
+    rng = np.random.default_rng(12)
+    m = 900
+    size, group, side = rng.integers(20, 60, m), rng.integers(0, 5, m), rng.integers(0, 2, m)
+    bits = np.zeros((m, jaccard_join.BITS // 64), np.uint64)
+    base = rng.integers(0, jaccard_join.BITS, 60)
+    for i in range(m):
+        for x in np.unique(np.where(rng.random(size[i]) < 0.1, rng.integers(0, jaccard_join.BITS, size[i]), base[: size[i]])):
+            bits[i, x // 64] |= np.uint64(1) << np.uint64(x % 64)
+    edges = np.concatenate([[0], np.cumsum(rng.integers(1, 33, 100))])
+    edges = np.append(edges[edges < m], m)
+    want = set()
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        want |= {tuple(sorted((int(a + x), int(a + y)))) for x, y in jaccard_join.tree_pairs(size[a:b], group[a:b], bits[a:b], side[a:b], 0.75)}
+    got = [(int(x), int(y)) for u, v in jaccard_join.leaf_pairs(edges[:-1], edges[1:], size, group, bits, side, 0.75) for x, y in zip(u, v, strict=True)]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
+    none, alone = np.zeros(0, np.int64), np.arange(m)
+    for begin, end in ((none, none), (alone, alone + 1)):
+        assert not list(jaccard_join.leaf_pairs(begin, end, size, group, bits, side, 0.75))
+
+
+def test_runs_are_merged_by_search():
+    rng = np.random.default_rng(8)
+    runs = [np.sort(rng.integers(0, 400, n).astype(np.uint64)) for n in (0, 50, 1, 90, 200)]
+    counts = collections.Counter(v for r in runs for v in r.tolist())
+    assert suffix_dedup.merged_repeats(runs).tolist() == sorted(v for v, n in counts.items() if n > 1)
+    assert suffix_dedup.merged_repeats([]).tolist() == []
+    hashes = [(0, runs[3]), (2, runs[4])]
+    seen = collections.defaultdict(list)
+    for part, blob in suffix_dedup._packed_runs(hashes, [(7, 8), (0, 0), (-9, 10)], 3):
+        digest, anchor, whole, which, place = suffix_dedup._unpacked_run(blob)
+        assert (np.diff(digest.astype(object)) >= 0).all()
+        for d, w, p in zip(digest.tolist(), which.tolist(), place.tolist(), strict=True):
+            seen[int(anchor[w]), int(whole[w])].append((p, d))
+    assert {k: [d for _, d in sorted(v)] for k, v in seen.items()} == {(7, 8): runs[3].tolist(), (-9, 10): runs[4].tolist()}
+
+
+def test_long_text_among_short_ones_keeps_its_anchors(spark):
+    """A repeated stretch in a text of many pieces and in a short one."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(9))
+    shared = " ".join(word() for _ in range(40))
+    long = " ".join(word() for _ in range(60_000)) + shared + " ".join(word() for _ in range(60_000))
+    rows = suffix_dedup.remove_repeats(make_docs(spark, [long, shared])).orderBy("doc_id").collect()
+    assert [[s["end"] - s["begin"] for s in r["spans"]] for r in rows] == [[len(shared)]] * 2
+
+
 def test_suffix_order():
     data = np.frombuffer(("banana" * 60 + "bandana" * 40).encode(), np.uint8)
     starts = np.arange(len(data) - 200)

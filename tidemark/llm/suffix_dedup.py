@@ -4,9 +4,9 @@ A string of LENGTH bytes belongs to its anchor: the smallest hash among its GRAM
 equal anchors at equal places, so the strings of all texts are dealt to shards by anchor hash, as segments: the strings of
 a text that share an anchor are one stretch of bytes. Equal segments are counted, not repeated. Shards
 of different segments with one anchor build a suffix array by prefix doubling (Larsson and Sadakane:
-only unsorted groups are refined, here up to LENGTH bytes) and compare neighbours' common prefixes. An anchor with more segments than a
-shard holds is spread over several; each sends what it has seen once as a sorted run, and runs are merged by
-binary search."""
+only unsorted groups are refined, here up to LENGTH bytes) and compare the bytes of neighbours as far as they agree. An anchor with
+more segments than a shard holds is spread over several; each sends the hashes of its strings as sorted runs, packed by range of
+values, and the runs of a range are merged by binary search. Equality across shards is that of 64-bit hashes."""
 
 from __future__ import annotations
 
@@ -23,8 +23,12 @@ from tidemark.llm.kernels import _powers, _values, mix, text_bytes
 LENGTH, GRAM = 200, 32
 #: Bytes hashed at a time; a text longer than this is cut into overlapping pieces.
 PIECE = 1 << 21
+#: Low bits of a hash that give way to a place in a piece.
+ANCHOR_BITS = 22
 #: Segments of one anchor that a shard holds; bytes of a suffix array.
 SHARD_SEGMENTS, SHARD_BYTES = 4096, 4_000_000
+#: Hashes that one merge holds, about.
+MERGED = 1_000_000
 
 
 def segments(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
@@ -38,7 +42,7 @@ def segments(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[
     grams = mix((run[gram:] - run[:-gram]) * down[: len(data) - gram + 1])
     width = length - gram + 1
     # smallest (hash, place) of every `width` pieces: minima to the left and right within blocks of that width
-    bits = np.uint64(max(1, int(len(grams)).bit_length()))
+    bits = np.uint64(ANCHOR_BITS)  # the same for all texts, so that equal strings compare the same hashes
     keyed = (grams >> bits) << bits | np.arange(len(grams), dtype=np.uint64)
     blocks = -(-len(grams) // width)
     padded = np.full(blocks * width, np.iinfo(np.uint64).max, np.uint64)
@@ -121,9 +125,8 @@ def prefix_ranks(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.
 
 
 def _common(data: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
-    """Common prefix of each suffix with the one before it, up to `length`; 0 for the first.
-
-    As in Kasai et al., bytes known to be equal are not compared again: only pairs still equal go on."""
+    """Common prefix of each suffix with the one before it, up to `length`; 0 for the first. All pairs that still agree are
+    compared byte after byte together."""
     out = np.zeros(len(order), np.int64)
     live = np.arange(1, len(order))
     for at in range(length):
@@ -175,44 +178,44 @@ def repeated_spans(docs: DataFrame, key: str, text: str, length: int) -> DataFra
     shard = F.xxhash64("anchor", F.pmod(F.col("whole"), split))
     raw = raw.withColumn("shard", shard).withColumn("split", split > 1).select("shard", "split", "anchor", "whole", "n", "count", "bytes").repartition("shard").sortWithinPartitions("shard")
 
+    ranges = 1 + int((mixed.where(F.col("kinds") > SHARD_SEGMENTS).agg(F.sum("one.count")).first()[0] or 0) // MERGED)
+    spans_type = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["anchor", "whole", "ranges", "place", "digest"]
         held: list[tuple] = []
         size, last = 0, None
 
-        def send() -> pa.RecordBatch:
-            out: list[list] = [[], [], [], [], []]
-            for (anchor, whole, hit, data), row in zip(_shard_repeats([(r[2], r[3], r[5], r[6]) for r in held], length), held, strict=True):
-                single = row[4] == 1
-                if single and hit.any():
-                    for column, value in zip(out, (anchor, whole, [{"a": a, "b": b} for a, b in _spans(hit, length)], None, None), strict=True):
-                        column.append(value)
-                if row[1]:  # other shards hold segments of this anchor: what is seen once here goes on, and one of what is repeated
-                    up, down = _powers(2 * PIECE)
-                    run = np.zeros(len(data) + 1, np.uint64)
-                    np.cumsum(_values[data] * up[: len(data)], out=run[1:])
-                    digest = mix((run[length:] - run[:-length]) * down[: len(data) - length + 1])
-                    for p, d in enumerate(digest[: row[5]].view(np.int64).tolist()):
-                        for column, value in zip(out, (anchor, whole, None, p, d), strict=True):
-                            column.append(value)
+        def send() -> Iterator[pa.RecordBatch]:
+            inner: list[tuple] = []
+            runs: list[tuple[int, np.ndarray]] = []
+            for k, ((anchor, whole, hit, data), row) in enumerate(zip(_shard_repeats([(r[2], r[3], r[5], r[6]) for r in held], length), held, strict=True)):
+                if row[4] == 1 and hit.any():
+                    inner.append((anchor, whole, [{"a": a, "b": b} for a, b in _spans(hit, length)]))
+                if row[1]:  # other shards hold segments of this anchor
+                    runs.append((k, _string_hashes(data, row[5], length)))
+            columns = [pa.array([r[k] for r in inner], t) for k, t in enumerate((pa.int64(), pa.int64(), spans_type))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(inner), pa.int32()), pa.nulls(len(inner), pa.binary())], names)
+            if runs:
+                blobs = list(_packed_runs(runs, [(r[2], r[3]) for r in held], ranges))
+                blank = [pa.nulls(len(blobs), t) for t in (pa.int64(), pa.int64(), spans_type)]
+                yield pa.RecordBatch.from_arrays([*blank, pa.array([k for k, _ in blobs], pa.int32()), pa.array([b for _, b in blobs], pa.binary())], names)
             held.clear()
-            types = [pa.int64(), pa.int64(), pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])), pa.int32(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types, strict=True)], names)
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if held and row[0] != last and size >= SHARD_BYTES:
-                    yield send()
+                    yield from send()
                     size = 0
                 held.append(row)
                 size += len(row[6])
                 last = row[0]
         if held:
-            yield send()
+            yield from send()
 
-    built = materialize(raw.mapInArrow(build, "anchor bigint, whole bigint, ranges array<struct<a:int,b:int>>, place int, digest bigint"), "built")
-    inner = built.where("ranges is not null").select("anchor", "whole", "ranges")
-    outer = _merge_runs(built.where("digest is not null").select("anchor", "whole", "place", "digest"), length)
+    names = ["anchor", "whole", "ranges", "part", "run"]
+    built = materialize(raw.mapInArrow(build, "anchor bigint, whole bigint, ranges array<struct<a:int,b:int>>, part int, run binary"), "built")
+    inner = built.where("run is null").select("anchor", "whole", "ranges")
+    outer = _merge_runs(built.where("run is not null").select("part", "run"), length)
     parts = alike.unionByName(inner).unionByName(outer)
     parts = parts.groupBy("anchor", "whole").agg(F.max(F.col("ranges").isNull()).alias("all"), F.flatten(F.collect_list("ranges")).alias("ranges"))
     hit = found.join(parts, ["anchor", "whole"])
@@ -221,15 +224,84 @@ def repeated_spans(docs: DataFrame, key: str, text: str, length: int) -> DataFra
     return hit.select("doc", F.when(F.col("all"), full).otherwise(some).alias("s")).groupBy("doc").agg(F.flatten(F.collect_list("s")).alias("spans"))
 
 
-def _merge_runs(digests: DataFrame, length: int) -> DataFrame:
-    """(anchor, whole, ranges) of strings that occur in several shards, from (anchor, whole, place, digest).
-
-    Digests are dealt by value, so a string's digests meet whatever their anchor's size; a digest counts once
-    a task before it travels. Runs are merged one after the other by binary search."""
-    counted = digests.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-    twice = digests.join(counted, "digest")
-    each = twice.groupBy("anchor", "whole").agg(F.collect_set("place").alias("places"))
-    return each.select("anchor", "whole", F.transform("places", lambda p: F.struct(p.alias("a"), (p + length).cast("int").alias("b"))).alias("ranges"))
+def _string_hashes(data: np.ndarray, count: int, length: int) -> np.ndarray:
+    """Hashes of the strings at the first `count` places."""
+    up, down = _powers(max(2 * PIECE, 1 << int(len(data)).bit_length()))
+    run = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_values[data] * up[: len(data)], out=run[1:])
+    return mix((run[length:] - run[:-length]) * down[: len(data) - length + 1])[:count]
+
+
+def _packed_runs(runs: list[tuple[int, np.ndarray]], segments: list[tuple[int, int]], ranges: int) -> Iterator[tuple[int, bytes]]:
+    """(range, packed run) of hashes by segment: sorted hashes, and the segment and place of each."""
+    digest = np.concatenate([d for _, d in runs])
+    owner = np.repeat([k for k, _ in runs], [len(d) for _, d in runs])
+    place = np.concatenate([np.arange(len(d)) for _, d in runs])
+    order = np.argsort(digest, kind="stable")
+    digest, owner, place = digest[order], owner[order], place[order]
+    names = np.array(segments, np.int64)
+    cut = np.searchsorted(((digest >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64), np.arange(ranges + 1))
+    for k in np.flatnonzero(np.diff(cut)).tolist():
+        own = slice(cut[k], cut[k + 1])
+        used, which = np.unique(owner[own], return_inverse=True)
+        head = np.array([len(digest[own]), len(used)], np.int64)
+        columns = [head, digest[own], names[used, 0], names[used, 1], which.astype(np.int32), place[own].astype(np.int32)]
+        yield k, b"".join(np.ascontiguousarray(c).tobytes() for c in columns)
+
+
+def _unpacked_run(blob: bytes) -> tuple[np.ndarray, ...]:
+    """(hashes, anchors, wholes, segment of each hash, place of each hash)."""
+    n, m = np.frombuffer(blob, np.int64, 2).tolist()
+    sizes = [(np.uint64, n), (np.int64, m), (np.int64, m), (np.int32, n), (np.int32, n)]
+    at, out = 16, []
+    for kind, size in sizes:
+        out.append(np.frombuffer(blob, kind, size, at))
+        at += size * np.dtype(kind).itemsize
+    return tuple(out)
+
+
+def merged_repeats(runs: list[np.ndarray]) -> np.ndarray:
+    """Values that occur twice or more in sorted runs: each run is searched for in the merged ones and then put in its places."""
+    merged, twice = np.zeros(0, np.uint64), [np.zeros(0, np.uint64)]
+    for run in runs:
+        fresh = np.concatenate([[True], run[1:] != run[:-1]]) if len(run) else np.zeros(0, bool)
+        twice.append(run[~fresh])
+        own = run[fresh]
+        at = np.searchsorted(merged, own)
+        known = np.zeros(len(own), bool)
+        inside = at < len(merged)
+        known[inside] = merged[at[inside]] == own[inside]
+        twice.append(own[known])
+        merged = np.insert(merged, at[~known], own[~known])
+    return np.unique(np.concatenate(twice))
+
+
+def _merge_runs(runs: DataFrame, length: int) -> DataFrame:
+    """(anchor, whole, ranges) of strings that occur in several shards, from packed runs (part, run).
+
+    Runs are dealt by range of hashes, so a string's hashes meet whatever their anchor's size."""
+    kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+
+    def merge(table: pa.Table) -> pa.Table:
+        own = [_unpacked_run(b) for b in table["run"].to_pylist()]
+        twice = merged_repeats([r[0] for r in own])
+        anchors, wholes, found = [], [], []
+        for digest, anchor, whole, which, place in own:
+            at = np.minimum(np.searchsorted(twice, digest), max(len(twice) - 1, 0))
+            hit = twice[at] == digest if len(twice) else np.zeros(len(digest), bool)
+            order = np.lexsort((place[hit], which[hit]))
+            segment, start = which[hit][order], place[hit][order]
+            cut = np.searchsorted(segment, np.arange(len(anchor) + 1))
+            for k in np.flatnonzero(np.diff(cut)).tolist():
+                places = start[cut[k] : cut[k + 1]]
+                edge = np.flatnonzero(np.diff(places) > 1)  # neighbouring places are one range
+                first, last = places[np.concatenate([[0], edge + 1])], places[np.concatenate([edge, [len(places) - 1]])]
+                anchors.append(int(anchor[k]))
+                wholes.append(int(whole[k]))
+                found.append([{"a": int(a), "b": int(b) + length} for a, b in zip(first, last, strict=True)])
+        return pa.table([pa.array(anchors, pa.int64()), pa.array(wholes, pa.int64()), pa.array(found, kind)], names=["anchor", "whole", "ranges"])
+
+    return runs.groupBy("part").applyInArrow(merge, "anchor bigint, whole bigint, ranges array<struct<a:int,b:int>>")
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
