@@ -306,6 +306,53 @@ def test_label_model_finds_the_poor_rule(spark):
     assert (empty.prior, empty.accuracy) == (0.8, {"vote_a": 0.9})
 
 
+def test_quality_verdicts_come_from_the_votes(spark):
+    got = {r["doc_id"]: r for r in queries.op8_quality_rules(spark, "/root/testdata/sf0.01").collect()}
+    quality = dict(duckdb.sql("SELECT doc_id, quality FROM '/root/testdata/sf0.01/labels.parquet'").fetchall())
+    fine = [r for d, r in got.items() if quality.get(d) == 1 and not r["base_failed"]]
+    poor = [r for d, r in got.items() if quality.get(d) == 0]
+    assert sum(r["kept"] for r in fine) >= 0.99 * len(fine) and not any(r["kept"] for r in poor)
+    assert sum(not r["base_failed"] and not r["kept"] for r in poor) > 10  # rejected by the model alone
+
+
+def test_posterior_is_that_of_plain_em(spark):
+    names = [f"vote_{n}" for n in quality_rules.rules()]
+    voted = quality_rules.judge_votes(quality_rules.quality_votes(spark.read.parquet(f"{SF}/documents.parquet"))).collect()
+    rows = [tuple(r[n] for n in names) for r in voted]
+    start = {-1: (0.3, 0.03), 0: (0.2, 0.17), 1: (0.5, 0.8)}
+    prior, rate = 0.8, [{v: list(p) for v, p in start.items()} for _ in names]
+
+    def good(row):
+        bad, fine = 1 - prior, prior
+        for v, r in zip(row, rate, strict=True):
+            bad, fine = bad * r[v][0], fine * r[v][1]
+        return fine / (bad + fine)
+
+    for _ in range(100):
+        chance = [good(row) for row in rows]
+        mass = (len(rows) - sum(chance), sum(chance))
+        for i in range(len(names)):
+            for v, p in start.items():
+                cast = [0.0, 0.0]
+                for row, c in zip(rows, chance, strict=True):
+                    if row[i] == v:
+                        cast[0] += 1 - c
+                        cast[1] += c
+                rate[i][v] = [max(0.01, (10 * p[k] + cast[k]) / (10 + mass[k])) for k in (0, 1)]
+        prior = min(0.95, max(0.05, (mass[1] + 1) / (len(rows) + 2)))
+    for r, row in zip(voted, rows, strict=True):
+        assert abs(r["quality_probability"] - good(row)) < 1e-9
+        assert r["kept"] == (not r["base_failed"] and good(row) >= 0.5)
+
+
+def test_quality_keeps_columns_of_any_name(spark, edge_docs):
+    clash = edge_docs.withColumns({n: F.lit(n) for n in ("_w", "_t", "_l", "_b", "__k", "_D")})
+    plain = {r["doc_id"]: r for r in quality_rules.judge_quality(edge_docs).collect()}
+    for r in quality_rules.judge_quality(clash).collect():
+        assert all(r[n] == n for n in ("_w", "_t", "_l", "_b", "__k", "_D"))
+        assert r.asDict().items() >= plain[r["doc_id"]].asDict().items()
+
+
 # 9
 def test_repeats(spark, edge_docs):
     def slow(texts):

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import materialize
 from tidemark.llm.text_stats import add_text_stats
 
-STATS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_bangs", "n_ended_lines")
+STATS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_lower", "n_bangs", "n_ended_lines")
+#: A rule is never trusted beyond one vote in this many that goes the wrong way, so no single vote decides alone at any size.
+SUREST = 100
 
 
-def _share(part: str, whole: Column) -> Column:
-    return F.col(part) / F.greatest(whole, F.lit(1))
+def _share(part: Column, whole: Column) -> Column:
+    return part / F.greatest(whole, F.lit(1))
 
 
 def _vote(bad: Column, good: Column) -> Column:
@@ -24,66 +26,77 @@ def _vote(bad: Column, good: Column) -> Column:
 
 
 def rules() -> dict[str, Column]:
-    """The votes over the statistics, by name. Most only speak against a document; `typical` speaks for it.
-
-    At most nine, so at most 3**9 patterns exist."""
-    words = F.col("n_words")
-    symbols, repeats = _share("n_symbols", F.col("word_chars")), _share("n_repeat_words", words)
-    mean, upper, bangs = _share("word_chars", words), _share("n_upper", F.col("word_chars")), _share("n_bangs", words)
-    copies, ended = _share("n_dup_lines", F.col("n_lines")), _share("n_ended_lines", F.col("n_lines"))
-    typical = (symbols < 0.03) & (repeats < 0.3) & mean.between(2.5, 12) & (upper < 0.3) & (bangs < 0.1)
-    never = F.lit(False)
+    """The votes over the statistics, by name. Each speaks for and against a document, and abstains between its two limits.
+
+    Several look at the same fault from different sides: symbols, letters and line ends; repeats and copies of lines; capitals and
+    exclamation marks. `letters` abstains on texts mostly in scripts without case. At most nine, so at most 3**9 patterns exist."""
+    words, chars, lines = F.col("n_words"), F.col("word_chars"), F.col("n_lines")
+    cased = F.col("n_upper") + F.col("n_lower")
+    symbols, letters, upper, bangs = (_share(part, chars) for part in (F.col("n_symbols"), cased, F.col("n_upper"), F.col("n_bangs")))
+    repeats, mean = _share(F.col("n_repeat_words"), words), _share(chars, words)
+    copies, ended = _share(F.col("n_dup_lines"), lines), _share(F.col("n_ended_lines"), lines)
     return {
-        "symbols": _vote(symbols > 0.06, never),
-        "repeats": _vote(repeats > 0.4, never),
-        "word_length": _vote((mean < 2) | (mean > 15), never),
-        "upper_case": _vote(upper > 0.4, never),
-        "bangs": _vote(bangs > 0.25, never),
-        "line_copies": _vote((copies > 0.5) & (repeats > 0.3), never),
-        "line_ends": _vote((ended < 0.1) & (symbols > 0.03), never),
-        "typical": _vote(never, typical),
+        "symbols": _vote(symbols > 0.06, symbols < 0.02),
+        "letters": _vote(letters.between(0.3, 0.85), letters > 0.92),
+        "line_ends": _vote(ended < 0.3, ended > 0.9),
+        "repeats": _vote(repeats > 0.4, repeats < 0.15),
+        "line_copies": _vote((copies > 0.5) & (lines > 2), copies < 0.1),
+        "upper_case": _vote(upper > 0.3, upper < 0.1),
+        "bangs": _vote(bangs > 0.1, bangs < 0.03),
+        "word_length": _vote((mean < 2) | (mean > 15), mean.between(2.5, 12)),
     }
 
 
 @dataclass(frozen=True)
 class LabelModel:
-    """Prior of a good document, and how often each rule is right where it does not abstain."""
+    """Prior of a good document; of each rule, how often it votes -1, 0 and 1 on bad and on good documents, and how often a vote is right."""
 
     prior: float
     accuracy: dict[str, float]
+    rates: dict[str, tuple[tuple[float, float, float], tuple[float, float, float]]]
 
     def log_odds(self, vote: dict[str, Column]) -> Column:
         odds = F.lit(math.log(self.prior / (1 - self.prior)))
         for name, column in vote.items():
-            odds = odds + column * math.log(self.accuracy[name] / (1 - self.accuracy[name]))
+            against, silent, favour = (math.log(good / bad) for bad, good in zip(*self.rates[name], strict=True))
+            odds = odds + F.when(column < 0, against).when(column > 0, favour).otherwise(silent)
         return odds
 
 
-def fit_label_model(votes: DataFrame, names: list[str], prior: float = 0.8, accuracy: float = 0.9, rounds: int = 50) -> LabelModel:
+def fit_label_model(votes: DataFrame, names: list[str], prior: float = 0.8, accuracy: float = 0.9, rounds: int = 100) -> LabelModel:
     """Expectation-maximisation over the counts of vote patterns of all rows.
 
-    The patterns are a sufficient statistic of at most 3**len(names) rows. Rules count as independent
-    given the class, and abstaining tells nothing. Accuracies start as given, have a prior of 9 right and
-    1 wrong votes, and stay within 0.6 and 0.999, so the classes cannot change places. No rows: the start values."""
+    The patterns are a sufficient statistic of at most 3**len(names) rows. Given the class rules count as independent, and
+    each has rates of its own for voting against, abstaining and voting in favour, so silence counts as well. The start says what rules are
+    for: they seldom speak against a good document (0.03) and often miss a bad one (0.3 against, 0.5 in favour); so the classes
+    are "faults found" and "no faults". The start counts as ten rows of each class; `accuracy` as ten votes of each rule. Rates stay above
+    1 / SUREST, the prior within 0.05 and 0.95. No rows: the start values."""
     if len(names) > 9:
         raise ValueError("more than nine rules: the table of patterns is no longer small")
     patterns = sorted((tuple(r[n] for n in names), r["count"]) for r in votes.groupBy(*names).count().collect())
-    right = [accuracy] * len(names)
+    start = ((0.3, 0.2, 0.5), (0.03, 0.17, 0.8))
+    rates, right = [start] * len(names), [accuracy] * len(names)
     total = sum(c for _, c in patterns)
     for _ in range(rounds if total else 0):
-        weight = [math.log(a / (1 - a)) for a in right]
-        hits, cast, mass = [9.0] * len(names), [10.0] * len(names), 0.0
+        mass = [0.0, 0.0]
+        seen = [[[10 * p for p in side] for side in start] for _ in names]
+        hits, cast = [10 * accuracy] * len(names), [10.0] * len(names)
         for pattern, count in patterns:
-            odds = math.log(prior / (1 - prior)) + sum(v * w for v, w in zip(pattern, weight, strict=True))
+            odds = math.log(prior / (1 - prior)) + sum(math.log(r[1][v + 1] / r[0][v + 1]) for v, r in zip(pattern, rates, strict=True))
             good = 1 / (1 + math.exp(-odds))
-            mass += good * count
+            part = (count * (1 - good), count * good)
+            for k in (0, 1):
+                mass[k] += part[k]
+                for i, v in enumerate(pattern):
+                    seen[i][k][v + 1] += part[k]
             for i, v in enumerate(pattern):
                 if v:
                     cast[i] += count
-                    hits[i] += count * (good if v > 0 else 1 - good)
-        prior = min(0.95, max(0.05, (mass + 1) / (total + 2)))
-        right = [min(0.999, max(0.6, h / c)) for h, c in zip(hits, cast, strict=True)]
-    return LabelModel(prior, dict(zip(names, right, strict=True)))
+                    hits[i] += part[v > 0]
+        prior = min(0.95, max(0.05, (mass[1] + 1) / (total + 2)))
+        rates = [tuple(tuple(max(1 / SUREST, n / (10 + m)) for n in side) for side, m in zip(rule, mass, strict=True)) for rule in seen]
+        right = [h / c for h, c in zip(hits, cast, strict=True)]
+    return LabelModel(prior, dict(zip(names, right, strict=True)), dict(zip(names, rates, strict=True)))
 
 
 def quality_votes(docs: DataFrame, text: str = "text") -> DataFrame:
