@@ -234,6 +234,13 @@ def test_rule_ensemble(spark, edge_docs):
     labels = spark.createDataFrame([(4, 1), (7, 1), (99, 0)], "doc_id long, quality int")
     model = rule_ensemble.learn(edge_docs, labels)
     assert model.rules == () and {round(r["score"], 3) for r in rule_ensemble.score(edge_docs, model).collect()} == {0.75}
+    clash = edge_docs.withColumns({n: F.lit(n) for n in ("n_words", "_w", "row", "_f_n_words", "score")})
+    for r in rule_ensemble.score(clash, model).collect():
+        assert all(r[n] == n for n in ("n_words", "_w", "row", "_f_n_words")) and round(r["score"], 3) == 0.75
+    assert rule_ensemble.score(clash.where("false"), model).columns == [*clash.drop("score").columns, "score"]
+    assert rule_ensemble.score(clash.where("false"), model).count() == 0
+    none = rule_ensemble.learn(edge_docs.where("false"), labels)
+    assert none.rules == () and {r["score"] for r in rule_ensemble.score(edge_docs, none).collect()} == {0.5}
     text = "  Tree 0 (weight 1.0):\n    If (feature 0 <= 0.5)\n     If (feature 1 <= 2.0)\n      Predict: 0.0\n     Else (feature 1 > 2.0)\n      Predict: 1.0\n    Else (feature 0 > 0.5)\n     Predict: 1.0"
     assert [r.terms for r in rule_ensemble.tree_rules(text, ["a", "b"])] == [
         (("a", True, 0.5),), (("a", True, 0.5), ("b", True, 2.0)), (("a", True, 0.5), ("b", False, 2.0)), (("a", False, 0.5),)]

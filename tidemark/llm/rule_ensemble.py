@@ -21,8 +21,6 @@ from tidemark.llm.text_stats import add_text_stats
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_distinct_words", "n_upper", "n_bangs", "n_digits", "n_ended_lines", "n_repeat_words")
 #: Labelled rows of each class that the trees and weights are fitted on, about.
 SAMPLE_ROWS = 6_000
-#: Rules kept for the regression; further ones (rarer paths) are left out.
-MAX_RULES = 200
 
 
 def features() -> dict[str, Column]:
@@ -97,7 +95,8 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
     """Fit on a bounded sample: about SAMPLE_ROWS labelled documents of each class, chosen by a hash of their key.
 
     Both classes weigh by their share among the labels. Without labels the model gives 0.5; with one class
-    only, the smoothed share of it."""
+    only, the smoothed share of it. A document with several labels counts once for each. The forest has at most
+    trees * (2 ** (depth + 1) - 2) different paths; all of them are rules, and the lasso chooses."""
     chosen, rate = sampled_labels(labels, label, SAMPLE_ROWS, key)
     names = list(features())
     rows = with_features(docs.select(key, F.col(text).alias("text")).join(F.broadcast(chosen), key), "text")
@@ -109,7 +108,7 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
     sample = sample.withColumn("w", F.when(F.col("y") == 1, 1 / rate[1]).otherwise(1 / rate[0]))
     ready = VectorAssembler(inputCols=[f"_f_{n}" for n in names], outputCol="x").transform(sample)
     forest = RandomForestClassifier(featuresCol="x", labelCol="y", weightCol="w", numTrees=trees, maxDepth=depth, featureSubsetStrategy="onethird", subsamplingRate=0.7, seed=7).fit(ready)
-    rules = list(dict.fromkeys(tree_rules(forest.toDebugString, names)))[:MAX_RULES]
+    rules = list(dict.fromkeys(tree_rules(forest.toDebugString, names)))
     fired = sample.select("y", "w", *[r.column().cast("double").alias(f"r{i}") for i, r in enumerate(rules)])
     fired = VectorAssembler(inputCols=[f"r{i}" for i in range(len(rules))], outputCol="x").transform(fired).select("x", "y", "w")
     lasso = LogisticRegression(featuresCol="x", labelCol="y", weightCol="w", elasticNetParam=1.0, regParam=l1, standardization=False, maxIter=60).fit(fired)
@@ -119,6 +118,7 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
 
 def score(docs: DataFrame, model: RuleModel, text: str = "text") -> DataFrame:
     """`docs` with score (0 to 1) of every whole text. Null and empty texts have all statistics 0 and get a score from them.
-    Other columns stay."""
-    scored = with_features(docs, text).withColumn("score", model.probability())
-    return scored.drop(*COUNTS, *[f"_f_{n}" for n in features()])
+    Repeated rows get equal scores; an empty table stays empty. Other columns stay, whatever their names; a column `score` is replaced."""
+    row = F.struct(*[F.col(c) for c in docs.columns if c.lower() != "score"])
+    scored = with_features(docs.select(row.alias("row"), F.col(text).alias("text")), "text")
+    return scored.withColumn("score", model.probability()).select("row.*", "score")
