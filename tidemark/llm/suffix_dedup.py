@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +27,9 @@ PIECE = 1 << 21
 #: Low bits of a hash that give way to a place in a piece.
 ANCHOR_BITS = 22
 #: Segments of one anchor that a shard holds; bytes of a suffix array.
-SHARD_SEGMENTS, SHARD_BYTES = 4096, 4_000_000
+SHARD_SEGMENTS, SHARD_BYTES = 4096, 2_000_000
 #: Hashes that one merge holds, about.
-MERGED = 1_000_000
+MERGED = 250_000
 
 
 def segments(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
@@ -280,30 +281,48 @@ def _merge_runs(runs: DataFrame, length: int) -> DataFrame:
     """(anchor, whole, ranges) of strings that occur in several shards, from packed runs (part, run).
 
     Runs are dealt by range of hashes, so a string's hashes meet whatever their anchor's size."""
-    kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
     def merge(table: pa.Table) -> pa.Table:
         own = [_unpacked_run(b) for b in table["run"].to_pylist()]
         twice = merged_repeats([r[0] for r in own])
-        anchors, wholes, found = [], [], []
+        columns: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int64),) * 5]
         for digest, anchor, whole, which, place in own:
             at = np.minimum(np.searchsorted(twice, digest), max(len(twice) - 1, 0))
-            hit = twice[at] == digest if len(twice) else np.zeros(len(digest), bool)
-            order = np.lexsort((place[hit], which[hit]))
-            segment, start = which[hit][order], place[hit][order]
-            cut = np.searchsorted(segment, np.arange(len(anchor) + 1))
-            for k in np.flatnonzero(np.diff(cut)).tolist():
-                places = start[cut[k] : cut[k + 1]]
-                edge = np.flatnonzero(np.diff(places) > 1)  # neighbouring places are one range
-                first, last = places[np.concatenate([[0], edge + 1])], places[np.concatenate([edge, [len(places) - 1]])]
-                anchors.append(int(anchor[k]))
-                wholes.append(int(whole[k]))
-                found.append([{"a": int(a), "b": int(b) + length} for a, b in zip(first, last, strict=True)])
-        return pa.table([pa.array(anchors, pa.int64()), pa.array(wholes, pa.int64()), pa.array(found, kind)], names=["anchor", "whole", "ranges"])
+            hit = np.flatnonzero(twice[at] == digest) if len(twice) else np.zeros(0, np.int64)
+            hit = hit[np.lexsort((place[hit], which[hit]))]
+            segment, start = which[hit], place[hit]
+            fresh = np.concatenate([[True], segment[1:] != segment[:-1]])[: len(hit)]
+            first = np.flatnonzero(fresh | (np.diff(start, prepend=0) > 1))  # neighbouring places are one range
+            last = np.concatenate([first[1:], [len(hit)]])[: len(first)] - 1
+            held, sizes = np.unique(segment[first], return_counts=True)
+            columns.append((anchor[held], whole[held], sizes, start[first], start[last] + length))
+        anchors, wholes, sizes, begin, end = (np.concatenate(c) for c in zip(*columns, strict=True))
+        spans = pa.StructArray.from_arrays([pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32))], ["a", "b"])
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        return pa.table([pa.array(anchors), pa.array(wholes), pa.ListArray.from_arrays(offsets, spans)], names=["anchor", "whole", "ranges"])
 
     return runs.groupBy("part").applyInArrow(merge, "anchor bigint, whole bigint, ranges array<struct<a:int,b:int>>")
 
 
+def _cut(texts: pa.Array, spans: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """(bytes, maximal removed ranges, what is left) of texts and the byte ranges, in any order, that cover what goes."""
+    data, offsets = text_bytes(texts)
+    row, flat = pc.list_parent_indices(spans).to_numpy(), pc.list_flatten(spans)
+    begin, end = (flat.field(k).to_numpy(zero_copy_only=False) + offsets[row] for k in (0, 1))
+    depth = np.bincount(begin, minlength=len(data) + 1) - np.bincount(end, minlength=len(data) + 1)
+    gone = np.cumsum(depth)[: len(data)] > 0
+    edge = np.zeros(len(data) + 1, bool)  # ranges end where a text ends
+    edge[offsets] = True
+    first = np.flatnonzero(gone & (edge[:-1] | ~np.concatenate([[False], gone[:-1]])))
+    last = np.flatnonzero(gone & (edge[1:] | ~np.concatenate([gone[1:], [False]])))
+    owner = np.searchsorted(offsets, first, side="right") - 1
+    runs = pa.StructArray.from_arrays([pa.array(first - offsets[owner]), pa.array(last + 1 - offsets[owner])], ["begin", "end"])
+    counts = np.bincount(owner, minlength=len(texts))
+    left = np.concatenate([[0], np.cumsum(~gone)])[offsets].astype(np.int32)
+    kept = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(left.tobytes()), pa.py_buffer(data[~gone].tobytes())])
+    return pa.array(np.diff(offsets)), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), runs), kept
+
+
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """(key, n_bytes, spans, kept) of every row: spans are the maximal byte ranges removed, kept is what is left (binary).
 
@@ -315,25 +334,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     both = docs.select(key, F.col(text).cast("string").alias("_t")).join(spans, key, "left").select(key, "_t", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, ranges, kept = [], [], []
-            for t, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                data = (t or "").encode()
-                sizes.append(len(data))
-                merged: list[list[int]] = []
-                for a, b in sorted((x["a"], x["b"]) for x in s or ()):
-                    if merged and a <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], b)
-                    else:
-                        merged.append([a, b])
-                at, left = 0, []
-                for a, b in merged:
-                    left.append(data[at:a])
-                    at = b
-                left.append(data[at:])
-                kept.append(b"".join(left))
-                ranges.append([{"begin": a, "end": b} for a, b in merged])
-            kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ranges, kind), pa.array(kept, pa.binary())], [key, "n_bytes", "spans", "kept"])
+        for whole in batches:
+            for begin in range(0, len(whole), 500):
+                batch = whole.slice(begin, 500)
+                yield pa.RecordBatch.from_arrays([batch.column(0), *_cut(batch.column(1), batch.column(2))], [key, "n_bytes", "spans", "kept"])
 
     return both.mapInArrow(run, f"`{key}` {dict(docs.dtypes)[key]}, n_bytes bigint, spans array<struct<begin:bigint,end:bigint>>, kept binary")
