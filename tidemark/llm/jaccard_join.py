@@ -14,6 +14,7 @@
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,8 @@ LEAF = 32
 FREQUENT = 500_000
 #: Classes of one shingle and size band that share a tree; larger groups are cut into pairs of blocks.
 TREE = 4096
+#: Shingles or candidate pairs that a task gathers before it sorts and counts them.
+HELD = 1_000_000
 #: Sets of a shingle for each place that its lowest set's shingles are dealt to.
 SPREAD = 64
 _SEEDS = mix(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
@@ -77,7 +80,7 @@ def describe_sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(bits, pa.binary())], names)
             seen += sets
             held += sum(map(len, sets))
-            if held > 4_000_000:
+            if held > 2 * HELD:
                 kept.append(frequent(seen))
                 seen, held = [], 0
         if held:
@@ -182,31 +185,31 @@ def first_shingles(docs: DataFrame, key: str, text: str, words: int, threshold:
                 shingle.append(s[:count])
                 owner.append(np.full(count, i, np.int64))
                 held += count
-            if held > 2_000_000:
+            if held > HELD:
                 yield send()
                 shingle, owner, held = [], [], 0
         if held:
             yield send()
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, parts = ["shingle", "id"], []
+        names, parts = ["shingle", "id"], defaultdict(list)
         for b in batches:
             for kind, s, i, t in zip(*(b.column(c).to_pylist() for c in range(4)), strict=True):
                 if kind < 0:
                     yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(s, np.int64)), pa.array(np.frombuffer(i, np.int64))], names)
                 else:
-                    parts.append((np.frombuffer(s, np.uint64), np.frombuffer(i, np.int64), np.frombuffer(t, bool)))
-        if not parts:
-            return
-        values, ids, twice = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.argsort(values, kind="stable")
-        values, ids, twice = values[order], ids[order], twice[order]
-        same = values[1:] == values[:-1]
-        keep = twice | np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        yield pa.RecordBatch.from_arrays([pa.array(values[keep].view(np.int64)), pa.array(ids[keep])], names)
-
-    # about 24 MB of shingles and ids a task; leading shingles are a fixed share of all
-    tasks = max(1, min(4096, math.ceil((1 - threshold + 0.05) * total * 17 / 24e6)))
+                    parts[kind].append((s, i, t))
+        for kind in sorted(parts):  # one bucket at a time
+            rows = parts.pop(kind)
+            values, ids, twice = (np.frombuffer(b"".join(r[k] for r in rows), t) for k, t in enumerate((np.uint64, np.int64, bool)))
+            order = np.argsort(values, kind="stable")
+            values, ids, twice = values[order], ids[order], twice[order]
+            same = values[1:] == values[:-1]
+            keep = twice | np.concatenate([[False], same]) | np.concatenate([same, [False]])
+            yield pa.RecordBatch.from_arrays([pa.array(values[keep].view(np.int64)), pa.array(ids[keep])], names)
+
+    # about 12 MB of shingles and ids a task; leading shingles are a fixed share of all
+    tasks = max(1, min(4096, math.ceil((1 - threshold + 0.05) * total * 17 / 12e6)))
     packed = rows.mapInArrow(run, "bucket int, shingles binary, ids binary, twice binary").repartition(tasks, "bucket")
     return packed.mapInArrow(repeated, "shingle bigint, id bigint")
 
@@ -340,7 +343,7 @@ def candidate_pairs(members: DataFrame, threshold: float) -> DataFrame:
             last = int(np.searchsorted(np.cumsum(np.concatenate([[0], shard[1:] != shard[:-1]])), (shard[1:] != shard[:-1]).sum())) if len(shard) else 0
             held += work(whole.slice(0, last))
             rest = whole.slice(last)
-            if held > 2_000_000:
+            if held > HELD:
                 emit()  # adds up what is held
                 held = sum(len(f[0]) for f in found)
                 if held > 500_000:
