@@ -80,7 +80,7 @@ def describe_sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(bits, pa.binary())], names)
             seen += sets
             held += sum(map(len, sets))
-            if held > 2 * HELD:
+            if held > HELD:
                 kept.append(frequent(seen))
                 seen, held = [], 0
         if held:
@@ -182,7 +182,7 @@ def first_shingles(docs: DataFrame, key: str, text: str, words: int, threshold:
                         odd[where] = late[at] == s[where]
                         s = np.concatenate([s[~odd], s[odd]])
                 count = min(count, len(s))
-                shingle.append(s[:count])
+                shingle.append(s[:count].copy())  # a view would hold the whole batch
                 owner.append(np.full(count, i, np.int64))
                 held += count
             if held > HELD:
@@ -190,6 +190,7 @@ def first_shingles(docs: DataFrame, key: str, text: str, words: int, threshold:
                 shingle, owner, held = [], [], 0
         if held:
             yield send()
+        pa.default_memory_pool().release_unused()  # the worker stays for later tasks
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, parts = ["shingle", "id"], defaultdict(list)
