@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import connected_components, join_ids, materialize
+from tidemark.llm.common import connected_components, join_ids, materialize, tidy
 from tidemark.llm.kernels import mix, shingle_sets, text_bytes, word_hashes
 
 BANDS, BAND_ROWS = 6, 2
@@ -91,7 +91,7 @@ def describe_sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame
                 yield pa.RecordBatch.from_arrays([pa.nulls(n, batch.schema.field(0).type), pa.array(np.full(n, -1)), pa.array([v.tobytes() for v in values], pa.binary()), pa.array([[c] for c in counts.tolist()], pa.list_(pa.int64())), pa.nulls(n, pa.binary())], names)
 
     rows = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, n bigint, digest binary, bands array<bigint>, bits binary")
+    return rows.mapInArrow(tidy(run), f"id {dict(rows.dtypes)['id']}, n bigint, digest binary, bands array<bigint>, bits binary")
 
 
 def verified_pairs(pairs: DataFrame, docs: DataFrame, key: str, text: str, words: int, threshold: float) -> DataFrame:
@@ -114,7 +114,7 @@ def verified_pairs(pairs: DataFrame, docs: DataFrame, key: str, text: str, words
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     kind = dict(pairs.dtypes)["a"]
-    return both.mapInArrow(run, f"a {kind}, b {kind}")
+    return both.mapInArrow(tidy(run), f"a {kind}, b {kind}")
 
 
 def shared_least(size):
@@ -190,7 +190,6 @@ def first_shingles(docs: DataFrame, key: str, text: str, words: int, threshold:
                 shingle, owner, held = [], [], 0
         if held:
             yield send()
-        pa.default_memory_pool().release_unused()  # the worker stays for later tasks
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, parts = ["shingle", "id"], defaultdict(list)
@@ -211,8 +210,8 @@ def first_shingles(docs: DataFrame, key: str, text: str, words: int, threshold:
 
     # about 12 MB of shingles and ids a task; leading shingles are a fixed share of all
     tasks = max(1, min(4096, math.ceil((1 - threshold + 0.05) * total * 17 / 12e6)))
-    packed = rows.mapInArrow(run, "bucket int, shingles binary, ids binary, twice binary").repartition(tasks, "bucket")
-    return packed.mapInArrow(repeated, "shingle bigint, id bigint")
+    packed = rows.mapInArrow(tidy(run), "bucket int, shingles binary, ids binary, twice binary").repartition(tasks, "bucket")
+    return packed.mapInArrow(tidy(repeated), "shingle bigint, id bigint")
 
 
 def tree_pairs(size: np.ndarray, group: np.ndarray, bits: np.ndarray, side: np.ndarray, threshold: float) -> np.ndarray:
@@ -355,7 +354,7 @@ def candidate_pairs(members: DataFrame, threshold: float) -> DataFrame:
             work(rest)
         yield emit()
 
-    met = shards.mapInArrow(run, "a bigint, b bigint, c bigint, k bigint").groupBy("a", "b").agg(F.sum("c").alias("c"), F.max("k").alias("k"))
+    met = shards.mapInArrow(tidy(run), "a bigint, b bigint, c bigint, k bigint").groupBy("a", "b").agg(F.sum("c").alias("c"), F.max("k").alias("k"))
     return met.where("c >= k").select(F.col("a").cast(kind), F.col("b").cast(kind))
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import connected_components, join_ids, materialize
+from tidemark.llm.common import connected_components, join_ids, materialize, tidy
 from tidemark.llm.kernels import mix, text_bytes, word_hashes
 
 MIN_WORDS = 5
@@ -58,8 +58,8 @@ def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for begin in range(0, len(whole), 1000):
-                batch = whole.slice(begin, 1000)
+            for begin in range(0, len(whole), 500):
+                batch = whole.slice(begin, 500)
                 data, offsets = text_bytes(batch.column(1))
                 breaks = np.flatnonzero(data == 10) + 1
                 starts = np.sort(np.concatenate([offsets[:-1], breaks]), kind="stable")
@@ -88,7 +88,7 @@ def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
                 )
 
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc {dict(rows.dtypes)['doc']}, line int, d1 bigint, d2 bigint, sim bigint, size int")
+    return rows.mapInArrow(tidy(run), f"doc {dict(rows.dtypes)['doc']}, line int, d1 bigint, d2 bigint, sim bigint, size int")
 
 
 def _keys(sims: np.ndarray, blocks: int, agree: int) -> Iterator[np.ndarray]:
@@ -146,9 +146,9 @@ def similar_hashes(sims: DataFrame, count: int, every: bool) -> DataFrame:
                 near = np.flatnonzero(least != values)
                 yield pa.RecordBatch.from_arrays([pa.array(values[near].view(np.int64)), pa.array(least[near].view(np.int64))], ["x", "y"])
 
-    dealt = sims.select("sim", "grp").mapInArrow(deal, "bucket int, sims binary, groups binary")
+    dealt = sims.select("sim", "grp").mapInArrow(tidy(deal), "bucket int, sims binary, groups binary")
     tasks = max(1, min(tables * parts, -(-tables * count * (16 if every else 8) // 16_000_000)))
-    return dealt.repartition(tasks, "bucket").mapInArrow(meet, "x bigint, y bigint").distinct()
+    return dealt.repartition(tasks, "bucket").mapInArrow(tidy(meet), "x bigint, y bigint").distinct()
 
 
 def edit_distance(a: str, b: str) -> int:
@@ -202,7 +202,7 @@ def linked_lines(pairs: DataFrame, docs: DataFrame, key: str, text: str, similar
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     kind = dict(pairs.dtypes)["a"]
-    return both.mapInArrow(run, f"a {kind}, b {kind}")
+    return both.mapInArrow(tidy(run), f"a {kind}, b {kind}")
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = 0.9) -> DataFrame:
