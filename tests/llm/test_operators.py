@@ -9,6 +9,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows_of
 from llm.conftest import make_docs
@@ -275,6 +276,28 @@ def test_leaks(spark, edge_docs):
     assert decontaminate.find_leaks(edge_docs, bench).count() == 0
 
 
+def test_basis_of_all_passages(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 9000, 4_500)), "one two three", None, "", " ".join(f"v{x}" for x in rng.integers(0, 400, 700))]
+    texts.append(" ".join(["stop", "word"] * 12_000))  # longer than a row of the fit
+    docs = make_docs(spark, texts)
+    rows = decontaminate.term_rows(docs, "text")
+    assert rows.count() == 5
+    counts, n = decontaminate.term_counts(rows)
+    passages, expected = [], np.zeros_like(counts)
+    for text in texts:
+        terms = decontaminate._terms(decontaminate._words(pa.array([text or ""]))[0])
+        np.add.at(expected, terms, 1)
+        passages += [terms[b : b + 96] for b in range(0, max(min(1, len(terms)), len(terms) - 64), 32)]
+    assert (counts == expected).all() and n == len(passages)
+    weights = decontaminate.term_weights(counts)
+    matrix = np.stack([np.bincount(p, weights[p], minlength=len(weights)) for p in passages])
+    basis = decontaminate.latent_basis(rows.select("terms", F.lit(1.0).cast("float").alias("weight")), weights).whole()
+    # as there are fewer different passages than dimensions, the basis spans every one of them
+    left = np.linalg.norm(matrix - matrix @ basis @ basis.T, axis=1)
+    assert left.max() < 0.01 * np.linalg.norm(matrix, axis=1).max()
+
+
 # 8
 def test_quality(spark, edge_docs):
     def slow(text):

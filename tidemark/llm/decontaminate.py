@@ -1,8 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Texts are cut into passages of PASSAGE_BLOCKS blocks of BLOCK_WORDS words, a new one at every block. Passages and benchmark
-items are TF-IDF vectors over hashed words; a randomised SVD, its products with the data computed by Spark, gives a latent
-basis. A passage is a candidate for an item if its cosine reaches SHARE of the cosine that a passage
+items are TF-IDF vectors over hashed words; a randomised SVD over all passages, its products with the data computed by Spark,
+gives a latent basis. A passage is a candidate for an item if its cosine reaches SHARE of the cosine that a passage
 holding the whole item would have. Candidates are verified on their words: the longest common subsequence must cover
 enough of the item, or somewhat less if it covers the item's answer (its last quarter) as well."""
 
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import materialize, unit_hash
+from tidemark.llm.common import materialize, tidy
 from tidemark.llm.kernels import text_bytes, word_hashes
 from tidemark.llm.line_dedup import _soft
 from tidemark.llm.shared_arrays import mapped_array, write_array
@@ -29,12 +29,11 @@ from tidemark.sources.files import remove_folder
 TERM_BITS = 14
 BLOCK_WORDS, PASSAGE_BLOCKS = 32, 3
 RANK, EXTRA, ROUNDS = 208, 16, 2
-#: Documents whose passages the basis is fitted on, about; statistics of terms and the search cover all documents.
-SAMPLE_DOCS = 400
-#: Passages of a sampled document that the fit uses at most; they are spread evenly over its text.
-SAMPLE_PASSAGES = 40
-#: Weight of the items' own vectors in the fit, so that the basis spans them.
-ITEM_WEIGHT = 10.0
+#: Blocks whose passages one row of the fit holds: a long text is many rows. Blocks that a task multiplies together.
+ROW_BLOCKS, FIT_BLOCKS = 512, 8192
+#: Weight of the items' own vectors in the fit, so that the basis spans them: this, and on many passages as much energy as
+#: this share of the passages.
+ITEM_WEIGHT, ITEM_SHARE = 10.0, 0.025
 #: Words that make up more than this share of all words carry no weight.
 COMMON = 0.01
 #: Files of the basis in the shared folder.
@@ -54,22 +53,46 @@ def _terms(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - TERM_BITS)).astype(np.int32)
 
 
-def term_counts(docs: DataFrame, text: str) -> np.ndarray:
-    """Occurrences of every hashed word in all texts; one partial vector a task."""
+def term_rows(docs: DataFrame, text: str) -> DataFrame:
+    """(terms, words, passages) of the words of every text: hashed words as 16-bit numbers, in rows of ROW_BLOCKS blocks.
+
+    A row of a longer text goes on to the end of the last passage that begins in it; `words` leaves out what the next row has too."""
+    size, more = ROW_BLOCKS * BLOCK_WORDS, (PASSAGE_BLOCKS - 1) * BLOCK_WORDS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, len(batch), 1000):
+                hashes, at = _words(batch.column(0).slice(first, 1000))
+                terms, blobs, words, passages = _terms(hashes).astype("<u2"), [], [], []
+                for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                    for begin in range(a, max(min(a + 1, b), b - more), size):
+                        end = min(b, begin + size + more)
+                        blobs.append(terms[begin:end].tobytes())
+                        words.append(size if begin + size < b - more else b - begin)
+                        passages.append(max(1, -(-(end - begin) // BLOCK_WORDS) - PASSAGE_BLOCKS + 1))
+                yield pa.RecordBatch.from_arrays([pa.array(blobs, pa.binary()), pa.array(words, pa.int32()), pa.array(passages, pa.int32())], ["terms", "words", "passages"])
+
+    return docs.select(F.col(text).cast("string").alias("t")).mapInArrow(run, "terms binary, words int, passages int")
+
+
+def term_counts(rows: DataFrame) -> tuple[np.ndarray, int]:
+    """(occurrences of every hashed word in all texts, number of passages); one partial vector a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << TERM_BITS, np.int64)
+        total = np.zeros((1 << TERM_BITS) + 1, np.int64)
         for batch in batches:
-            for at in range(0, len(batch), 1000):
-                total += np.bincount(_terms(_words(batch.column(0).slice(at, 1000))[0]), minlength=1 << TERM_BITS)
+            for begin in range(0, len(batch), 500):
+                part = batch.slice(begin, 500).to_pydict()
+                own = [np.frombuffer(blob, "<u2")[:n] for blob, n in zip(part["terms"], part["words"], strict=True)]
+                total += np.bincount(np.concatenate(own), minlength=len(total))
+                total[-1] += sum(part["passages"])
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["term", "n"])
 
-    rows = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(run, "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(1 << TERM_BITS, np.int64)
-    for r in rows:
+    out = np.zeros((1 << TERM_BITS) + 1, np.int64)
+    for r in rows.select("terms", "words", "passages").mapInArrow(run, "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect():
         out[r["term"]] = r["n"]
-    return out
+    return out[:-1], int(out[-1])
 
 
 def term_weights(counts: np.ndarray) -> np.ndarray:
@@ -78,35 +101,6 @@ def term_weights(counts: np.ndarray) -> np.ndarray:
     return np.where(counts > COMMON * total, 0.0, idf).astype(np.float32)
 
 
-def _passages_of(hashes: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int]]:
-    """(row, first word, word after the last) of the passages of every row."""
-    out = []
-    for row in range(len(at) - 1):
-        a, b = int(at[row]), int(at[row + 1])
-        for begin in range(a, max(a + 1, b - (PASSAGE_BLOCKS - 1) * BLOCK_WORDS), BLOCK_WORDS):
-            if begin < b:
-                out.append((row, begin, min(b, begin + PASSAGE_BLOCKS * BLOCK_WORDS)))
-    return out
-
-
-def sample_passages(docs: DataFrame, text: str, key: str, count: int) -> DataFrame:
-    """(terms, weight) of passages of about SAMPLE_DOCS documents, chosen by a hash of their key."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes, at = _words(batch.column(0))
-            terms, blobs = _terms(hashes), []
-            by_row: dict[int, list[bytes]] = {}
-            for row, a, b in _passages_of(hashes, at):
-                by_row.setdefault(row, []).append(terms[a:b].tobytes())
-            for own in by_row.values():
-                blobs += own[:: -(-len(own) // SAMPLE_PASSAGES)]
-            yield pa.RecordBatch.from_arrays([pa.array(blobs, pa.binary()), pa.array(np.ones(len(blobs), np.float32))], ["terms", "weight"])
-
-    chosen = docs.where(unit_hash(key) < min(1.0, SAMPLE_DOCS / max(1, count)))
-    return chosen.select(F.col(text).cast("string").alias("t")).mapInArrow(run, "terms binary, weight float")
-
-
 @dataclass(frozen=True)
 class Tall:
     """A matrix [term, column] that no process holds for long: PARTS files of rows in the shared folder, times a small matrix."""
@@ -122,92 +116,136 @@ class Tall:
         return np.concatenate([self.rows(k) for k in range(PARTS)])
 
 
-def _random(spark: SparkSession, width: int, seed: int) -> Tall:
-    """Normal random numbers, written by a task for each part."""
-    path = work_folder(spark, "basis")
+def _start(width: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """A random matrix [term, width] with one entry in a row, 1 or -1: (column, sign) of every term."""
+    rng = np.random.default_rng(seed)
+    return rng.integers(0, width, 1 << TERM_BITS), rng.choice(np.array([-1.0, 1.0], np.float32), 1 << TERM_BITS)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in batch.column(0).to_pylist():
-                write_array(f"{path}/{part}", np.random.default_rng((seed, part)).standard_normal(((1 << TERM_BITS) // PARTS, width), np.float32))
-            yield batch
 
-    spark.range(PARTS).mapInArrow(run, "id long").collect()
-    return Tall(path, width, np.eye(width))
+def _grouped_sums(matrix: np.ndarray, index: np.ndarray, begin: np.ndarray, end: np.ndarray, width: int) -> np.ndarray:
+    """Sums of matrix[index[begin:end]] for groups of at most `width` rows; the matrix ends in a row of zeros."""
+    out, step = np.empty((len(begin), matrix.shape[1]), np.float32), np.arange(width)
+    index = np.append(index, len(matrix) - 1)
+    size = 1024 // width
+    for a in range(0, len(begin), size):
+        place = begin[a : a + size, None] + step
+        out[a : a + size] = matrix[index[np.where(place < end[a : a + size, None], place, len(index) - 1)]].sum(axis=1)
+    return out
 
 
-def _through(sample: DataFrame, weights: np.ndarray, basis: Tall, small: bool) -> DataFrame:
-    """Partial sums of A'A V by parts of its rows, or of V'A'A V as one part, for the TF-IDF matrix A of the sample."""
+def _add_products(out: np.ndarray, v: np.ndarray | tuple[np.ndarray, np.ndarray], live: np.ndarray, blobs: list, scale: np.ndarray) -> None:
+    """Add A'A V to `out` for the passages of some rows, but for the weights of the terms of `out`; `live` terms have one.
+
+    V is weighted and ends in a row of zeros, or is (column, weighted sign) of every term."""
+    width = out.shape[1]
+    count = np.array([len(b) // 2 for b in blobs])
+    blocks = -(-count // BLOCK_WORDS)
+    last = np.cumsum(blocks)
+    row = np.repeat(np.arange(len(blobs)), blocks)
+    place = np.arange(len(row)) - (last - blocks)[row]
+    begin = (np.cumsum(count) - count)[row] + BLOCK_WORDS * place
+    end = np.minimum(begin + BLOCK_WORDS, np.cumsum(count)[row])
+    terms = np.frombuffer(b"".join(blobs), "<u2")
+    of = np.repeat(np.arange(len(row)), end - begin)
+    if isinstance(v, tuple):
+        sums = np.bincount(of * width + v[0][terms], v[1][terms], len(row) * width).astype(np.float32).reshape(-1, width)
+    else:
+        sums = _grouped_sums(v, terms, begin, end, BLOCK_WORDS)
+    whole = sums.copy()
+    for k in range(1, PASSAGE_BLOCKS):
+        same = np.flatnonzero(row[k:] == row[:-k])
+        whole[same] += sums[same + k]
+    begins = (place == 0) | (place + PASSAGE_BLOCKS <= blocks[row])  # a passage begins at this block
+    whole *= (begins * scale[row] ** 2).astype(np.float32)[:, None]
+    back = np.zeros((len(row) + 1, width), np.float32)
+    back[:-1] = whole
+    for k in range(1, PASSAGE_BLOCKS):
+        same = np.flatnonzero(row[k:] == row[:-k])
+        back[same + k] += whole[same]
+    # the same sums the other way: of the blocks that have a term, 16 occurrences at a time
+    used = np.flatnonzero(live[terms])
+    if not len(used):
+        return
+    order = used[np.argsort(terms[used], kind="stable")]
+    block, ordered = of[order], terms[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    n = np.diff(np.append(first, len(ordered)))
+    pieces = -(-n // 16)
+    owner, start = np.repeat(np.arange(len(first)), pieces), np.cumsum(pieces) - pieces
+    a = first[owner] + 16 * (np.arange(len(owner)) - start[owner])
+    out[ordered[first]] += np.add.reduceat(_grouped_sums(back, block, a, (first + n)[owner], 16), start, axis=0)
+
+
+def _through(rows: DataFrame, weights: np.ndarray, basis: Tall | tuple[np.ndarray, np.ndarray], width: int) -> DataFrame:
+    """Partial sums of A'A V by parts of its rows, for the TF-IDF matrix A of all passages of (terms, weight): one partial a task,
+    so the tasks are twice as many as run at a time, whatever the number of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = basis.whole()
-        out = np.zeros((v.shape[1], v.shape[1]) if small else v.shape, np.float32)
+        if isinstance(basis, tuple):
+            v = basis[0], basis[1] * weights
+        else:
+            v = np.concatenate([basis.whole() * weights[:, None], np.zeros((1, width), np.float32)])
+        live, out = weights != 0, np.zeros((1 << TERM_BITS, width), np.float32)
         for batch in batches:
-            for begin in range(0, len(batch), 200):
-                part = batch.slice(begin, 200)
-                rows = [np.frombuffer(t, np.int32) for t in part.column(0).to_pylist()]
-                rows = [r for r in rows if len(r)]
-                if not rows:
-                    continue
-                scale = np.repeat(part.column(1).to_numpy()[: len(rows)], [len(r) for r in rows])
-                terms, at = np.concatenate(rows), np.cumsum([0] + [len(r) for r in rows[:-1]])
-                value = weights[terms] * scale
-                y = np.add.reduceat(v[terms] * value[:, None], at, axis=0)
-                if small:
-                    out += y.T @ y
-                    continue
-                back = np.repeat(y, [len(r) for r in rows], axis=0) * value[:, None]
-                order = np.argsort(terms, kind="stable")
-                edges = np.flatnonzero(np.concatenate([[True], np.diff(terms[order]) > 0]))
-                out[terms[order][edges]] += np.add.reduceat(back[order], edges, axis=0)
-        blobs = [p.tobytes() for p in np.split(out, 1 if small else PARTS)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(blobs)), pa.int32()), pa.array(blobs, pa.binary())], ["part", "sums"])
-
-    return sample.mapInArrow(run, "part int, sums binary")
+            blobs, scale = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+            group = np.cumsum([-(-len(b) // (2 * BLOCK_WORDS)) for b in blobs]) // FIT_BLOCKS
+            edges = np.flatnonzero(np.concatenate([[True], np.diff(group) > 0, [True]])) if len(blobs) else []
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                _add_products(out, v, live, blobs[a:b], scale[a:b])
+        out *= weights[:, None]
+        yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([p.tobytes() for p in np.split(out, PARTS)], pa.binary())], ["part", "sums"])
+
+    tasks = 2 * rows.sparkSession.sparkContext.defaultParallelism
+    return rows.coalesce(tasks).mapInArrow(tidy(run), "part int, sums binary")
 
 
 def _added(blobs: pd.Series, kind: type) -> np.ndarray:
     return sum(np.frombuffer(b, kind).astype(np.float64) for b in blobs)
 
 
-def _small(parts: DataFrame, width: int, kind: type) -> np.ndarray:
-    """The sum of width x width matrices, added up by a task."""
-
-    def add(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"sums": [_added(group["sums"], kind).tobytes()]})
-
-    return np.frombuffer(parts.groupBy().applyInPandas(add, "sums binary").first()["sums"]).reshape(width, width)
-
+def _next_basis(rows: DataFrame, weights: np.ndarray, basis: Tall | tuple[np.ndarray, np.ndarray], width: int) -> tuple[str, np.ndarray, np.ndarray]:
+    """(folder of W, V'W, W'W) for W = A'A V. Tasks write W's parts; only the products of columns come to the driver.
 
-def _next_basis(sample: DataFrame, weights: np.ndarray, basis: Tall) -> Tall:
-    """An orthonormal basis of A'A V. Tasks write its parts; only the product of its columns with each other comes to the driver."""
-    path, width = work_folder(sample.sparkSession, "basis"), basis.width
+    V'W is left at zero for the matrix of the start."""
+    path = work_folder(rows.sparkSession, "basis")
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
-        rows = _added(group["sums"], np.float32).astype(np.float32).reshape(-1, width)
-        write_array(f"{path}/{group['part'].iloc[0]}", rows)
-        rows = rows.astype(np.float64)
-        return pd.DataFrame({"sums": [(rows.T @ rows).tobytes()]})
-
-    parts = _through(sample, weights, basis, small=False).groupBy("part").applyInPandas(add, "sums binary")
-    values, vectors = np.linalg.eigh(_small(parts, width, np.float64))
-    return Tall(path, width, vectors / np.sqrt(np.maximum(values, 1e-12 * max(values[-1], 1e-30))))
-
-
-def latent_basis(sample: DataFrame, weights: np.ndarray, seed: int = 5) -> Tall:
-    """Leading right singular vectors [term, RANK] by randomised subspace iteration (Halko et al. 2011).
-
-    The products and the orthonormalisation run in tasks; the driver sees matrices of RANK + EXTRA squared."""
-    spark = sample.sparkSession
-    basis = _random(spark, RANK + EXTRA, seed)
-    used = [basis.path]
-    for _ in range(ROUNDS):
-        basis = _next_basis(sample, weights, basis)
-        used.append(basis.path)
-    values, rotation = np.linalg.eigh(_small(_through(sample, weights, basis, small=True), basis.width, np.float32))
+        part = int(group["part"].iloc[0])
+        own = _added(group["sums"], np.float32).astype(np.float32).reshape(-1, width)
+        write_array(f"{path}/{part}", own)
+        own = own.astype(np.float64)
+        across = np.zeros((width, width)) if isinstance(basis, tuple) else basis.rows(part).astype(np.float64).T @ own
+        return pd.DataFrame({"sums": [np.stack([across, own.T @ own]).tobytes()]})
+
+    def total(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"sums": [_added(group["sums"], np.float64).tobytes()]})
+
+    parts = _through(rows, weights, basis, width).groupBy("part").applyInPandas(add, "sums binary")
+    across, own = np.frombuffer(parts.groupBy().applyInPandas(total, "sums binary").first()["sums"]).reshape(2, width, width)
+    return path, across, own
+
+
+def latent_basis(rows: DataFrame, weights: np.ndarray, seed: int = 5) -> Tall:
+    """Leading right singular vectors [term, RANK] by randomised subspace iteration (Halko et al. 2011) over all rows.
+
+    It starts from a sparse random matrix (Clarkson and Woodruff 2013), whose products cost little. The last product W = A'A V
+    also gives the vectors, by the Nystroem approximation W (V'W)^-1 W' of A'A (Tropp et al. 2017), so that no further pass is
+    needed. The products run in tasks; the driver sees matrices of RANK + EXTRA squared."""
+    spark, width = rows.sparkSession, RANK + EXTRA
+    basis, used = _start(width, seed), []
+    for left in reversed(range(ROUNDS)):
+        path, across, own = _next_basis(rows, weights, basis, width)
+        used.append(path)
+        if left:
+            values, vectors = np.linalg.eigh(own)
+            basis = Tall(path, width, vectors / np.sqrt(np.maximum(values, 1e-12 * max(values[-1], 1e-30))))
+    values, vectors = np.linalg.eigh((across + across.T) / 2)
+    root = vectors * np.where(values > 1e-7 * max(values[-1], 1e-30), 1 / np.sqrt(np.maximum(values, 1e-30)), 0.0)
+    values, vectors = np.linalg.eigh(root.T @ own @ root)
+    turn = root @ (vectors * np.where(values > 1e-9 * max(values[-1], 1e-30), 1 / np.sqrt(np.maximum(values, 1e-30)), 0.0))
     for path in used[:-1]:
         remove_folder(spark, path)
-    return Tall(basis.path, basis.width, basis.turn @ rotation[:, np.argsort(-values)[:RANK]])
+    return Tall(used[-1], width, turn[:, ::-1][:, :RANK])
 
 
 @dataclass(frozen=True)
@@ -292,10 +330,12 @@ def find_leaks(
     schema = f"`{key}` {kinds[0]}, `{item_key}` {kinds[1]}, cosine double, lcs_share double, answer_share double"
     if not parts:
         return spark.createDataFrame([], schema)
-    weights = term_weights(term_counts(docs, text))
-    own = spark.createDataFrame(pd.DataFrame({"terms": [_terms(w).tobytes() for _, w in parts], "weight": np.full(len(parts), ITEM_WEIGHT, np.float32)}), "terms binary, weight float")
-    sample = materialize(sample_passages(docs, text, key, docs.count()).unionByName(own).repartition(2), "passages")
-    basis = latent_basis(sample, weights)
+    rows = materialize(term_rows(docs, text), "terms")
+    counts, passages = term_counts(rows)
+    weights = term_weights(counts)
+    weight = max(ITEM_WEIGHT, math.sqrt(ITEM_SHARE * passages))
+    own = spark.createDataFrame(pd.DataFrame({"terms": [_terms(w).astype("<u2").tobytes() for _, w in parts], "weight": np.full(len(parts), weight, np.float32)}), "terms binary, weight float")
+    basis = latent_basis(rows.select("terms", F.lit(1.0).cast("float").alias("weight")).unionByName(own), weights)
     item_type = to_arrow_type(benchmark.schema[item_key].dataType)
     shared = spark.sparkContext.broadcast(([k for k, _ in parts], [w for _, w in parts], basis, weights))  # items, some kB each, and term weights
 
