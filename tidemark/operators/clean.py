@@ -14,9 +14,17 @@ from tidemark.schemas import PREVIOUS_RENAMES, PREVIOUS_UNUSED, SNAPSHOT_DATE
 
 def normalize_whitespace(df: DataFrame) -> DataFrame:
     """Trim every string column and collapse inner runs of white space, in one projection."""
-    return df.selectExpr(*[
-        f"{squeezed_sql(f.name)} AS {quoted(f.name)}" if isinstance(f.dataType, T.StringType) else quoted(f.name)
-        for f in df.schema
+    names = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    if not names:
+        return df
+    # One array and one lambda: an expression per column makes generated code so long that the JVM only interprets it.
+    texts = "_texts"
+    while texts in df.columns:
+        texts = f"_{texts}"
+    squeezed = f"transform(array({', '.join(map(quoted, names))}), x -> if(x = '', x, {squeezed_sql('x')})) AS {texts}"
+    place = {name: k for k, name in enumerate(names)}
+    return df.selectExpr("*", squeezed).selectExpr(*[
+        f"{texts}[{place[c]}] AS {quoted(c)}" if c in place else quoted(c) for c in df.columns
     ])
 
 
