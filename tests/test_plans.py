@@ -1,12 +1,19 @@
 """The shape of physical plans: what is read, what is shuffled, what can be split."""
 
+import re
+
 import pytest
+from conftest import write_snapshot
 from pyspark.sql import functions as F
 
 from checks.queries import QUERIES
+from tidemark.operators.clean import normalize_whitespace
 from tidemark.operators.joins import split_join
 from tidemark.operators.keys import as_of_view, latest_per_key
 from tidemark.operators.placeholders import placeholder_rows
+from tidemark.plans import feeds
+from tidemark.schemas import PARTICIPATION_COLUMNS, REGISTRATION_COLUMNS
+from tidemark.sources.snapshots import read_dated_snapshots
 
 SF = "/root/testdata/sf0.001"
 LAZY = [n for n, query in QUERIES.items() if query.__module__ != "checks.feeds"]
@@ -77,3 +84,14 @@ def test_hot_key_is_split_and_rows_stay_whole(spark):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("columns, prepare", [(PARTICIPATION_COLUMNS, feeds.prepare_participation), (REGISTRATION_COLUMNS, feeds.prepare_registration)])
+def test_generated_code_of_staging_is_compiled(spark, tmp_path, capsys, columns, prepare):
+    """The JVM only interprets a method of more than 8,000 bytes."""
+    path = write_snapshot(tmp_path / "20240101_feed.txt", [dict.fromkeys(columns, " a  b ")], columns)
+    rows = read_dated_snapshots(spark, [path], prepare, quality=True)
+    normalize_whitespace(spark.read.schema(", ".join(f"`{c}` string" for c in columns)).option("sep", "\t").csv(path)).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert all(n < 8000 for n in sizes)
+    assert rows.select("ncid").first()[0] == "a b"
