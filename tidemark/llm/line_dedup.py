@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import connected_components, join_ids, materialize, tidy
+from tidemark.llm.common import Scratch, connected_components, join_ids, materialize, tidy
 from tidemark.llm.kernels import mix, text_bytes, word_hashes
 
 MIN_WORDS = 5
@@ -182,15 +182,7 @@ _LOWER = {c: c + 32 for c in range(65, 91)} | {c: 32 for c in (9, 10, 11, 12, 13
 
 
 def linked_lines(pairs: DataFrame, docs: DataFrame, key: str, text: str, similarity: float) -> DataFrame:
-    """The pairs (a, b) of occurrences (doc, line) whose normalised lines have edit similarity of at least the threshold."""
-    spots = materialize(pairs.select(F.explode(F.array("a", "b")).alias("spot")).distinct(), "spots")
-    wanted = spots.groupBy(F.col("spot.doc").alias("doc")).agg(F.collect_list("spot.line").alias("wanted"))
-    rows = docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text")).where(F.col("doc").isNotNull())
-    ids = materialize(wanted.select("doc"), "ids")
-    found = join_ids(rows, ids, "doc").groupBy("doc").agg(F.first("text").alias("text")).join(wanted, "doc")
-    lines = found.select("doc", F.explode("wanted").alias("line"), F.split("text", "\n").alias("all")).select(F.struct("doc", "line").alias("spot"), F.get("all", F.col("line")).alias("own"))
-    lines = materialize(lines, "texts")
-    both = pairs.join(lines.select(F.col("spot").alias("a"), F.col("own").alias("ta")), "a").join(lines.select(F.col("spot").alias("b"), F.col("own").alias("tb")), "b").select("a", "b", "ta", "tb")
+    """The pairs (a, b) of occurrences (doc, line) whose normalised lines have edit similarity of at least the threshold, written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,20 +194,24 @@ def linked_lines(pairs: DataFrame, docs: DataFrame, key: str, text: str, similar
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     kind = dict(pairs.dtypes)["a"]
-    return both.mapInArrow(tidy(run), f"a {kind}, b {kind}")
-
-
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = 0.9) -> DataFrame:
-    """`docs` with every repeated or nearly repeated line removed from the text; adds n_lines_removed (long).
-
-    All rows stay; a text may become empty. Null and empty texts, lines below MIN_WORDS words and rows without
-    a key are left as they are. Rows that share a key must be copies of each other; they keep the same lines. Other columns
-    stay; an empty table stays empty."""
-    docs = docs.drop("n_lines_removed")
-    lines = materialize(lines_of(docs, key, text), "lines")
+    with Scratch() as scratch:
+        spots = scratch.materialize(pairs.select(F.explode(F.array("a", "b")).alias("spot")).distinct(), "spots")
+        wanted = spots.groupBy(F.col("spot.doc").alias("doc")).agg(F.collect_list("spot.line").alias("wanted"))
+        rows = docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text")).where(F.col("doc").isNotNull())
+        ids = scratch.materialize(wanted.select("doc"), "ids")
+        found = join_ids(rows, ids, "doc").groupBy("doc").agg(F.first("text").alias("text")).join(wanted, "doc")
+        lines = found.select("doc", F.explode("wanted").alias("line"), F.split("text", "\n").alias("all")).select(F.struct("doc", "line").alias("spot"), F.get("all", F.col("line")).alias("own"))
+        lines = scratch.materialize(lines, "texts")
+        both = pairs.join(lines.select(F.col("spot").alias("a"), F.col("own").alias("ta")), "a").join(lines.select(F.col("spot").alias("b"), F.col("own").alias("tb")), "b").select("a", "b", "ta", "tb")
+        return materialize(both.mapInArrow(tidy(run), f"a {kind}, b {kind}"), "links")
+
+
+def _gone_lines(docs: DataFrame, key: str, text: str, similarity: float, scratch: Scratch) -> DataFrame:
+    """(key, _gone) of the documents that lose lines, and the numbers of those lines."""
+    lines = scratch.materialize(lines_of(docs, key, text), "lines")
     nodes = lines.groupBy("d1", "d2").agg(F.min(F.struct("doc", "line")).alias("first"), F.first("sim").alias("sim"), F.first("size").alias("size"), F.count("*").alias("n"))
-    nodes = materialize(nodes, "nodes")
-    sims = materialize(nodes.groupBy("sim").agg(F.count("*").alias("n"), F.min(F.struct("first", "size")).alias("one")), "sims")
+    nodes = scratch.materialize(nodes, "nodes")
+    sims = scratch.materialize(nodes.groupBy("sim").agg(F.count("*").alias("n"), F.min(F.struct("first", "size")).alias("one")), "sims")
 
     def spots(left: DataFrame, right: DataFrame, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) of nodes by pairs of SimHashes; only lines of similar length can have similar edits."""
@@ -228,25 +224,36 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", simila
     none = F.lit(None).cast(dict(nodes.dtypes)["first"])
     plain = nodes.withColumn("grp", none)
     heads = sims.select("sim", F.col("one.first").alias("first"), F.col("one.size").alias("size")).withColumn("grp", none)
-    near = materialize(similar_hashes(sims.withColumn("grp", F.col("sim")), sims.count(), every=False), "near")
-    equal = materialize(sims.where("n > 1").select(F.col("sim").alias("x"), F.col("sim").alias("y")), "equal")
+    near = scratch.materialize(similar_hashes(sims.withColumn("grp", F.col("sim")), sims.count(), every=False), "near")
+    equal = scratch.materialize(sims.where("n > 1").select(F.col("sim").alias("x"), F.col("sim").alias("y")), "equal")
     trees = spots(heads, heads, near).unionByName(spots(plain, heads, equal))
-    links = materialize(linked_lines(materialize(trees, "spots"), docs, key, text, similarity), "links")
+    links = linked_lines(scratch.materialize(trees, "spots"), docs, key, text, similarity)
     forest = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
     # then every pair of near hashes, of those that have any, whose lines are in different trees
     busy = near.select(F.explode(F.array("x", "y")).alias("sim")).unionByName(equal.select(F.col("x").alias("sim"))).distinct()
     rest = nodes.join(busy, "sim").join(forest.withColumnRenamed("node", "first"), "first", "left")
-    rest = materialize(rest.select("sim", "first", "size", F.coalesce("component", "first").alias("grp")), "rest")
+    rest = scratch.materialize(rest.select("sim", "first", "size", F.coalesce("component", "first").alias("grp")), "rest")
     label = F.xxhash64(F.col("least"))
     busy = rest.groupBy("sim").agg(F.min("grp").alias("least"), F.max("grp").alias("most"))
-    busy = materialize(busy.select("sim", F.when(F.col("least") == F.col("most"), label).otherwise(F.xxhash64("sim", F.lit(1))).alias("grp"), (F.col("least") != F.col("most")).alias("mixed")), "busy")
+    busy = scratch.materialize(busy.select("sim", F.when(F.col("least") == F.col("most"), label).otherwise(F.xxhash64("sim", F.lit(1))).alias("grp"), (F.col("least") != F.col("most")).alias("mixed")), "busy")
     pairs = similar_hashes(busy, sims.count(), every=True).unionByName(busy.where("mixed").select(F.col("sim").alias("x"), F.col("sim").alias("y")))
-    more = linked_lines(materialize(spots(rest, rest, pairs), "spots"), docs, key, text, similarity)
+    more = linked_lines(scratch.materialize(spots(rest, rest, pairs), "spots"), docs, key, text, similarity)
     groups = connected_components(links.unionByName(more).select(F.col("a").alias("src"), F.col("b").alias("dst")))
     better = groups.where("node <> component").select(F.col("node").alias("first"), F.col("component").alias("kept"))
     judged = nodes.join(better, "first", "left").where("n > 1 or kept is not null").select("d1", "d2", F.coalesce("kept", "first").alias("kept"))
     gone = lines.join(judged, ["d1", "d2"]).where(F.struct("doc", "line") != F.col("kept"))
-    gone = gone.groupBy(F.col("doc").alias(key)).agg(F.collect_set("line").alias("_gone"))
+    return materialize(gone.groupBy(F.col("doc").alias(key)).agg(F.collect_set("line").alias("_gone")), "gone")
+
+
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = 0.9) -> DataFrame:
+    """`docs` with every repeated or nearly repeated line removed from the text; adds n_lines_removed (long).
+
+    All rows stay; a text may become empty. Null and empty texts, lines below MIN_WORDS words and rows without
+    a key are left as they are. Rows that share a key must be copies of each other; they keep the same lines. Other columns
+    stay; an empty table stays empty."""
+    docs = docs.drop("n_lines_removed")
+    with Scratch() as scratch:
+        gone = _gone_lines(docs, key, text, similarity, scratch)
     out = docs.join(gone, key, "left")
     left_over = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda line, i: ~F.array_contains(F.col("_gone"), i)), "\n")
     out = out.withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(left_over)).withColumn("n_lines_removed", F.greatest(F.size("_gone"), F.lit(0)).cast("long"))
