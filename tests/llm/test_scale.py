@@ -1,10 +1,12 @@
 """What operators leave behind, and the work that they save without losing a result."""
 
+import itertools
 import pathlib
+import random
 
 from llm.conftest import make_docs
 
-from tidemark.llm import line_dedup
+from tidemark.llm import jaccard_join, line_dedup
 from tidemark.llm.common import connected_components
 
 
@@ -30,5 +32,58 @@ def test_working_tables_are_deleted(spark):
     docs = make_docs(spark, texts)
     edges = spark.createDataFrame([(i, i + 1) for i in range(20)], "src long, dst long")
     assert added(spark, lambda: connected_components(edges).count()) == ["edges"]
+    left = added(spark, lambda: jaccard_join.jaccard_groups(docs).collect())
+    assert set(left) <= {"sizes", "links", "edges"} and left.count("edges") <= 2
     left = added(spark, lambda: line_dedup.dedup_lines(docs).collect())
     assert set(left) <= {"gone", "links", "edges"} and left.count("edges") <= 2
+
+
+# op4
+def phrased(count):
+    """Long texts of random words with some of the same common phrases; every third is a near copy of the one before."""
+    rng = random.Random(4)
+    phrases = [[f"p{k}x{i}" for i in range(6)] for k in range(12)]
+    texts = []
+    for i in range(count):
+        if i % 3 == 2:
+            own = texts[-1].split()
+            for _ in range(rng.choice((2, 8, 14))):
+                own[rng.randrange(len(own))] = f"odd{rng.random()}"
+        else:
+            own = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+            for phrase in rng.sample(phrases, 6):
+                at = rng.randrange(390)
+                own[at : at + 6] = phrase
+        texts.append(" ".join(own))
+    return texts
+
+
+def brute_force(texts):
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    top = list(range(len(texts)))
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        k = len(sets[i] & sets[j])
+        if 100 * k >= 75 * (len(sets[i]) + len(sets[j]) - k):
+            top = [min(top[i], top[j]) if x in (top[i], top[j]) else x for x in top]
+    return dict(enumerate(top))
+
+
+def test_common_shingles_make_no_pairs_and_lose_no_link(spark, monkeypatch):
+    texts = phrased(90)
+    monkeypatch.setattr(jaccard_join, "HOT", 2)
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 1)  # or the phrases come last in the order
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_groups(make_docs(spark, texts)).collect()}
+    assert got == brute_force(texts)
+
+
+def test_sets_without_enough_common_shingles_are_left_out(spark):
+    """A set of 400 shingles needs 16 at least in common with any that it links with."""
+    rows = [(s, i, i) for i in range(50) for s in range(3)]  # three phrases that all have
+    rows += [(100 + s, i, i) for i in (0, 1) for s in range(20)]  # two that have much in common
+    rows += [(1000 + s, 60 + i, 60 + i) for i in range(40) for s in range(30)]  # sets with many common shingles
+    placed = spark.createDataFrame(rows, "shingle long, id long, grp long")
+    groups = spark.createDataFrame([(i, 400, i) for i in range(100)], "id long, n long, grp long")
+    out = [tuple(r) for r in jaccard_join.met_shingles(placed, groups, 0.75).collect()]
+    assert {r[1] for r in out} == {0, 1, *range(60, 100)}
+    assert {(r[0], r[4]) for r in out if r[1] < 2} == {(100 + s, 3) for s in range(20)}
+    assert sum(r[1] >= 60 for r in out) == 40 * 30 and {r[4] for r in out if r[1] >= 60} == {0}

@@ -19,10 +19,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import connected_components, join_ids, materialize, tidy
+from tidemark.llm.common import Scratch, connected_components, join_ids, materialize, tidy
 from tidemark.llm.kernels import mix, shingle_sets, text_bytes, word_hashes
 
 BANDS, BAND_ROWS = 6, 2
@@ -34,6 +34,8 @@ FREQUENT = 500_000
 TREE = 4096
 #: Shingles or candidate pairs that a task gathers before it sorts and counts them.
 HELD = 1_000_000
+#: A shingle of more sets than this is set aside where a link shows without it; any number gives the same links.
+HOT = 32
 #: Sets of a shingle for each place that its lowest set's shingles are dealt to.
 SPREAD = 64
 _SEEDS = mix(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
@@ -95,12 +97,7 @@ def describe_sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame
 
 
 def verified_pairs(pairs: DataFrame, docs: DataFrame, key: str, text: str, words: int, threshold: float) -> DataFrame:
-    """The pairs (a, b) of ids whose texts link. Only texts of ids in pairs are shuffled."""
-    ids = materialize(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
-    texts = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("t"))
-    texts = materialize(join_ids(texts, ids, "id").groupBy("id").agg(F.first("t").alias("t")), "texts")
-    left = pairs.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a")
-    both = left.join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b").select("a", "b", "ta", "tb")
+    """The pairs (a, b) of ids whose texts link, written. Only texts of ids in pairs are shuffled."""
     num, den = _ratio(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,14 +111,20 @@ def verified_pairs(pairs: DataFrame, docs: DataFrame, key: str, text: str, words
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     kind = dict(pairs.dtypes)["a"]
-    return both.mapInArrow(tidy(run), f"a {kind}, b {kind}")
+    with Scratch() as scratch:
+        ids = scratch.materialize(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
+        texts = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("t"))
+        texts = scratch.materialize(join_ids(texts, ids, "id").groupBy("id").agg(F.first("t").alias("t")), "texts")
+        left = pairs.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a")
+        both = left.join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b").select("a", "b", "ta", "tb")
+        return materialize(both.mapInArrow(tidy(run), f"a {kind}, b {kind}"), "links")
 
 
 def shared_least(size):
     """How many leading shingles two linked sets share at least, the smaller having this size.
 
     Sets with an overlap of o share k among their first `size - o + k` shingles, for any k."""
-    return 1 + size // 20
+    return 1 + (F.floor(size / 20) if isinstance(size, Column) else size // 20)
 
 
 def _ratio(threshold: float) -> tuple[int, int]:
@@ -282,13 +285,29 @@ def leaf_pairs(
         yield u[ok], v[ok]
 
 
-def candidate_pairs(members: DataFrame, threshold: float) -> DataFrame:
-    """Distinct pairs (a, b) of ids that may link, from rows (shingle, id, n, grp, bits): those that the trees of enough
-    shingles let through.
+def met_shingles(placed: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
+    """(shingle, id, n, grp, lost) of the leading shingles that can show a link between two groups, from rows (shingle, id, grp)
+    and (id, n, grp).
+
+    A shingle of one group shows none. A set whose shingles with other groups are fewer than the least that a link takes has none.
+    A shingle of more than HOT sets is left out of those sets that have fewer such shingles than a link takes: they then share
+    others with whatever they link with. `lost` is the number left out; a pair needs so many fewer."""
+    num, den = _ratio(threshold)
+    mixed = placed.groupBy("shingle").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1"), F.count("*").alias("m")).where("g0 <> g1").select("shingle", (F.col("m") > HOT).alias("hot"))
+    met = placed.select("shingle", "id").join(mixed, "shingle")
+    counts = met.groupBy("id").agg(F.count("*").alias("m"), F.count_if("hot").alias("h")).join(groups.select("id", "n", "grp"), "id")
+    least = shared_least(F.expr(f"(n * {num} + {den - 1}) div {den}"))  # of a pair with the smallest set that may link
+    live = counts.where(F.col("m") >= least).select("id", "n", "grp", F.when(F.col("h") < least, F.col("h")).otherwise(0).alias("lost"))
+    return met.join(live, "id").where("not (hot and lost > 0)").select("shingle", "id", "n", "grp", "lost")
+
+
+def candidate_pairs(members: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+    """Distinct pairs (a, b) of ids that may link, from rows (shingle, id, n, grp, lost) and (id, n, bits): those that the trees of
+    enough shingles let through.
 
     Rows meet in shards of one shingle and one band of sizes: sizes of linked sets differ by at most the threshold, so a set
     also visits the next band, where it is only compared with that band's own. Shards beyond TREE rows are cut into blocks and each
-    pair of blocks is a shard."""
+    pair of blocks is a shard. Bitmaps are joined to the rows of the shards only."""
     base = math.log(1 / threshold)
     banded = members.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / base + 1e-9))
     visits = banded.withColumn("side", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("band", F.col("band") + F.col("side"))
@@ -298,8 +317,9 @@ def candidate_pairs(members: DataFrame, threshold: float) -> DataFrame:
     cut = F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("long"))).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: F.least(j, block) * F.col("blocks") + F.greatest(j, block)))
     shards = visits.withColumn("pair", F.explode(cut)).withColumn("shard", F.xxhash64("shingle", "band", "pair"))
     # shingles of the same few sets meet in one task, which counts their pairs; those of many sets are spread
-    shards = shards.withColumn("place", F.xxhash64("lead", F.pmod(F.col("shard"), F.col("spread")))).repartition("place").sortWithinPartitions("shard")
-    shards = shards.select("shard", "id", "n", "grp", "bits", "side")
+    shards = shards.select("shard", "id", "n", "grp", "side", "lost", F.xxhash64("lead", F.pmod(F.col("shard"), F.col("spread"))).alias("place"))
+    shards = shards.join(sketches.select("id", "n", "bits"), ["id", "n"]).repartition("place").sortWithinPartitions("shard")
+    shards = shards.select("shard", "id", "n", "grp", "bits", "side", "lost")
     kind = dict(members.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,33 +328,33 @@ def candidate_pairs(members: DataFrame, threshold: float) -> DataFrame:
         rest: pa.Table | None = None
 
         def emit() -> pa.RecordBatch:
-            a, b, n, c = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(4))
+            a, b, k, c = (np.concatenate([f[j] for f in found]) if found else np.zeros(0, np.int64) for j in range(4))
             order = np.lexsort((b, a))
-            a, b, n, c = a[order], b[order], n[order], c[order]
+            a, b, k, c = a[order], b[order], k[order], c[order]
             first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, np.int64)
-            out = [a[first], b[first], np.add.reduceat(c, first) if len(first) else c, shared_least(n[first])]
-            found[:] = [(out[0], out[1], n[first], out[2])] if len(first) else []
+            out = [a[first], b[first], np.add.reduceat(c, first) if len(first) else c, k[first]]
+            found[:] = [(out[0], out[1], out[3], out[2])] if len(first) else []
             return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["a", "b", "c", "k"])
 
-        def keep(ids: np.ndarray, n: np.ndarray, u: np.ndarray, v: np.ndarray) -> int:
+        def keep(ids: np.ndarray, n: np.ndarray, lost: np.ndarray, u: np.ndarray, v: np.ndarray) -> int:
             different = ids[u] != ids[v]
             u, v = u[different], v[different]
             if len(u):
-                found.append((np.minimum(ids[u], ids[v]), np.maximum(ids[u], ids[v]), np.minimum(n[u], n[v]).astype(np.int64), np.ones(len(u), np.int64)))
+                found.append((np.minimum(ids[u], ids[v]), np.maximum(ids[u], ids[v]), shared_least(np.minimum(n[u], n[v])) - np.maximum(lost[u], lost[v]), np.ones(len(u), np.int64)))
             return len(u)
 
         def work(t: pa.Table) -> int:
             if not len(t):
                 return 0
             shard, ids = t.column(0).to_numpy(), t.column(1).to_numpy()
-            n, grp, side = t.column(2).to_numpy(), t.column(3).to_numpy(), t.column(5).to_numpy()
+            n, grp, side, lost = (t.column(c).to_numpy() for c in (2, 3, 5, 6))
             bits = np.frombuffer(b"".join(t.column(4).to_pylist()), np.uint64).reshape(len(t), BITS // 64)
             edges = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
             small = np.diff(edges) <= LEAF
-            total = sum(keep(ids, n, u, v) for u, v in leaf_pairs(edges[:-1][small], edges[1:][small], n, grp, bits, side, threshold))
+            total = sum(keep(ids, n, lost, u, v) for u, v in leaf_pairs(edges[:-1][small], edges[1:][small], n, grp, bits, side, threshold))
             for a, b in zip(edges[:-1][~small].tolist(), edges[1:][~small].tolist(), strict=True):
                 pairs = tree_pairs(n[a:b], grp[a:b], bits[a:b], side[a:b], threshold) + a
-                total += keep(ids, n, pairs[:, 0], pairs[:, 1])
+                total += keep(ids, n, lost, pairs[:, 0], pairs[:, 1])
             return total
 
         for batch in batches:
@@ -366,36 +386,45 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     and blank texts have none and link with nothing. component_id is the smallest key reachable by links, itself
     included. Keys are whole numbers; rows that share a key count as one document, rows without a key keep a null
     component. An empty table gives an empty result."""
-    sets = materialize(describe_sets(docs, key, text, words), "sets")
+    with Scratch() as scratch:
+        return _joined(docs, key, text, words, threshold, scratch)
+
+
+def _joined(docs: DataFrame, key: str, text: str, words: int, threshold: float, scratch: Scratch) -> DataFrame:
+    sets = scratch.materialize(describe_sets(docs, key, text, words), "sets")
     rows = sets.where("n >= 0")
     late = sets.where("n = -1").groupBy("digest").agg(F.sum(F.element_at("bands", 1)).alias("c")).where("c >= 32").orderBy(F.desc("c"), "digest").limit(FREQUENT)
     frequent = np.sort(np.array([int.from_bytes(r["digest"], "little") for r in late.select("digest").collect()], np.uint64))
     known = rows.where("n > 0 and id is not null")
-    classes = materialize(known.groupBy("digest").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits")), "classes")
-    member = materialize(known.select("id", "digest").join(classes.select("digest", "rep"), "digest").select("id", "rep"), "members")
+    classes = scratch.materialize(known.groupBy("digest").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits")), "classes")
+    member = scratch.materialize(known.select("id", "digest").join(classes.select("digest", "rep"), "digest").select("id", "rep"), "members")
+    sizes = materialize(rows.select("id", "n"), "sizes")  # the result reads these
+    kind = dict(rows.dtypes)["id"]
+    scratch.drop(sets)
 
     # the first forest
     band = classes.select("rep", F.explode("bands").alias("band"))
     centre = band.groupBy("band").agg(F.min("rep").alias("b"), F.count("*").alias("m")).where("m > 1").select("band", "b")
-    stars = materialize(band.join(centre, "band").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct(), "stars")
-    links = materialize(verified_pairs(stars, docs, key, text, words, threshold), "links")
+    stars = scratch.materialize(band.join(centre, "band").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct(), "stars")
+    links = verified_pairs(stars, docs, key, text, words, threshold)
     same = member.where("id <> rep").select(F.col("id").alias("src"), F.col("rep").alias("dst"))
     edges = links.select(F.col("a").alias("src"), F.col("b").alias("dst"))
     forest = connected_components(edges.unionByName(same))
 
     # the links that it missed
-    copies = materialize(member.where("id <> rep").select(F.col("id").alias(key)).distinct(), "copies")
+    copies = scratch.materialize(member.where("id <> rep").select(F.col("id").alias(key)).distinct(), "copies")
     total = classes.agg(F.sum("n")).first()[0] or 0
     firsts = docs.where(F.col(key).isNotNull()).select(key, text)
     leading = first_shingles(join_ids(firsts, copies, key, "left_anti"), key, text, words, threshold, frequent, total)
-    group = classes.join(forest.withColumnRenamed("node", "rep"), "rep", "left").select(F.col("rep").cast("bigint").alias("rep"), F.coalesce("component", "rep").cast("bigint").alias("grp"), "n", "bits")
-    group = materialize(group, "groups")
-    placed = materialize(leading.join(group.select(F.col("rep").alias("id"), "grp"), "id"), "placed")
-    mixed = placed.groupBy("shingle").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 <> g1").select("shingle")
-    met = placed.join(mixed, "shingle").select("shingle", "id").join(group.withColumnRenamed("rep", "id"), "id").select("shingle", "id", "n", "grp", "bits")
-    pairs = materialize(candidate_pairs(met, threshold), "pairs")
-    kind = dict(rows.dtypes)["id"]
-    more = materialize(verified_pairs(pairs.select(F.col("a").cast(kind), F.col("b").cast(kind)), docs, key, text, words, threshold), "links")
+    group = classes.join(forest.withColumnRenamed("node", "rep"), "rep", "left").select(F.col("rep").cast("bigint").alias("id"), F.coalesce("component", "rep").cast("bigint").alias("grp"), "n", "bits")
+    group = scratch.materialize(group, "groups")
+    scratch.drop(classes)
+    placed = scratch.materialize(leading.join(group.select("id", "grp"), "id"), "placed")
+    met = scratch.materialize(met_shingles(placed, group, threshold), "met")
+    scratch.drop(placed)
+    pairs = scratch.materialize(candidate_pairs(met, group, threshold), "pairs")
+    scratch.drop(met)
+    more = verified_pairs(pairs.select(F.col("a").cast(kind), F.col("b").cast(kind)), docs, key, text, words, threshold)
     final = connected_components(edges.unionByName(same).unionByName(more.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
-    out = rows.join(final.withColumnRenamed("node", "id"), "id", "left")
+    out = sizes.join(final.withColumnRenamed("node", "id"), "id", "left")
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
