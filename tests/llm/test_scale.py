@@ -4,9 +4,10 @@ import itertools
 import pathlib
 import random
 
+import numpy as np
 from llm.conftest import make_docs
 
-from tidemark.llm import jaccard_join, line_dedup
+from tidemark.llm import decontaminate, jaccard_join, line_dedup
 from tidemark.llm.common import connected_components
 
 
@@ -87,3 +88,37 @@ def test_sets_without_enough_common_shingles_are_left_out(spark):
     assert {r[1] for r in out} == {0, 1, *range(60, 100)}
     assert {(r[0], r[4]) for r in out if r[1] < 2} == {(100 + s, 3) for s in range(20)}
     assert sum(r[1] >= 60 for r in out) == 40 * 30 and {r[4] for r in out if r[1] >= 60} == {0}
+
+
+# op7
+def test_products_of_short_and_long_rows():
+    rng = np.random.default_rng(6)
+    size, width = 1 << decontaminate.TERM_BITS, 5
+    rows = [(rng.zipf(1.3, n) % size).astype("<u2") for n in (1, 31, 32, 33, 64, 65, 95, 96, 97, 2000, 9000)]
+    scale = rng.random(len(rows))
+    weights = np.where(rng.random(size) < 0.1, 0, rng.random(size)).astype(np.float32)
+    expected = {}
+    dense = rng.standard_normal((size, width)).astype(np.float32)
+    sparse = rng.integers(0, width, size), rng.choice(np.array([-1.0, 1.0], np.float32), size)
+    spread = np.zeros((size, width))
+    spread[np.arange(size), sparse[0]] = sparse[1]
+    for name, v in (("dense", dense), ("sparse", spread)):
+        expected[name] = np.zeros((size, width))
+        for terms, factor in zip(rows, scale, strict=True):
+            for b in range(0, max(1, len(terms) - 64), 32):
+                own = terms[b : b + 96]
+                np.add.at(expected[name], own, factor**2 * (v[own] * weights[own, None]).sum(axis=0))
+        expected[name][weights == 0] = 0
+    given = {"dense": np.concatenate([dense * weights[:, None], np.zeros((1, width), np.float32)]), "sparse": (sparse[0], sparse[1] * weights)}
+    for name, v in given.items():
+        out = np.zeros((size, width), np.float32)
+        decontaminate._add_products(out, v, weights != 0, [r.tobytes() for r in rows], scale)
+        assert np.abs(out - expected[name]).max() < 1e-4 * np.abs(expected[name]).max()
+
+
+def test_few_rows_are_taken_in_vain():
+    rest = np.sort(np.bincount(np.random.default_rng(7).zipf(1.4, 200_000) % 16384, minlength=16384) % 64)[::-1]
+    rest = rest[rest > 0]
+    batches = list(decontaminate._batches(rest))
+    assert [b[0] for b in batches[1:]] == [b[1] for b in batches[:-1]] and batches[-1][1] == len(rest)
+    assert sum((b - a) * most for a, b, most in batches) < 1.2 * rest.sum() + 1024  # all pieces had 16 rows before

@@ -9,7 +9,7 @@ enough of the item, or somewhat less if it covers the item's answer (its last qu
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -122,47 +122,59 @@ def _start(width: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, width, 1 << TERM_BITS), rng.choice(np.array([-1.0, 1.0], np.float32), 1 << TERM_BITS)
 
 
-def _grouped_sums(matrix: np.ndarray, index: np.ndarray, begin: np.ndarray, end: np.ndarray, width: int) -> np.ndarray:
-    """Sums of matrix[index[begin:end]] for groups of at most `width` rows; the matrix ends in a row of zeros."""
-    out, step = np.empty((len(begin), matrix.shape[1]), np.float32), np.arange(width)
-    index = np.append(index, len(matrix) - 1)
-    size = 1024 // width
-    for a in range(0, len(begin), size):
-        place = begin[a : a + size, None] + step
-        out[a : a + size] = matrix[index[np.where(place < end[a : a + size, None], place, len(index) - 1)]].sum(axis=1)
+def _batches(length: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(first, stop, rows of the longest) of groups in descending order of length: about 1024 rows of a matrix at a time."""
+    at = 0
+    while at < len(length):
+        most = max(1, int(length[at]))
+        stop = min(len(length), at + max(1, 1024 // most))
+        yield at, stop, most
+        at = stop
+
+
+def _grouped_sums(matrix: np.ndarray, index: np.ndarray, begin: np.ndarray, end: np.ndarray, batches: Iterable[tuple[int, int, int]]) -> np.ndarray:
+    """Sums of matrix[index[begin:end]] for the groups of every batch; the matrix ends in a row of zeros."""
+    out, taken = np.empty((len(begin), matrix.shape[1]), np.float32), np.zeros((0, matrix.shape[1]), np.float32)
+    index, step = np.append(index, len(matrix) - 1).astype(np.intp), np.arange(1024)
+    for a, b, most in batches:
+        place = begin[a:b, None] + step[:most]
+        rows = index[np.where(place < end[a:b, None], place, len(index) - 1)].ravel()
+        if len(taken) < len(rows):
+            taken = np.empty((len(rows), matrix.shape[1]), np.float32)
+        np.take(matrix, rows, axis=0, out=taken[: len(rows)], mode="clip")  # the same memory each time
+        np.add.reduce(taken[: len(rows)].reshape(b - a, most, -1), axis=1, out=out[a:b])
     return out
 
 
 def _add_products(out: np.ndarray, v: np.ndarray | tuple[np.ndarray, np.ndarray], live: np.ndarray, blobs: list, scale: np.ndarray) -> None:
     """Add A'A V to `out` for the passages of some rows, but for the weights of the terms of `out`; `live` terms have one.
 
-    V is weighted and ends in a row of zeros, or is (column, weighted sign) of every term."""
+    V is weighted and ends in a row of zeros, or is (column, weighted sign) of every term. A row has the blocks of a passage at
+    least, empty ones at its end, so sums of neighbouring blocks never mix two rows where a passage begins."""
     width = out.shape[1]
     count = np.array([len(b) // 2 for b in blobs])
-    blocks = -(-count // BLOCK_WORDS)
-    last = np.cumsum(blocks)
+    blocks = np.maximum(-(-count // BLOCK_WORDS), PASSAGE_BLOCKS)
+    last, stop = np.cumsum(blocks), np.cumsum(count)
     row = np.repeat(np.arange(len(blobs)), blocks)
     place = np.arange(len(row)) - (last - blocks)[row]
-    begin = (np.cumsum(count) - count)[row] + BLOCK_WORDS * place
-    end = np.minimum(begin + BLOCK_WORDS, np.cumsum(count)[row])
+    begin = np.minimum((stop - count)[row] + BLOCK_WORDS * place, stop[row])
+    end = np.minimum(begin + BLOCK_WORDS, stop[row])
     terms = np.frombuffer(b"".join(blobs), "<u2")
     of = np.repeat(np.arange(len(row)), end - begin)
     if isinstance(v, tuple):
         sums = np.bincount(of * width + v[0][terms], v[1][terms], len(row) * width).astype(np.float32).reshape(-1, width)
     else:
-        sums = _grouped_sums(v, terms, begin, end, BLOCK_WORDS)
+        sums = _grouped_sums(v, terms, begin, end, ((a, min(a + 32, len(row)), BLOCK_WORDS) for a in range(0, len(row), 32)))
     whole = sums.copy()
     for k in range(1, PASSAGE_BLOCKS):
-        same = np.flatnonzero(row[k:] == row[:-k])
-        whole[same] += sums[same + k]
-    begins = (place == 0) | (place + PASSAGE_BLOCKS <= blocks[row])  # a passage begins at this block
+        whole[:-k] += sums[k:]
+    begins = place + PASSAGE_BLOCKS <= blocks[row]  # a passage begins at this block
     whole *= (begins * scale[row] ** 2).astype(np.float32)[:, None]
     back = np.zeros((len(row) + 1, width), np.float32)
     back[:-1] = whole
     for k in range(1, PASSAGE_BLOCKS):
-        same = np.flatnonzero(row[k:] == row[:-k])
-        back[same + k] += whole[same]
-    # the same sums the other way: of the blocks that have a term, 16 occurrences at a time
+        back[k:-1] += whole[:-k]
+    # the same sums the other way: of the blocks that have a term, 64 occurrences at a time and then the rest
     used = np.flatnonzero(live[terms])
     if not len(used):
         return
@@ -170,10 +182,16 @@ def _add_products(out: np.ndarray, v: np.ndarray | tuple[np.ndarray, np.ndarray]
     block, ordered = of[order], terms[order]
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     n = np.diff(np.append(first, len(ordered)))
-    pieces = -(-n // 16)
-    owner, start = np.repeat(np.arange(len(first)), pieces), np.cumsum(pieces) - pieces
-    a = first[owner] + 16 * (np.arange(len(owner)) - start[owner])
-    out[ordered[first]] += np.add.reduceat(_grouped_sums(back, block, a, (first + n)[owner], 16), start, axis=0)
+    many = np.flatnonzero(n >= 64)
+    if len(many):
+        pieces = n[many] // 64
+        start = np.cumsum(pieces) - pieces
+        a = np.repeat(first[many] - 64 * start, pieces) + 64 * np.arange(pieces.sum())
+        out[ordered[first[many]]] += np.add.reduceat(_grouped_sums(back, block, a, a + 64, _batches(np.full(len(a), 64))), start, axis=0)
+    rest = n % 64
+    few = np.argsort(-rest, kind="stable")[: np.count_nonzero(rest)]
+    stop = (first + n)[few]
+    out[ordered[first[few]]] += _grouped_sums(back, block, stop - rest[few], stop, _batches(rest[few]))
 
 
 def _through(rows: DataFrame, weights: np.ndarray, basis: Tall | tuple[np.ndarray, np.ndarray], width: int) -> DataFrame:
