@@ -122,3 +122,23 @@ def test_few_rows_are_taken_in_vain():
     batches = list(decontaminate._batches(rest))
     assert [b[0] for b in batches[1:]] == [b[1] for b in batches[:-1]] and batches[-1][1] == len(rest)
     assert sum((b - a) * most for a, b, most in batches) < 1.2 * rest.sum() + 1024  # all pieces had 16 rows before
+
+
+def test_a_passage_is_read_once_for_all_its_items():
+    reads = []
+
+    class Words(np.ndarray):
+        def tolist(self):
+            reads.append(len(self))
+            return super().tolist()
+
+    rng = np.random.default_rng(8)
+    text = rng.integers(0, 1 << 63, 96, dtype=np.uint64) * np.uint64(2)
+    projection = np.concatenate([rng.standard_normal((1 << decontaminate.TERM_BITS, 64)).astype(np.float32), np.zeros((1, 64), np.float32)])
+    items = [text[k : k + 40] for k in range(30)]
+    latent = np.stack([projection[decontaminate._terms(w)].sum(axis=0) for w in items])
+    q = decontaminate.Queries(list(range(30)), items, latent, projection)
+    lists = [w.tolist() for w in items]
+    found = decontaminate._search(text.view(Words), np.array([0, 96]), q, (latent**2).sum(axis=1), lists, [w[-10:] for w in lists], 0.75, (0.6, 0.8))
+    assert {f: v[1:] for f, v in found.items()} == {(0, i): (1.0, 1.0) for i in range(30)}
+    assert len(reads) <= 3  # one for each passage that begins in the text; 30 and more before

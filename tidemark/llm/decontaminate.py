@@ -387,13 +387,8 @@ def _search(hashes, at, q: Queries, energy, lists, tails, cover: float, answered
     if not len(row):
         return {}
     begin = at[:-1][row] + BLOCK_WORDS * (np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks))
-    nothing = len(q.projection) - 1  # a row of zeros behind the terms, for places after the end of a text
-    terms = np.append(_terms(hashes), nothing)
-    sums = np.empty((len(row), q.projection.shape[1]), np.float32)
-    end, step = at[1:][row], np.arange(BLOCK_WORDS)
-    for a in range(0, len(row), 32):
-        place = begin[a : a + 32, None] + step
-        sums[a : a + 32] = q.projection[terms[np.where(place < end[a : a + 32, None], place, len(hashes))]].sum(axis=1)
+    end = np.minimum(begin + BLOCK_WORDS, at[1:][row])
+    sums = _grouped_sums(q.projection, _terms(hashes), begin, end, ((a, min(a + 32, len(row)), BLOCK_WORDS) for a in range(0, len(row), 32)))
     passage = sums.copy()
     for k in range(1, PASSAGE_BLOCKS):
         same = np.flatnonzero(row[k:] == row[:-k])
@@ -402,13 +397,16 @@ def _search(hashes, at, q: Queries, energy, lists, tails, cover: float, answered
     for first in range(0, len(lists), 2048):
         part = slice(first, first + 2048)
         dot = passage @ q.latent[part].T
+        last = -1
         for p, i in np.argwhere(dot >= SHARE * energy[part][None, :]).tolist():
-            r, i = int(row[p]), i + first
-            a = max(int(at[r]), int(begin[p]) - 16)
-            b = min(int(at[r + 1]), int(begin[p]) + PASSAGE_BLOCKS * BLOCK_WORDS + 16)
-            window = hashes[a:b].tolist()
-            known = set(window)
-            if sum(w in known for w in lists[i]) < min(cover, answered[0]) * len(lists[i]):
+            i += first
+            if p != last:  # the items of a passage follow each other
+                last, r = p, int(row[p])
+                a = max(int(at[r]), int(begin[p]) - 16)
+                b = min(int(at[r + 1]), int(begin[p]) + PASSAGE_BLOCKS * BLOCK_WORDS + 16)
+                window = hashes[a:b].tolist()
+                known = set(window)
+            if sum(map(known.__contains__, lists[i])) < min(cover, answered[0]) * len(lists[i]):
                 continue  # no common subsequence can be longer
             share, tail = _compare(lists[i], tails[i], window)
             if share >= cover or share >= answered[0] and tail >= answered[1]:
