@@ -142,3 +142,31 @@ def test_a_passage_is_read_once_for_all_its_items():
     found = decontaminate._search(text.view(Words), np.array([0, 96]), q, (latent**2).sum(axis=1), lists, [w[-10:] for w in lists], 0.75, (0.6, 0.8))
     assert {f: v[1:] for f, v in found.items()} == {(0, i): (1.0, 1.0) for i in range(30)}
     assert len(reads) <= 3  # one for each passage that begins in the text; 30 and more before
+
+
+# op2
+def test_lines_are_taken_out_in_one_way_at_any_size(spark):
+    """The join with the texts is dealt by key on small tables too, not broadcast."""
+    docs = make_docs(spark, ["one two three four five six", "one two three four five six\nseven", None, "x"])
+    out = line_dedup.dedup_lines(docs)
+    assert {r["doc_id"]: r["n_lines_removed"] for r in out.collect()} == {0: 0, 1: 1, 2: 0, 3: 0}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+# pipeline
+def test_last_components_start_from_the_first_forest(spark, monkeypatch):
+    """Copies of a linked text are no chain by then."""
+    given = []
+
+    def seen(edges, *args):
+        given.append([(r["src"], r["dst"]) for r in edges.collect()])
+        return connected_components(edges, *args)
+
+    monkeypatch.setattr(jaccard_join, "connected_components", seen)
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words), " ".join(words[:-1]), " ".join(words[:-1])]
+    assert {r["component_id"] for r in jaccard_join.jaccard_groups(make_docs(spark, texts)).collect()} == {0}
+    first, last = given
+    assert {s for s, _ in first} & {d for _, d in first} == {1}
+    assert not {s for s, _ in last} & {d for _, d in last}

@@ -425,6 +425,7 @@ def _joined(docs: DataFrame, key: str, text: str, words: int, threshold: float,
     pairs = scratch.materialize(candidate_pairs(met, group, threshold), "pairs")
     scratch.drop(met)
     more = verified_pairs(pairs.select(F.col("a").cast(kind), F.col("b").cast(kind)), docs, key, text, words, threshold)
-    final = connected_components(edges.unionByName(same).unionByName(more.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
+    stars = forest.where("node <> component").select(F.col("node").alias("src"), F.col("component").alias("dst"))  # stands for its links
+    final = connected_components(stars.unionByName(more.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
     out = sizes.join(final.withColumnRenamed("node", "id"), "id", "left")
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))

@@ -238,7 +238,9 @@ def _gone_lines(docs: DataFrame, key: str, text: str, similarity: float, scratch
     busy = scratch.materialize(busy.select("sim", F.when(F.col("least") == F.col("most"), label).otherwise(F.xxhash64("sim", F.lit(1))).alias("grp"), (F.col("least") != F.col("most")).alias("mixed")), "busy")
     pairs = similar_hashes(busy, sims.count(), every=True).unionByName(busy.where("mixed").select(F.col("sim").alias("x"), F.col("sim").alias("y")))
     more = linked_lines(scratch.materialize(spots(rest, rest, pairs), "spots"), docs, key, text, similarity)
-    groups = connected_components(links.unionByName(more).select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    # the forest stands for the links that it was made of
+    stars = forest.where("node <> component").select(F.col("node").alias("src"), F.col("component").alias("dst"))
+    groups = connected_components(stars.unionByName(more.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
     better = groups.where("node <> component").select(F.col("node").alias("first"), F.col("component").alias("kept"))
     judged = nodes.join(better, "first", "left").where("n > 1 or kept is not null").select("d1", "d2", F.coalesce("kept", "first").alias("kept"))
     gone = lines.join(judged, ["d1", "d2"]).where(F.struct("doc", "line") != F.col("kept"))
@@ -254,7 +256,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", simila
     docs = docs.drop("n_lines_removed")
     with Scratch() as scratch:
         gone = _gone_lines(docs, key, text, similarity, scratch)
-    out = docs.join(gone, key, "left")
+    # never broadcast: the list grows with the texts, and a plan that turns with its size shuffles more than in proportion
+    out = docs.join(gone.hint("shuffle_hash"), key, "left")
     left_over = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda line, i: ~F.array_contains(F.col("_gone"), i)), "\n")
     out = out.withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(left_over)).withColumn("n_lines_removed", F.greatest(F.size("_gone"), F.lit(0)).cast("long"))
     return out.select(*docs.columns, "n_lines_removed")
