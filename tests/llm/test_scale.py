@@ -5,10 +5,12 @@ import pathlib
 import random
 
 import numpy as np
+import pyarrow as pa
 from llm.conftest import make_docs
 
-from tidemark.llm import decontaminate, jaccard_join, line_dedup
+from tidemark.llm import common, decontaminate, jaccard_join, line_dedup, packing, token_ids
 from tidemark.llm.common import connected_components
+from tidemark.llm.queries import word_tokenizer
 
 
 def kept(spark):
@@ -170,3 +172,57 @@ def test_last_components_start_from_the_first_forest(spark, monkeypatch):
     first, last = given
     assert {s for s, _ in first} & {d for _, d in first} == {1}
     assert not {s for s, _ in last} & {d for _, d in last}
+
+
+# pipeline
+def test_plans_of_component_rounds_are_short(spark, monkeypatch):
+    """One join a plan; both steps of a round in one plan had four, as a step that is used twice is planned twice."""
+    joins, stored = [], common._stored
+
+    def seen(df, purpose):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join"))
+        return stored(df, purpose)
+
+    monkeypatch.setattr(common, "_stored", seen)
+    rng = random.Random(9)
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(300 + i, 301 + i) for i in range(40)] + [(400, i) for i in range(401, 440)] + [(7, 7), (None, 3)]
+    got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    top = {n: n for e in edges for n in e if None not in e and e[0] != e[1]}
+    for _ in top:
+        for a, b in edges:
+            if a in top and b in top:
+                top[a] = top[b] = min(top[a], top[b])
+    assert got == top
+    assert max(joins) == 1
+
+
+def test_trees_of_lines_are_planned_apart(spark, monkeypatch):
+    """Lines of equal hashes and lines of near ones are two tables; their union had four joins."""
+    joins, stored = [], common._stored
+
+    def seen(df, purpose):
+        joins.append((purpose, df._jdf.queryExecution().optimizedPlan().toString().count("Join")))
+        return stored(df, purpose)
+
+    monkeypatch.setattr(common, "_stored", seen)
+    line_dedup.dedup_lines(make_docs(spark, ["one two three four five six", "one two three four five six\nseven", None, "x"])).collect()
+    assert max(n for purpose, n in joins if purpose == "spots") <= 2
+
+
+def test_the_driver_loads_no_tokenizer(spark, monkeypatch):
+    monkeypatch.setattr(token_ids, "_loaded", {})
+    texts = ["some words, and more", None, "", "x " * 3000]
+    pieces = packing.pack(make_docs(spark, texts), word_tokenizer()).collect()
+    assert not token_ids._loaded
+    whole = dict(zip(range(4), token_ids.encoder(word_tokenizer())[0]([t or "" for t in texts]), strict=True))
+    for i, own in whole.items():
+        ids = b"".join(bytes(p["ids"]) for p in sorted((p for p in pieces if p["doc_id"] == i), key=lambda p: p["start"]))
+        assert np.frombuffer(ids, "<u4").tolist() == [*np.frombuffer(own, "<u2").tolist(), 1]
+
+
+def test_ids_of_either_width_are_read():
+    for kind in ("<u2", "<u4"):
+        rows = [[5, 6, 7], [], [65535]]
+        column = pa.array([b"left out"] + [np.array(r, kind).tobytes() for r in rows], pa.binary()).slice(1)
+        data, begin = packing._blobs(column, np.array([3, 0, 1]))
+        assert data.tolist() == [5, 6, 7, 65535] and begin.tolist() == [0, 3, 3]

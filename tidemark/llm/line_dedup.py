@@ -224,10 +224,12 @@ def _gone_lines(docs: DataFrame, key: str, text: str, similarity: float, scratch
     none = F.lit(None).cast(dict(nodes.dtypes)["first"])
     plain = nodes.withColumn("grp", none)
     heads = sims.select("sim", F.col("one.first").alias("first"), F.col("one.size").alias("size")).withColumn("grp", none)
-    near = scratch.materialize(similar_hashes(sims.withColumn("grp", F.col("sim")), sims.count(), every=False), "near")
+    count = sims.count()
+    near = scratch.materialize(similar_hashes(sims.withColumn("grp", F.col("sim")), count, every=False), "near")
     equal = scratch.materialize(sims.where("n > 1").select(F.col("sim").alias("x"), F.col("sim").alias("y")), "equal")
-    trees = spots(heads, heads, near).unionByName(spots(plain, heads, equal))
-    links = linked_lines(scratch.materialize(trees, "spots"), docs, key, text, similarity)
+    # two tables, as the driver's memory grows with the joins of a plan
+    trees = [scratch.materialize(spots(left, heads, pairs), "spots") for left, pairs in ((heads, near), (plain, equal))]
+    links = linked_lines(trees[0].unionByName(trees[1]), docs, key, text, similarity)
     forest = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
     # then every pair of near hashes, of those that have any, whose lines are in different trees
     busy = near.select(F.explode(F.array("x", "y")).alias("sim")).unionByName(equal.select(F.col("x").alias("sim"))).distinct()
@@ -236,7 +238,7 @@ def _gone_lines(docs: DataFrame, key: str, text: str, similarity: float, scratch
     label = F.xxhash64(F.col("least"))
     busy = rest.groupBy("sim").agg(F.min("grp").alias("least"), F.max("grp").alias("most"))
     busy = scratch.materialize(busy.select("sim", F.when(F.col("least") == F.col("most"), label).otherwise(F.xxhash64("sim", F.lit(1))).alias("grp"), (F.col("least") != F.col("most")).alias("mixed")), "busy")
-    pairs = similar_hashes(busy, sims.count(), every=True).unionByName(busy.where("mixed").select(F.col("sim").alias("x"), F.col("sim").alias("y")))
+    pairs = similar_hashes(busy, count, every=True).unionByName(busy.where("mixed").select(F.col("sim").alias("x"), F.col("sim").alias("y")))
     more = linked_lines(scratch.materialize(spots(rest, rest, pairs), "spots"), docs, key, text, similarity)
     # the forest stands for the links that it was made of
     stars = forest.where("node <> component").select(F.col("node").alias("src"), F.col("component").alias("dst"))

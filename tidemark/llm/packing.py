@@ -129,7 +129,6 @@ def pack(
         shares = np.array([g or least for g in given], float)
     number = {r["queue"]: i for i, r in enumerate(rows)}
     plan = Schedule(totals, shares, length, packet)
-    wide = encoder(tokenizer)[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,7 +144,7 @@ def pack(
                 row, first, size, place = (np.concatenate(x) for x in zip(*found, strict=True))
                 order = np.argsort(row, kind="stable")
                 row, first, size, place = row[order], first[order] - begins[row[order]], size[order], place[order]
-                data, offsets = _blobs(part.column(4), wide)
+                data, offsets = _blobs(part.column(4), counts)
                 where = offsets[row] + first
                 at_out = np.concatenate([[0], np.cumsum(size)])
                 ids = data[np.repeat(where - at_out[:-1], size) + np.arange(at_out[-1])].astype("<u4")
@@ -160,7 +159,9 @@ def pack(
     return placed.mapInArrow(run, f"`{key}` {dict(tokens.dtypes)['key']}, `{source}` string, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint")
 
 
-def _blobs(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of a binary column and where each row's begin."""
+def _blobs(column: pa.Array, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a binary column, of rows with so many ids, and where each row's begin. The bytes tell how wide an id is, so that only
+    tasks that make ids load the tokenizer."""
     data, offsets = text_bytes(column)
+    kind = "<u2" if len(data) == 2 * int(counts.sum()) else "<u4"
     return np.ascontiguousarray(data).view(kind), offsets[:-1] // np.dtype(kind).itemsize
