@@ -115,6 +115,15 @@ def test_language_model_query(spark):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_language_model_query_scores_trigrams(spark, tmp_path):
+    rows = [(i, " ".join(random.Random(i % 40).choices("abcdef", k=3 + i % 9)) if i % 11 else None) for i in range(120)]
+    make_docs(spark, [t for _, t in rows]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["score"] for r in queries.op11_language_model(spark, str(tmp_path)).collect()}
+    of = {order: PlainModel([t for i, t in rows if crc(i) % 7 != 2], order) for order in (2, 3)}
+    assert got == pytest.approx({i: of[3].score(t) for i, t in rows}, rel=1e-9)
+    assert sum(abs(got[i] - of[2].score(t)) > 0.01 for i, t in rows) > 60
+
+
 def test_language_model_on_awkward_rows(spark, edge_docs):
     odd = edge_docs.withColumnsRenamed({"lang": "lm_score", "source": "shard"}).selectExpr("*", "'x' AS blob", "1 AS n_tokens")
     model = kneser_ney.train(odd, order=2)
