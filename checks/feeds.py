@@ -17,7 +17,7 @@ from tidemark.operators.profile import layout_conformance
 from tidemark.plans import feeds
 from tidemark.plans.incremental import Pipeline, run_incremental
 from tidemark.schemas import PARTICIPATION_COLUMNS, REGISTRATION_COLUMNS
-from tidemark.session import work_folder
+from tidemark.session import shuffles_dropped, work_folder
 from tidemark.sinks.backups import backup_table, restore_backup
 from tidemark.sinks.tables import append_master, create_table, export_tsv
 from tidemark.sources.files import move_file, part_files, remove_folder
@@ -31,12 +31,13 @@ from tidemark.streaming.snapshots import stream_participations, stream_registrat
 def land(spark: SparkSession, rows: DataFrame, stamp: Column, stem: str, folder: str | None = None) -> str:
     """Write rows as dated snapshot files `YYYYMMDD_<stem>...txt` in a folder, by default a new one; returns it."""
     raw, folder = work_folder(spark, "raw"), folder or work_folder(spark, "landing")
-    (
-        rows.withColumn("stamp", stamp).drop("data_date", "stamp_text").hint("rebalance", "stamp")
-        .write.partitionBy("stamp")
-        .options(sep="\t", header=True, quote='"', escape='"', encoding="ISO-8859-1", emptyValue="")
-        .csv(raw)
-    )
+    with shuffles_dropped(spark):
+        (
+            rows.withColumn("stamp", stamp).drop("data_date", "stamp_text").hint("rebalance", "stamp")
+            .write.partitionBy("stamp")
+            .options(sep="\t", header=True, quote='"', escape='"', encoding="ISO-8859-1", emptyValue="")
+            .csv(raw)
+        )
     for path in part_files(spark, raw):
         date = path.split("stamp=")[1][:8]
         move_file(spark, path, f"{folder}/{date}_{stem}.{uuid.uuid4().hex}.txt")

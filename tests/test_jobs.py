@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -391,6 +392,53 @@ def test_index_of_stored_rows_equals_the_table(spark, tmp_path, monkeypatch):
     assert logged(spark, tables["broadcast"]) == logged(spark, tables["shuffled"]) == logged(spark, tables["plain"])
 
 
+def test_lots_of_a_series_store_what_one_pass_stores(spark, tmp_path, monkeypatch):
+    """With filters, with large ones, and after the index was written anew; no lot holds all fingerprints."""
+    whole, lots = str(tmp_path / "whole"), str(tmp_path / "lots")
+    held, kept = [], feeds.work_table
+
+    def noted(rows, purpose):
+        if purpose == "fresh":
+            held.append(rows.count())
+        return kept(rows, purpose)
+
+    monkeypatch.setattr(feeds, "work_table", noted)
+    monkeypatch.setattr(feeds, "INDEX_PARTS", 2)
+    for k, stamp in enumerate(["20240101", "20240115", "20240108"]):
+        intra_batch = "dedupe" if k == 1 else "keep"
+        rows = [participation(f"{n}", voting_method=m) for n in range(20 * k, 20 * k + 60) for m in ("A", "", "A")] + [participation("hot")] * 50
+        path = part_file(tmp_path / "in", stamp, rows)
+        with monkeypatch.context() as small:
+            one = feeds.apply_participation(spark, path, stamp, whole, intra_batch)
+            del held[:]
+            small.setattr(feeds, "LOT_ROWS", 120)
+            small.setattr(feeds, "BROADCAST_ROWS", 0 if k % 2 else 500_000)
+            small.setattr(feeds, "FILTER_BLOCKS", 0 if k > 1 else 8192)
+            assert feeds.apply_participation(spark, path, stamp, lots, intra_batch) == one
+            assert len(held) == 2 and max(held) < sum(held)
+        manifest = current_manifest(spark, lots)
+        stored_fps = feeds.read_table(spark, lots, schemas.PARTICIPATION_LOG, feeds._FINGERPRINT_FIELD).select("_digest").distinct()
+        assert rows_of(read_side(spark, lots, manifest, *(f for f, _, _ in feeds._index_parts(manifest))).select("_fp")) == rows_of(stored_fps)
+    assert logged(spark, whole) == logged(spark, lots) and len(logged(spark, lots)) > 290
+    assert current_manifest(spark, whole).rows == current_manifest(spark, lots).rows
+
+
+def test_shuffle_files_go_when_a_table_has_been_written(spark, tmp_path):
+    """Not only when the driver next collects its garbage."""
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    path = part_file(tmp_path / "in", "20240101", [participation(f"{k}") for k in range(50)])
+    before = files()
+    with feeds.work_table(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "shuffled") as found:
+        assert found.count() == 7
+    feeds.apply_participation(spark, path, "20240101", str(tmp_path / "table"), "dedupe")
+    until = time.time() + 10
+    while len(left := {f for f in files() - before if f.endswith(".data")}) > 2 and time.time() < until:
+        time.sleep(0.2)
+    assert len(left) <= 2  # of the small counts, which are no tables
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_stored_fingerprints_are_not_shuffled_and_only_some_buckets_read(spark, tmp_path):
     """The plan that looks up a few fingerprints: buckets by partition, the stored side streams past a broadcast."""
     table = str(tmp_path / "table")

@@ -7,6 +7,9 @@ fingerprint in some hundreds a false hit, which the exact comparison removes.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +25,11 @@ def bucket_of(fingerprint: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit(7), fingerprint), F.lit(BUCKETS)).cast("int")
 
 
+def of_lot(fingerprint: Column, lots: int, lot: int) -> Column:
+    """Does a fingerprint belong to this one of `lots`, a power of two? A lot holds whole buckets, or lies in one."""
+    return F.pmod(F.xxhash64(F.lit(7), fingerprint), F.lit(lots)) == lot
+
+
 def blocks_for(keys: int) -> int:
     """Blocks of a filter over so many keys."""
     return max(1, -(-keys * BITS_PER_KEY // BLOCK_BITS))
@@ -36,10 +44,13 @@ def _bits(fingerprint: Column) -> list[Column]:
 
 
 def bloom_filter(fingerprints: DataFrame, blocks: int) -> DataFrame:
-    """(block, bits) over the column FINGERPRINT. Keys are shuffled by block first, so that each bitmap is made once."""
+    """(block, bits) over the column FINGERPRINT. Keys are shuffled by block first, so that each bitmap is made once; a key's
+    bits travel as one number."""
     fp = F.col(FINGERPRINT)
-    dealt = fingerprints.select(_block(fp, blocks).alias("block"), F.array(*_bits(fp)).alias("bits")).repartition("block")
-    return dealt.select("block", F.explode("bits").alias("bit")).groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    packed = functools.reduce(operator.add, [bit * F.lit(BLOCK_BITS**k) for k, bit in enumerate(_bits(fp))])
+    dealt = fingerprints.select(_block(fp, blocks).alias("block"), packed.alias("bits")).repartition("block")
+    bits = F.array(*[F.expr(f"bits div {BLOCK_BITS**k} % {BLOCK_BITS}") for k in range(PROBES)])
+    return dealt.select("block", F.explode(bits).alias("bit")).groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 
 def may_contain(keys: DataFrame, bloom: DataFrame, blocks: int, flag: str) -> DataFrame:

@@ -29,11 +29,11 @@ from tidemark.operators.changes import IntraBatch, NullEquality, first_batch_row
 from tidemark.operators.clean import align_to_schema, harmonize_layout, normalize_whitespace, parse_columns, with_snapshot_date
 from tidemark.operators.joins import split_join
 from tidemark.operators.keys import KeyViolation, latest_per_key
-from tidemark.operators.membership import BUCKET, FINGERPRINT, blocks_for, bloom_filter, bucket_of, may_contain
+from tidemark.operators.membership import BUCKET, FINGERPRINT, blocks_for, bloom_filter, bucket_of, may_contain, of_lot
 from tidemark.operators.series import DIGEST, HAS_NULL, LAYOUT, MARK_FIELDS, MARKS, decide_series, with_marks
 from tidemark.schemas import KEY, SNAPSHOT_DATE
-from tidemark.session import work_folder
-from tidemark.sinks.tables import Draft, NothingToRebuild, newest_partition
+from tidemark.session import shuffles_dropped, work_folder
+from tidemark.sinks.tables import CODEC, Draft, NothingToRebuild, newest_partition
 from tidemark.sources.files import remove_folder
 from tidemark.sources.manifest import Manifest, current_manifest
 from tidemark.sources.snapshots import BROKEN_QUOTES, LONG_ROW, SHORT_ROW, list_snapshots, read_dated_snapshots, read_snapshot
@@ -53,6 +53,8 @@ LATEST, SKIPPED, FINGERPRINTS, BLOOM = "latest", "skipped", "fingerprints", "blo
 NOTED = "noted"
 #: Fingerprints (a few dozen bytes each) that may be broadcast, by count, and parts of an index before it is written anew.
 BROADCAST_ROWS, INDEX_PARTS = 500_000, 8
+#: Participation rows decided at a time, and blocks (4 KB each) of Bloom filters up to which many fingerprints are tested against them.
+LOT_ROWS, FILTER_BLOCKS = 32_000_000, 8_192
 
 
 class LateSnapshot(RuntimeError):
@@ -129,7 +131,8 @@ def work_table(rows: DataFrame, purpose: str) -> Iterator[DataFrame]:
     """Keep rows as a table in the shared work folder while they are read several times."""
     spark, path = rows.sparkSession, work_folder(rows.sparkSession, purpose)
     try:
-        rows.write.parquet(path)
+        with shuffles_dropped(spark):
+            rows.write.parquet(path, compression=CODEC)
         yield spark.read.schema(rows.schema).parquet(path)
     finally:
         remove_folder(spark, path)
@@ -293,51 +296,90 @@ def _index_parts(manifest: Manifest) -> list[tuple[str, str, int]]:
 
 
 @contextlib.contextmanager
-def known_fingerprints(spark: SparkSession, table: str, manifest: Manifest, wanted: DataFrame) -> Iterator[DataFrame]:
-    """Those of the distinct fingerprints `wanted` (column FINGERPRINT) that are stored.
+def known_fingerprints(spark: SparkSession, table: str, manifest: Manifest, wanted: DataFrame, only: bool = True) -> Iterator[DataFrame]:
+    """Those of the distinct fingerprints `wanted` (column FINGERPRINT) that are stored; others that are stored may come with
+    them unless `only`.
 
     The Bloom filters rule out most new ones; only the buckets of the rest are read. The stored fingerprints are not shuffled
-    while the rest is small enough to broadcast, by its count. A table without an index is read itself, one column."""
+    while the rest is small enough to broadcast, by its count. Many fingerprints are not tested against large filters, each of
+    which would shuffle them: the buckets they fall into are read. A table without an index is read itself, one column."""
+    if not any(manifest.folders.values()):
+        yield wanted.where(F.lit(False))
+        return
+    narrow = lambda stored: split_join(wanted, stored, [FINGERPRINT], "left_semi") if only else stored
     parts = _index_parts(manifest)
-    stored = None
-    if parts:
-        flagged, flags = wanted, []
-        for k, (_, bloom, blocks) in enumerate(parts):
-            flagged = may_contain(flagged, read_side(spark, table, manifest, bloom), blocks, f"_in{k}")
-            flags.append(F.col(f"_in{k}"))
-        wanted = flagged.where(F.greatest(*flags) if len(flags) > 1 else flags[0]).select(FINGERPRINT)
-    with work_table(wanted.withColumn(BUCKET, bucket_of(F.col(FINGERPRINT))), "possible") as possible:
+    if not parts:
+        whole = read_table(spark, table, schemas.PARTICIPATION_LOG, _FINGERPRINT_FIELD, manifest=manifest)
+        yield narrow(whole.select(F.col(DIGEST).alias(FINGERPRINT)).distinct())
+        return
+    with contextlib.ExitStack() as held:
+        possible = wanted.withColumn(BUCKET, bucket_of(F.col(FINGERPRINT)))
+        if sum(blocks for _, _, blocks in parts) <= FILTER_BLOCKS or wanted.count() <= BROADCAST_ROWS:
+            flagged, flags = wanted, []
+            for k, (_, bloom, blocks) in enumerate(parts):
+                flagged = may_contain(flagged, read_side(spark, table, manifest, bloom), blocks, f"_in{k}")
+                flags.append(F.col(f"_in{k}"))
+            flagged = flagged.where(F.greatest(*flags) if len(flags) > 1 else flags[0]).select(FINGERPRINT)
+            possible = held.enter_context(work_table(flagged.withColumn(BUCKET, bucket_of(F.col(FINGERPRINT))), "possible"))
         found = {r[BUCKET]: r["n"] for r in possible.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()}
-        possible = possible.select(FINGERPRINT)
+        stored = None
         for fingerprints, _, _ in parts:
             part = read_side(spark, table, manifest, fingerprints).where(F.col(BUCKET).isin(sorted(found))).select(FINGERPRINT)
             stored = part if stored is None else stored.unionByName(part)
-        if stored is None:
-            whole = read_table(spark, table, schemas.PARTICIPATION_LOG, _FINGERPRINT_FIELD, manifest=manifest)
-            yield split_join(possible, whole.select(F.col(DIGEST).alias(FINGERPRINT)).distinct(), [FINGERPRINT], "left_semi")
-        elif sum(found.values()) <= BROADCAST_ROWS:
-            yield stored.join(F.broadcast(possible), FINGERPRINT, "left_semi").select(FINGERPRINT)
+        if sum(found.values()) <= BROADCAST_ROWS:
+            yield stored.join(F.broadcast(possible.select(FINGERPRINT)), FINGERPRINT, "left_semi").select(FINGERPRINT)
         else:
-            yield split_join(possible, stored, [FINGERPRINT], "left_semi")
-
-
-def _write_index(spark: SparkSession, draft: Draft, table: str, added: DataFrame, n_added: int) -> Callable[[str], bool]:
-    """Add a part with the new fingerprints, or write the index anew when it has many parts; tells which sides stay."""
-    parts = _index_parts(draft.base)
-    fresh = bool(draft.base.values) and not parts
-    anew = fresh or len(parts) >= INDEX_PARTS
-    if anew:
-        before = read_table(spark, table, schemas.PARTICIPATION_LOG, _FINGERPRINT_FIELD, manifest=draft.base).select(F.col(DIGEST).alias(FINGERPRINT)).distinct()
-        added = added.unionByName(before).distinct()
-    if not n_added and not anew:
-        return lambda name: True
-    part = f"{draft.number:08d}"
-    dealt = added.withColumn(BUCKET, bucket_of(F.col(FINGERPRINT)))
-    draft.write_side(f"{FINGERPRINTS}:{part}", dealt.hint("rebalance", BUCKET), BUCKET)
-    keys = spark.read.parquet(f"{draft.table}/{draft.sides[f'{FINGERPRINTS}:{part}'][0]}")
-    blocks = blocks_for(keys.count() if anew else n_added)
-    draft.write_side(f"{BLOOM}:{part}:{blocks}", bloom_filter(keys, blocks))
-    return lambda name: not anew
+            yield narrow(stored)
+
+
+@contextlib.contextmanager
+def fresh_fingerprints(spark: SparkSession, table: str, manifest: Manifest, staged: DataFrame) -> Iterator[DataFrame]:
+    """(digest, first date) of staged rows, without those that are stored."""
+    first = staged.groupBy(DIGEST).agg(F.min(SNAPSHOT_DATE).alias(SNAPSHOT_DATE))
+    with contextlib.ExitStack() as held:
+        if any(manifest.folders.values()):
+            with (
+                work_table(first, "first") as first,
+                known_fingerprints(spark, table, manifest, first.select(F.col(DIGEST).alias(FINGERPRINT)), only=False) as known,
+            ):
+                fresh = held.enter_context(work_table(split_join(first, known.withColumnRenamed(FINGERPRINT, DIGEST), [DIGEST], "left_anti"), "fresh"))
+        else:
+            fresh = held.enter_context(work_table(first, "fresh"))
+        yield fresh
+
+
+class _IndexPart:
+    """The part of the index that a draft adds, written lot by lot; the index is written anew when it has many parts."""
+
+    def __init__(self, spark: SparkSession, draft: Draft, table: str):
+        parts = _index_parts(draft.base)
+        self.spark, self.draft, self.table = spark, draft, table
+        self.anew = bool(draft.base.values) and not parts or len(parts) >= INDEX_PARTS
+        self.part = f"{draft.number:08d}"
+
+    def add(self, fresh: DataFrame, n_fresh: int, lots: int, lot: int) -> None:
+        """Add the new fingerprints of a lot, and those stored before if the index is written anew."""
+        added = fresh.select(F.col(DIGEST).alias(FINGERPRINT))
+        if self.anew:
+            before = read_table(self.spark, self.table, schemas.PARTICIPATION_LOG, _FINGERPRINT_FIELD, manifest=self.draft.base)
+            added = added.unionByName(before.where(of_lot(F.col(DIGEST), lots, lot)).select(F.col(DIGEST).alias(FINGERPRINT)).distinct())
+        if n_fresh or self.anew:
+            dealt = added.withColumn(BUCKET, bucket_of(F.col(FINGERPRINT)))
+            self.draft.write_side(f"{FINGERPRINTS}:{self.part}", dealt.hint("rebalance", BUCKET), BUCKET)
+
+    def finish(self) -> Callable[[str], bool]:
+        """Write the filter of the part; tells which sides stay."""
+        paths = self.draft.sides.get(f"{FINGERPRINTS}:{self.part}")
+        if paths:
+            keys = self.spark.read.schema(f"{FINGERPRINT} string, {BUCKET} int").parquet(f"{self.draft.table}/{paths[0]}")
+            n_keys = keys.count()
+            if n_keys:
+                blocks = blocks_for(n_keys)
+                self.draft.write_side(f"{BLOOM}:{self.part}:{blocks}", bloom_filter(keys, blocks))
+            else:  # no part without rows
+                del self.draft.sides[f"{FINGERPRINTS}:{self.part}"]
+                remove_folder(self.spark, f"{self.draft.table}/{paths[0]}")
+        return lambda name: not self.anew
 
 
 def apply_participations(
@@ -348,29 +390,30 @@ def apply_participations(
     A row is stored with the first date of the series that has it, if no equal row is stored yet; equal rows of one date are all
     stored, or one of them (`intra_batch='dedupe'`). A log only grows: rows of a date stay when it is published again without
     them, because later snapshots that had them too did not store them. A repeated run adds nothing. The stored rows
-    are neither read nor written again: a date published again gets one more folder."""
+    are neither read nor written again: a date published again gets one more folder.
+
+    Large series are decided in lots of fingerprints, all dates together, one after the other: the shuffles and work tables of a
+    lot are deleted before the next begins, so beside the staged rows and what is stored the disk holds those of one lot."""
     with work_table(_marked_participations(rows), "staged") as staged:
         counts = _counted(staged)
         present = sorted({*counts, *(dates or ())})
         if not present:
             return []
+        lots = 1
+        while lots * LOT_ROWS < sum(c["staged"] for c in counts.values()):
+            lots *= 2
         with Draft(spark, table) as draft:
-            first = staged.groupBy(DIGEST).agg(F.min(SNAPSHOT_DATE).alias(SNAPSHOT_DATE))
-            with work_table(first, "first") as first:
-                wanted = first.select(F.col(DIGEST).alias(FINGERPRINT))
-                with (
-                    known_fingerprints(spark, table, draft.base, wanted) as known,
-                    work_table(split_join(first, known.withColumnRenamed(FINGERPRINT, DIGEST), [DIGEST], "left_anti"), "fresh") as fresh,
-                ):
+            inserted, index, keys = {}, _IndexPart(spark, draft, table), [DIGEST, SNAPSHOT_DATE]
+            for lot in range(lots):
+                own = staged.where(of_lot(F.col(DIGEST), lots, lot)) if lots > 1 else staged
+                with fresh_fingerprints(spark, table, draft.base, own) as fresh:
                     n_fresh = fresh.count()
-                    inserted = {}
                     if n_fresh:
-                        keys = [DIGEST, SNAPSHOT_DATE]
-                        added = staged.join(F.broadcast(fresh), keys, "left_semi") if n_fresh <= BROADCAST_ROWS else split_join(staged, fresh, keys, "left_semi")
+                        added = own.join(F.broadcast(fresh), keys, "left_semi") if n_fresh <= BROADCAST_ROWS else split_join(own, fresh, keys, "left_semi")
                         added = added.select(*schemas.PARTICIPATION_LOG.names, DIGEST)
                         inserted = draft.write(one_per_fingerprint(added, DIGEST) if intra_batch == "dedupe" else added)
-                    stay = _write_index(spark, draft, table, fresh.select(F.col(DIGEST).alias(FINGERPRINT)), n_fresh)
-            draft.commit(inserted, present, add=True, sides=stay)
+                    index.add(fresh, n_fresh, lots, lot)
+            draft.commit(inserted, present, add=True, sides=index.finish())
     return _reports(counts, inserted, present)
 
 
